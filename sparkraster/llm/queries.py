@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkraster.llm import mixing
+from sparkraster.llm import mixing, near_dedup, ngram_join
 from sparkraster.tables import table
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("row.doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

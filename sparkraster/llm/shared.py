@@ -168,3 +168,29 @@ def spanning_edges(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> tuple[np.nd
     sorted_ids = ids[order]
     moved = np.flatnonzero(label != np.arange(len(ids)))
     return sorted_ids[moved], sorted_ids[label[moved]]
+
+
+def bounded_sample(df: DataFrame, key: Column, bound: int, seed: int = 3) -> DataFrame:
+    """About ``bound`` rows of ``df`` at most, chosen by a hash of ``key``; all rows of fewer.
+
+    The same rows whatever the partitions. The size is binomial around the
+    bound, within a few per cent for thousands of rows.
+    """
+    n = df.count()
+    if n <= bound:
+        return df
+    scale = 1 << 30
+    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(scale)) < int(scale * bound / n))
+
+
+def labelled(docs: DataFrame, labels: DataFrame, target: str, mod: int, held_out: int, bound: int) -> DataFrame:
+    """``text, y`` of at most about ``bound`` labelled documents outside the held-out remainder.
+
+    Labels of repeated ids count once, with the largest value; null labels do
+    not count. Only the ids of the sample are broadcast, and ``bound`` bounds them.
+    """
+    known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
+    known = known.where(train_remainder(F.col("doc_id"), mod) != held_out)
+    known = known.groupBy("doc_id").agg(F.max(target).cast("double").alias("y"))
+    some = bounded_sample(known, F.col("doc_id"), bound)
+    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "y")
