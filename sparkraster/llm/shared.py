@@ -58,6 +58,17 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def for_worker(key, make):
+    """An object made once in each Python worker process and kept between its tasks."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("sparkraster_worker", types.ModuleType("sparkraster_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 class AtomicFile:
     """A file that appears under its name only when it is complete.
 
