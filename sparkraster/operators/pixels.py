@@ -138,7 +138,7 @@ def marker_diagnostics(pixels: DataFrame, extent: float = 0.6, most_presence: fl
     )
 
 
-def growth_domain(pixels: DataFrame, extent: float = 0.5, barrier: float = 0.7) -> DataFrame:
+def growth_domain(pixels: DataFrame, extent: float = 0.5, barrier: float = 1.0) -> DataFrame:
     """Pixels that regions may grow into."""
     return pixels.where(
         (F.col("extent_prob") >= extent) & (F.col("valid") == 1) & (B.presence(F.col("p_skel"), F.col("p_buf")) <= barrier)
@@ -146,7 +146,7 @@ def growth_domain(pixels: DataFrame, extent: float = 0.5, barrier: float = 0.7)
 
 
 def relief_surface(
-    pixels: DataFrame, w_boundary: float = 1.0, w_extent: float = 0.5, w_distance: float = 0.5, extent: float = 0.5, barrier: float = 0.7
+    pixels: DataFrame, w_boundary: float = 1.0, w_extent: float = 0.5, w_distance: float = 0.5, extent: float = 0.5, barrier: float = 1.0
 ) -> DataFrame:
     """Adds ``relief`` (0..255): high on boundaries, low inside fields, highest outside the growth domain.
 

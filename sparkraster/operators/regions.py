@@ -65,18 +65,18 @@ def cleanup(parcels: DataFrame, least_area: float) -> DataFrame:
 
 
 def simplify(vertices: DataFrame, keys: list[str]) -> DataFrame:
-    """Ring vertices ``keys, at, x, y`` without those on the line of their neighbours; the shape stays."""
+    """Ring vertices ``keys, pos, x, y`` without those on the line of their neighbours; the shape stays."""
     from pyspark.sql import Window as W
 
-    w = W.partitionBy(*keys).orderBy("at")
+    w = W.partitionBy(*keys).orderBy("pos")
     whole = W.partitionBy(*keys)
-    first = {c: F.min_by(c, "at").over(whole) for c in ("x", "y")}
-    last = {c: F.max_by(c, "at").over(whole) for c in ("x", "y")}
+    first = {c: F.min_by(c, "pos").over(whole) for c in ("x", "y")}
+    last = {c: F.max_by(c, "pos").over(whole) for c in ("x", "y")}
     v = vertices.withColumns(
         {**{f"p{c}": F.coalesce(F.lag(c).over(w), last[c]) for c in ("x", "y")}, **{f"n{c}": F.coalesce(F.lead(c).over(w), first[c]) for c in ("x", "y")}}
     )
     cross = (F.col("x") - F.col("px")) * (F.col("ny") - F.col("y")) - (F.col("y") - F.col("py")) * (F.col("nx") - F.col("x"))
-    return v.where(cross != 0).select(*keys, "at", "x", "y")
+    return v.where(cross != 0).select(*keys, "pos", "x", "y")
 
 
 def polygonize(labels: DataFrame) -> DataFrame:
@@ -123,3 +123,8 @@ def polygonize(labels: DataFrame) -> DataFrame:
         return pd.DataFrame({"scene_id": [key[0]] * len(rings), "label": [key[1]] * len(rings), "ring_no": range(len(rings)), "points": rings})
 
     return e.groupBy("scene_id", "label").applyInPandas(trace, kind)
+
+
+def illegal_labels(labels: DataFrame, invalid: int = -1) -> DataFrame:
+    """Negative labels other than ``invalid``, with their number of pixels."""
+    return labels.where((F.col("label") < 0) & (F.col("label") != invalid)).groupBy("scene_id", "label").agg(F.count("*").alias("n"))

@@ -115,10 +115,10 @@ def box_overlaps(gt: DataFrame, pred: DataFrame) -> DataFrame:
 RULES = ("iou_or_overlap", "iou_and_overlap", "iou_only", "overlap_only")
 
 
-def matches(edges: DataFrame, rule: str = "iou_or_overlap", iou: float = 0.5, ov_gt: float = 0.5, ov_pred: float = 0.5) -> DataFrame:
-    """Edges that count as a match under ``rule``; the overlap test holds when either side is covered enough."""
+def matches(edges: DataFrame, rule: str = "iou_or_overlap", iou: float = 0.1, ov_gt: float = 0.1, ov_pred: float = 0.1) -> DataFrame:
+    """Edges that count as a match under ``rule``; the overlap test asks for enough cover of both sides."""
     by_iou = F.col("iou") >= iou
-    by_ov = (F.col("ov_gt") >= ov_gt) | (F.col("ov_pred") >= ov_pred)
+    by_ov = (F.col("ov_gt") >= ov_gt) & (F.col("ov_pred") >= ov_pred)
     test = {"iou_or_overlap": by_iou | by_ov, "iou_and_overlap": by_iou & by_ov, "iou_only": by_iou, "overlap_only": by_ov}[rule]
     return edges.where(test)
 

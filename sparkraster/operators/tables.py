@@ -22,3 +22,11 @@ def shared_table(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` through checkpoint() in the shared folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint(eager=True)

@@ -146,7 +146,7 @@ def marker_diagnostics(spark, sf_dir):
 
 @query(sql("px") + f" SELECT scene_id, y, x FROM px WHERE {DOMAIN}")
 def growth_domain(spark, sf_dir):
-    return P.growth_domain(view(spark, sf_dir, "px")).select("scene_id", "y", "x")
+    return P.growth_domain(view(spark, sf_dir, "px"), barrier=0.7).select("scene_id", "y", "x")
 
 
 @query(
@@ -159,7 +159,7 @@ def growth_domain(spark, sf_dir):
     SELECT scene_id, y, x, FLOOR(COALESCE((val - v0) / NULLIF(v1 - v0, 0), 0) * 255)::INT AS relief FROM s"""
 )
 def relief_surface(spark, sf_dir):
-    return P.relief_surface(view(spark, sf_dir, "px")).select("scene_id", "y", "x", "relief")
+    return P.relief_surface(view(spark, sf_dir, "px"), barrier=0.7).select("scene_id", "y", "x", "relief")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("pixel_queries", "tile_queries", "metric_queries", "spatial_queries")
+MODULES = ("pixel_queries", "tile_queries", "metric_queries", "spatial_queries", "neighbourhood_queries", "run_queries")
 
 _queries: dict[str, Query] = {}
 _oracles: dict[str, str] = {}

@@ -15,8 +15,8 @@ EDGE = """e AS (SELECT g.parcel_id AS gt_id, p.parcel_id AS pred_id, (LEAST(g.x0
  g.w * g.h AS gt_area, p.w * p.h AS pred_area FROM gt_rect g JOIN pred_rect p ON g.x0 < p.x0 + p.w AND p.x0 < g.x0 + g.w AND g.y0 < p.y0 + p.h AND p.y0 < g.y0 + g.h),
  r AS (SELECT *, inter::DOUBLE / (gt_area + pred_area - inter) AS iou, inter::DOUBLE / gt_area AS ov_gt, inter::DOUBLE / pred_area AS ov_pred FROM e)"""
 RULE = {
-    "iou_or_overlap": "iou >= 0.5 OR ov_gt >= 0.5 OR ov_pred >= 0.5", "iou_and_overlap": "iou >= 0.5 AND (ov_gt >= 0.5 OR ov_pred >= 0.5)",
-    "iou_only": "iou >= 0.5", "overlap_only": "ov_gt >= 0.5 OR ov_pred >= 0.5",
+    "iou_or_overlap": "iou >= 0.1 OR (ov_gt >= 0.1 AND ov_pred >= 0.1)", "iou_and_overlap": "iou >= 0.1 AND ov_gt >= 0.1 AND ov_pred >= 0.1",
+    "iou_only": "iou >= 0.1", "overlap_only": "ov_gt >= 0.1 AND ov_pred >= 0.1",
 }
 BOTH = sql("gt_rect", "pred_rect") + f", {EDGE}"
 MATCH = BOTH + f", m AS (SELECT * FROM r WHERE {RULE['iou_or_overlap']})"
