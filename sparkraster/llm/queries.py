@@ -64,6 +64,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+SQL_OP1_NEAR_DEDUP = """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ g AS (SELECT *, sqrt(list_dot_product(e, e)) AS n FROM v WHERE list_dot_product(e, e) > 0),
+ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.98),
+ r AS (SELECT vec_id AS id, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
+ c AS (SELECT id, MIN(c) AS c FROM r GROUP BY id), d AS (SELECT a, COUNT(*) AS d FROM l GROUP BY a)
+ SELECT id AS vec_id, COALESCE(d, 0)::BIGINT AS n_links, c AS component_id, id = c AS kept FROM c LEFT JOIN d ON d.a = c.id"""
+
+SQL_OP7_WARC = """WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages), d AS (SELECT page_id, strlen(h) AS n, sha1(h) AS s FROM p),
+ f AS (SELECT s, MAX(page_id) AS first FROM d GROUP BY s)
+ SELECT page_id, n::BIGINT AS payload_bytes, array_to_string(list_transform(generate_series(0, 31), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(s, (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d JOIN f USING (s)"""
+
+SQL_OP8_NGRAM_JOIN = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM w)),
+ n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+ p AS (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS i FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY ALL),
+ l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+ r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id),
+ c AS (SELECT id, MIN(c) AS c FROM r GROUP BY id)
+ SELECT id AS doc_id, COALESCE(n, 0)::BIGINT AS n_shingles, c AS component_id FROM c LEFT JOIN n ON n.doc_id = c.id"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
