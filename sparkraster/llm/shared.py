@@ -115,10 +115,20 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def trimmed(batches):
+    """The batches of a task; Arrow's unused memory goes back after each, so idle workers stay small."""
+    import pyarrow as pa
+
+    for b in batches:
+        yield b
+        del b
+        pa.default_memory_pool().release_unused()
+
+
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 60_000):
         self.bound, self.known = bound, {}
 
     def of(self, words: list[bytes]) -> np.ndarray:

@@ -259,7 +259,7 @@ def test_pipeline_stages(spark):
     rows = {r.doc_id: r for r in docs.collect()}
     kept = cp.quality_classifier(spark, docs, SF)
     assert kept.columns == docs.columns
-    scores = {r.doc_id: r.predicted for r in quality.score(docs, quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))).collect()}
+    scores = {r.row.doc_id: r.predicted for r in quality.score(docs, quality.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))).collect()}
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(ids) == sorted(i for i in rows if scores[i])
     once = cp.near_duplicates(spark, kept, SF)
