@@ -15,8 +15,8 @@ def components(links: DataFrame) -> DataFrame:
     repeated links are ignored; an empty table gives an empty result.
 
     Each round every node hooks onto its smallest neighbour, and the links are
-    contracted to the hooked nodes; the links left shrink at least
-    geometrically. A hub is only a key of a grouped minimum (combined before
+    contracted to the roots of the hooks, the local minima, of which each hook
+    leaves one less. A hub is only a key of a grouped minimum (combined before
     the shuffle) and of plain equi-joins that AQE can split. Every round is
     cut through the shared folder.
     """
@@ -33,11 +33,18 @@ def components(links: DataFrame) -> DataFrame:
             up.groupBy("u").agg(F.min("v").alias("m"))
             .select(F.col("u").alias("node"), F.least("u", "m").alias("to"))
         )
-        # Hooks point to ever smaller ids; two jumps shorten the chains.
-        for _ in range(2):
+        # Hooks point to ever smaller ids. Jumping doubles their reach until each is at its root,
+        # so a chain takes the logarithm of its length and not as many rounds.
+        while True:
             far = hook.select(F.col("node").alias("to"), F.col("to").alias("far"))
-            hook = hook.join(far, "to", "left").select("node", F.coalesce("far", "to").alias("to"))
-        hook = cut(hook)
+            hook = cut(
+                hook.join(far, "to", "left")
+                .select("node", F.coalesce("far", "to").alias("to"), (F.coalesce("far", "to") < F.col("to")).alias("moved"))
+            )
+            if hook.where("moved").isEmpty():
+                break
+            hook = hook.drop("moved")
+        hook = hook.drop("moved")
         left = hook.select(F.col("node").alias("u"), F.col("to").alias("tu"))
         right = hook.select(F.col("node").alias("v"), F.col("to").alias("tv"))
         e = (

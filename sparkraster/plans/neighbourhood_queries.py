@@ -135,15 +135,3 @@ def ring_simplify(spark, sf_dir):
 def instance_label_check(spark, sf_dir):
     bad = _labels(spark, sf_dir).withColumn("label", F.expr("CASE WHEN label = 7 THEN -5L ELSE label END"))
     return R.illegal_labels(bad)
-
-
-@query()
-def seeded_growth(spark, sf_dir):
-    """Parcels grown from the components of marker pixels; a spanning forest has no SQL, so a test uses brute force."""
-    from sparkraster.functions import bands as B
-    from sparkraster.operators import growth, pixels
-
-    px = pixels.relief_surface(view(spark, sf_dir, "px"), barrier=0.7)
-    inside = (F.col("extent_prob") >= 0.5) & (F.col("valid") == 1) & (B.presence(F.col("p_skel"), F.col("p_buf")) <= 0.7)
-    markers = N.connected_components(pixels.marker_candidates(px), W, H)
-    return growth.grow(px.withColumn("inside", inside), markers, H, W)
