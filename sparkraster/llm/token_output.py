@@ -110,7 +110,7 @@ class Encoder:
     newlines, and tokenizers of another kind, go to the library whole.
     """
 
-    def __init__(self, tokenizer: str, remembered: int = 400_000):
+    def __init__(self, tokenizer: str, remembered: int = 220_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -123,6 +123,8 @@ class Encoder:
             and pre.get("use_regex", True) and model.get("type") == "BPE" and not model.get("dropout") and not own
         )
         self.remembered = remembered
+        # Beyond the bound new fields stay only until there are too many of them again.
+        self.late: dict[int, list[str]] = {}
         self.after_blank: dict[str, bytes] = {}
         self.as_is: dict[str, bytes] = {}
 
@@ -132,8 +134,12 @@ class Encoder:
 
     def _learn(self, fields: list[str], known: dict[str, bytes], before: str) -> bool:
         """Adds the fields that are not known; False if one holds white space."""
-        if len(known) > self.remembered:
-            known.clear()
+        late = self.late.setdefault(id(known), [])
+        if len(late) > self.remembered // 5:
+            for f in late:
+                known.pop(f, None)
+            late.clear()
+        full = len(known) > self.remembered
         whole, tails, joined = {}, {}, []
         for f in dict.fromkeys(fields):
             if f in known:
@@ -152,8 +158,12 @@ class Encoder:
         for want, to, first in ((whole, known, before), (tails, self.as_is, "")):
             ask = [x for x in want if x not in to]
             to.update(zip(ask, self._library([first + x for x in ask])))
+            if full and to is known:
+                late += ask
         for f, core, tail in joined:
             known[f] = known[core] + self.as_is[tail]
+        if full:
+            late += [f for f, _, _ in joined]
         return True
 
     def ids(self, text: str) -> bytes:
