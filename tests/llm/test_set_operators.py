@@ -274,3 +274,35 @@ def test_pipeline_stages(spark):
     assert collections.Counter(r.doc_id for r in out) == mixed
     out.sort(key=lambda r: r.start)
     assert [r.doc_id for r in out] == sorted(r.doc_id for r in out) and sum(r.n_tokens for r in out[:-1]) == out[-1].start
+
+
+def test_pipeline_drops_near_copies_from_080(spark):
+    import corpus_pipeline as cp
+
+    rnd, rows = random.Random(8), []
+    for i in range(0, 60, 4):
+        words = [f"w{rnd.randrange(500)}" for _ in range(110)]
+        for j in range(4):  # J = 1, 0.91, 0.83, 0.75 with the first
+            rows.append((i + j, " ".join("new" if at in (20, 50, 80)[:j] else w for at, w in enumerate(words))))
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in rows], DOCS)
+    want = {i for i, (_, c) in brute_groups(rows, 5, 80, 100).items() if i == c}
+    assert {r.doc_id for r in cp.near_duplicates(spark, df, SF).collect()} == want
+    pair = [rows[0], rows[2]]
+    assert brute_groups(pair, 5, 80, 100) != brute_groups(pair, 5, 90, 100)
+    kept = cp.near_duplicates(spark, df.where("doc_id IN (0, 2)"), SF).collect()
+    assert [r.doc_id for r in kept] == [0]
+
+
+def test_directory_loses_no_pair_and_tells_unlike_sets_apart():
+    rng, sizes = np.random.default_rng(4), ngram_join.Sizes(80, 100)
+    for n in [1, 2, 3, 5, 9, 10, 20, 37, 80, 200, 1000]:
+        for _ in range(60):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            gone = int(rng.integers(0, n // 5 + 1))
+            more = int(0.8 ** -1 * (n - gone) + 1e-9) - n if gone == 0 else 0
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, max(0, more)).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert np.intersect1d(ngram_join.signatures(a, sizes), ngram_join.signatures(b, sizes)).size
+    keys = [np.unique(ngram_join.signatures(rng.integers(0, 1 << 63, 300).astype(np.uint64), sizes)) for _ in range(300)]
+    assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
