@@ -23,6 +23,11 @@ def boundary_encode(spark, sf_dir):
     return N.boundary_encode(view(spark, sf_dir, "px").where("gt_boundary = 1 AND (y + x) % 4 = 0"), H, W)
 
 
+@query()
+def boundary_encode_whole(spark, sf_dir):
+    return N.boundary_encode(view(spark, sf_dir, "px").where("gt_boundary = 1"), H, W)
+
+
 CLOSE = f"""d AS (SELECT DISTINCT scene_id, y + dy AS y, x + dx AS x FROM s, {DISK} o), k AS (SELECT * FROM d WHERE {INSIDE}),
  c AS (SELECT scene_id, y, x FROM (SELECT scene_id, y + dy AS y, x + dx AS x FROM k, {DISK} o) WHERE {INSIDE} GROUP BY ALL HAVING COUNT(*) = 13)"""
 
@@ -51,6 +56,11 @@ def distance_transform(spark, sf_dir):
     return rounded(N.distance_transform(view(spark, sf_dir, "px"), "gt_boundary = 1 AND (y * 5 + x) % 37 = 0", 8))
 
 
+@query()
+def distance_transform_whole(spark, sf_dir):
+    return rounded(N.distance_transform(view(spark, sf_dir, "px"), "gt_boundary = 1", 8))
+
+
 @query(
     sql("px").replace("WITH ", "WITH RECURSIVE ", 1) + """, m AS (SELECT scene_id, y, x, y * 100 + x + 1 AS k FROM px WHERE valid = 1 AND extent_prob >= 0.7),
     r AS (SELECT scene_id, y, x, k AS label FROM m UNION SELECT b.scene_id, b.y, b.x, a.label FROM r a JOIN m b ON a.scene_id = b.scene_id AND ABS(a.y - b.y) + ABS(a.x - b.x) = 1 AND a.label < b.k)

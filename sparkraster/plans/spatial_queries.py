@@ -175,6 +175,23 @@ def boundary_displacement(spark, sf_dir):
     return rounded(S.boundary_displacement(gt, pred))
 
 
+def _whole_sides(spark, sf_dir):
+    px = view(spark, sf_dir, "px").where("valid = 1")
+    return px.where("gt_boundary = 1"), px.where("p_skel >= p_bg AND p_skel >= p_buf")
+
+
+@query()
+def nearest_boundary_whole(spark, sf_dir):
+    gt, pred = _whole_sides(spark, sf_dir)
+    return S.nearest_squared(pred, gt)
+
+
+@query()
+def boundary_displacement_whole(spark, sf_dir):
+    gt, pred = _whole_sides(spark, sf_dir)
+    return rounded(S.boundary_displacement(gt, pred))
+
+
 @query(
     sql("px") + " SELECT scene_id, y, x, COALESCE(gt_extent = 1, FALSE) AND gt_boundary <> 0 AS both_, gt_extent = 1 OR gt_boundary <> 0 AS either_, gt_extent = 1 AND gt_boundary = 0 AS only_a FROM px WHERE gt_extent = 1 OR gt_boundary <> 0"
 )
@@ -193,6 +210,11 @@ def aoi_effective_extent(spark, sf_dir):
     return S.effective_extent(boxes, 30, 500, 400).drop("scene_id")
 
 
+@query()
+def aoi_effective_extent_whole(spark, sf_dir):
+    return S.effective_extent(_boxes(spark, sf_dir, "gt_rect"), 30, 500, 400).drop("scene_id")
+
+
 @query(sql("gt_rect") + ", " + EXTENT.format(b=12, f="TRUE") + " " + CLAMP)
 def aoi_from_labels(spark, sf_dir):
     return S.effective_extent(_boxes(spark, sf_dir, "gt_rect"), 12, 500, 400).drop("scene_id")
