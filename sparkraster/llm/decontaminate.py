@@ -1,8 +1,10 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts are compared lower-cased, with runs of white space as one blank. Items are
-cut into windows of ``WINDOW`` characters every ``STEP``, so a passage of
-``WINDOW + STEP`` characters of an item holds a whole window. A window of length
+cut into windows of ``WINDOW`` characters every ``STEP``, and of ``SHORT``
+characters every ``DENSE``, so a passage of ``SHORT + DENSE - 1`` characters of
+an item holds a whole window. Items under ``MIN_CHARS`` match whole and
+verbatim. A window of length
 L matches a region of a text when their edit distance is at most
 ``k = floor(edit_rate * L)``. By the q-gram lemma such a region shares at least
 ``T = L - q + 1 - k * q`` of the window's q-grams, on diagonals within k of each
@@ -33,7 +35,9 @@ Q = 8
 WINDOW = 120
 STEP = 60
 EDIT_RATE = 0.08
-#: Shorter items are too common as phrases to tell a leak.
+SHORT = 60
+DENSE = 10
+#: Shorter items match without edits.
 MIN_CHARS = 40
 BLOCK_WINDOWS = 40_000
 BITS = 22
@@ -62,14 +66,15 @@ def grams(c: np.ndarray, q: int) -> np.ndarray:
     return h * np.uint64(0x9E3779B97F4A7C15)
 
 
-def windows_of(text: str, window: int = WINDOW, step: int = STEP, least: int = MIN_CHARS) -> list[tuple[int, str]]:
-    """(position, window) of a normalised item; the last window ends with the item."""
+def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least: int = Q) -> list[tuple[int, str]]:
+    """(position, window) of a normalised item; the last window of a size ends with the item."""
     if len(text) < least:
         return []
-    if len(text) <= window:
-        return [(0, text)]
-    starts = [*range(0, len(text) - window, step), len(text) - window]
-    return [(s, text[s : s + window]) for s in starts]
+    found = {}
+    for window, step in sizes:
+        last = max(0, len(text) - window)
+        found |= {(s, text[s : s + window]): None for s in [*range(0, last, step), last]}
+    return list(found)
 
 
 class Matcher:
@@ -79,7 +84,7 @@ class Matcher:
         self.q, self.windows = q, windows
         self.chars = [code_points(w) for _, _, w in windows]
         self.len = np.array([len(c) for c in self.chars], np.int64)
-        self.k = np.floor(edit_rate * self.len).astype(np.int64)
+        self.k = np.where(self.len < MIN_CHARS, 0, np.floor(edit_rate * self.len)).astype(np.int64)
         self.need = np.maximum(1, self.len - q + 1 - self.k * q)
         every = [grams(c, q) for c in self.chars]
         flat = np.concatenate(every) if every else np.empty(0, np.uint64)
@@ -210,8 +215,8 @@ def leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     ``item_windows`` (windows it has), ``edits`` (fewest of a window),
     ``first_char, last_char`` (region in the normalised text).
 
-    Null and empty texts, items shorter than ``MIN_CHARS`` normalised
-    characters and null items match nothing. Rows that share a doc_id or an
+    Null and empty texts, items shorter than ``Q`` normalised characters and
+    null items match nothing. Rows that share a doc_id or an
     item_id count as one document or item. Texts are searched whole. An empty
     table on either side gives an empty result.
     """

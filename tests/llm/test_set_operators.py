@@ -306,3 +306,19 @@ def test_directory_loses_no_pair_and_tells_unlike_sets_apart():
                 assert np.intersect1d(ngram_join.signatures(a, sizes), ngram_join.signatures(b, sizes)).size
     keys = [np.unique(ngram_join.signatures(rng.integers(0, 1 << 63, 300).astype(np.uint64), sizes)) for _ in range(300)]
     assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
+def test_excerpts_at_all_offsets_are_found():
+    rnd = random.Random(2)
+    item = decontaminate.normal("".join(rnd.choice("abcdefghijkl mnop") for _ in range(240)))
+    small = "a phrase of few words only"
+    m = decontaminate.Matcher([(i, p, w) for i, t in enumerate([item, item[:100], small]) for p, w in decontaminate.windows_of(t)])
+    hit = lambda text: {m.windows[w][0] for w, *_ in m.find(text)}
+    for size in (69, 80, 110, 150):
+        for at in range(len(item) - size + 1):
+            part = item[at : at + size]
+            assert 0 in hit(f"Zz qq {part} yy"), (size, at)
+            half = size // 2
+            assert 0 in hit(f"Zz qq {part[:half]}#{part[half + 1 :]} yy"), (size, at)
+    assert 1 in hit("zz " + item[20:90]) and hit(f"zz {small} yy") == {2}
+    assert not hit("unlike text " * 20)
