@@ -184,9 +184,8 @@ class Matcher:
                 found[int(w[j])] = hit
 
 
-def blocks(bench: DataFrame, q: int = Q, edit_rate: float = EDIT_RATE, size: int = BLOCK_WINDOWS):
-    """Broadcast matchers of the benchmark's windows, ``size`` windows or fewer each."""
-    spark = bench.sparkSession
+def windows_table(bench: DataFrame) -> DataFrame:
+    """The distinct windows of the benchmark: ``item_id, pos, w``."""
 
     def cut_up(batches):
         for b in batches:
@@ -196,19 +195,23 @@ def blocks(bench: DataFrame, q: int = Q, edit_rate: float = EDIT_RATE, size: int
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["item_id", "pos", "w"]
             )
 
-    windows = cut(
+    return cut(
         bench.select(F.col("item_id").cast("long"), "text").mapInArrow(cut_up, "item_id long, pos long, w string").distinct()
     )
+
+
+def blocks(windows: DataFrame, size: int, q: int = Q, edit_rate: float = EDIT_RATE):
+    """Broadcast matchers of the windows of ``windows_table``, ``size`` windows or fewer each."""
     n = -(-windows.count() // size)
     # Hashed blocks are binomial around their mean; half the size keeps each below the bound.
     n = n if n <= 1 else 2 * n
     for i in range(n):
         rows = windows.where(F.pmod(F.xxhash64("item_id", "pos", "w"), F.lit(n)) == i).collect()
         rows = sorted(((r["item_id"], r["pos"], r["w"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
-        yield spark.sparkContext.broadcast(Matcher(rows, q, edit_rate))
+        yield windows.sparkSession.sparkContext.broadcast(Matcher(rows, q, edit_rate))
 
 
-def leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS) -> DataFrame:
     """Passages of benchmark items in documents, one row for each document and item that meet.
 
     Columns: ``doc_id, item_id, windows`` (windows of the item found),
@@ -220,26 +223,26 @@ def leaks(docs: DataFrame, bench: DataFrame) -> DataFrame:
     item_id count as one document or item. Texts are searched whole. An empty
     table on either side gives an empty result.
     """
-    kind = "doc_id long, item_id long, windows long, item_windows long, edits long, first_char long, last_char long"
+    kind = "doc_id long, item_id long, windows long, edits long, first_char long, last_char long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = []
-    for shared in blocks(bench):
+    parts, every = [], windows_table(bench)
+    for shared in blocks(every, size):
         parts.append(rows.mapInArrow(_search(shared), kind))
     if not parts:
-        return rows.sparkSession.createDataFrame([], kind)
+        return rows.sparkSession.createDataFrame([], kind.replace("edits", "item_windows long, edits"))
     found = functools.reduce(DataFrame.unionAll, parts)
-    return found.groupBy("doc_id", "item_id").agg(
-        F.sum("windows").alias("windows"), F.sum("item_windows").alias("item_windows"), F.min("edits").alias("edits"),
+    found = found.groupBy("doc_id", "item_id").agg(
+        F.sum("windows").alias("windows"), F.min("edits").alias("edits"),
         F.min("first_char").alias("first_char"), F.max("last_char").alias("last_char"),
     )
+    has = every.groupBy(F.col("item_id").alias("of")).agg(F.count("*").alias("item_windows"))
+    names = [c.split()[0] for c in kind.split(", ")]
+    return found.join(has, F.col("item_id").eqNullSafe(F.col("of"))).select(*names[:3], "item_windows", *names[3:])
 
 
 def _search(shared):
     def run(batches):
         m = shared.value
-        has: dict = {}
-        for i, _, _ in m.windows:
-            has[i] = has.get(i, 0) + 1
         for b in batches:
             out = []
             for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
@@ -247,17 +250,17 @@ def _search(shared):
                 for w, s, e, cost in m.find(t.as_py()):
                     by.setdefault(m.windows[w][0], []).append((s, e, cost))
                 for item, x in by.items():
-                    out.append((doc, item, len(x), has[item], min(v[2] for v in x), min(v[0] for v in x), max(v[1] for v in x)))
-            cols = list(zip(*out)) or [()] * 7
-            names = ["doc_id", "item_id", "windows", "item_windows", "edits", "first_char", "last_char"]
+                    out.append((doc, item, len(x), min(v[2] for v in x), min(v[0] for v in x), max(v[1] for v in x)))
+            cols = list(zip(*out)) or [()] * 6
+            names = ["doc_id", "item_id", "windows", "edits", "first_char", "last_char"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
     return run
 
 
-def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS) -> DataFrame:
     """The rows of ``docs`` without a passage of ``bench``, columns as they are; no shuffle."""
-    for shared in blocks(bench):
+    for shared in blocks(windows_table(bench), size):
         docs = docs.mapInArrow(_without(shared, docs.columns.index("text")), docs.schema)
     return docs
 

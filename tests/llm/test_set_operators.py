@@ -322,3 +322,13 @@ def test_excerpts_at_all_offsets_are_found():
             assert 0 in hit(f"Zz qq {part[:half]}#{part[half + 1 :]} yy"), (size, at)
     assert 1 in hit("zz " + item[20:90]) and hit(f"zz {small} yy") == {2}
     assert not hit("unlike text " * 20)
+
+
+def test_blocks_count_all_windows_of_an_item(spark):
+    rnd = random.Random(3)
+    items = [(i, "".join(rnd.choice("abcdefgh ij") for _ in range(130))) for i in (1, None)]
+    d = spark.createDataFrame([(1, items[0][1][:75]), (2, items[1][1]), (3, "unlike")], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(str, decontaminate.leaks(d, b).collect()))
+    assert len(one) == 2 and sorted(map(str, decontaminate.leaks(d, b, size=6).collect())) == one
+    assert [r.doc_id for r in decontaminate.clean(d, b, size=6).collect()] == [3]
