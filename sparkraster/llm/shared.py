@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import tempfile
+import types
 import uuid
 import zlib
 
@@ -12,21 +16,27 @@ from pyspark.sql import functions as F
 
 #: Words of the contracts: runs of bytes that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (local tests), a temporary folder is set.
+    Where a local session names none (tests), a temporary folder is set; on a
+    cluster, whose executors could not read it, that is an error.
     """
+    context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(found)
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(found)
         return found.rstrip("/")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -58,17 +68,31 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def for_worker(key, make):
-    """An object made once in each Python worker process and kept between its tasks."""
-    import sys
-    import types
+def _kept() -> dict:
+    """What this Python worker process keeps between its tasks."""
+    return sys.modules.setdefault("sparkraster_worker", types.ModuleType("sparkraster_worker")).__dict__.setdefault("kept", {})
+
 
-    kept = sys.modules.setdefault("sparkraster_worker", types.ModuleType("sparkraster_worker")).__dict__
+def for_worker(key, make):
+    """An object made once in each Python worker and kept between tasks, until a task asks for another one."""
+    kept = _kept()
     if key not in kept:
+        clear_worker()
         kept[key] = make()
     return kept[key]
 
 
+def clear_worker() -> None:
+    """Drop what other operators' tasks kept in this worker, and give its memory back."""
+    kept = _kept()
+    if kept:
+        kept.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
 class AtomicFile:
     """A file that appears under its name only when it is complete.
 
@@ -115,36 +139,91 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def trimmed(batches):
-    """The batches of a task; Arrow's unused memory goes back after each, so idle workers stay small."""
+def trimmed(batches, keeps: bool = False):
+    """The batches of a task; Arrow's unused memory goes back after each, so idle workers stay small.
+
+    Unless the task ``keeps`` an object in its worker, what others kept goes first.
+    """
     import pyarrow as pa
 
+    if not keeps:
+        clear_worker()
     for b in batches:
         yield b
         del b
         pa.default_memory_pool().release_unused()
 
 
-class WordHashes:
-    """64-bit hashes of words, remembered up to a bound."""
+def small_batches(spark: SparkSession) -> None:
+    """Holds the Arrow batches of the session to ``BATCH_BYTES``, which bounds what a task holds of long texts."""
+    now = int(spark.conf.get(BATCH_CONF).rstrip("b"))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
-    def __init__(self, bound: int = 60_000):
-        self.bound, self.known = bound, {}
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
+def with_text(docs: DataFrame, keep: list[str] | None) -> DataFrame:
+    """``row``, a struct of the columns ``keep`` (default ``doc_id``), and ``text`` beside it if it is not among them.
+
+    So a text is sent to the task once; ``texts_of`` finds it.
+    """
+    small_batches(docs.sparkSession)
+    keep = keep or ["doc_id"]
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    return docs.select(row) if "text" in keep else docs.select(row, "text")
+
+
+def texts_of(batch):
+    """The texts of a batch of ``with_text``."""
+    return batch.column(1) if batch.num_columns > 1 else batch.column(0).field("text")
+
+
+class Memory(dict):
+    """Results of ``make``, remembered up to about ``bound`` bytes.
+
+    A key is kept when it is asked for the second time, as a long tail of keys
+    comes only once; a bit for each key seen tells. Entries live in two
+    generations: when the young one is full it becomes the old one, and what is
+    asked for again moves back. Keys of more than ``LONGEST`` characters are
+    never kept.
+    """
+
+    LONGEST = 200
+    #: Bytes of an entry besides its key, about.
+    ENTRY = 190
+    SEEN = 1 << 21
+
+    def __init__(self, make, bound: int = 32 << 20):
+        super().__init__()
+        self.make, self.half, self.size, self.old, self.seen = make, bound // 2, 0, {}, bytearray(self.SEEN)
+
+    def __missing__(self, key):
+        got = self.old.pop(key, None)
+        if got is None:
+            got = self.make(key)
+            bit = hash(key) & (self.SEEN - 1)
+            if not self.seen[bit]:
+                self.seen[bit] = 1
+                return got
+            if len(key) > self.LONGEST:
+                return got
+        self.size += len(key) + self.ENTRY
+        if self.size > self.half:
+            self.old, self.size, self.seen = dict(self), len(key) + self.ENTRY, bytearray(self.SEEN)
+            self.clear()
+        self[key] = got
+        return got
+
+
+class WordHashes:
+    """64-bit hashes of words, remembered up to a bound in bytes."""
+
+    def __init__(self, bound: int = 12 << 20):
         import xxhash
 
-        if len(known) > self.bound:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        self.known = Memory(xxhash.xxh3_64_intdigest, bound)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(words: list[bytes], k: int, hashes: WordHashes) -> np.ndarray:
@@ -191,27 +270,44 @@ def spanning_edges(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> tuple[np.nd
     return sorted_ids[moved], sorted_ids[label[moved]]
 
 
+def hashed_share(key: Column, share: Column | float, seed: int = 3) -> Column:
+    """Whether a row is in the ``share`` of all keys, by a hash of its key; the same whatever the partitions."""
+    scale = 1 << 30
+    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(scale)) < F.lit(float(scale)) * share
+
+
 def bounded_sample(df: DataFrame, key: Column, bound: int, seed: int = 3) -> DataFrame:
-    """About ``bound`` rows of ``df`` at most, chosen by a hash of ``key``; all rows of fewer.
+    """About ``bound`` rows of ``df`` at most, chosen by a hash of the unique ``key``; all rows of fewer.
 
-    The same rows whatever the partitions. The size is binomial around the
-    bound, within a few per cent for thousands of rows.
+    The size is binomial around the bound, within a few per cent for thousands of rows.
     """
     n = df.count()
-    if n <= bound:
-        return df
-    scale = 1 << 30
-    return df.where(F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(scale)) < int(scale * bound / n))
+    return df if n <= bound else df.where(hashed_share(key, bound / n, seed))
+
+
+def bounded_rows(df: DataFrame, bound: int, seed: int = 5) -> DataFrame:
+    """About ``bound`` different rows of ``df`` at most; repeated rows count once, so no key can exceed the bound."""
+    h = F.xxhash64(*df.columns)
+    n = df.select(F.approx_count_distinct(h, 0.02)).first()[0]
+    some = df.withColumn("__h", h)
+    if n > bound:
+        some = some.where(hashed_share(F.col("__h"), bound / n, seed))
+    return some.dropDuplicates(["__h"]).drop("__h")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, target: str, mod: int, held_out: int, bound: int) -> DataFrame:
     """``text, y`` of at most about ``bound`` labelled documents outside the held-out remainder.
 
     Labels of repeated ids count once, with the largest value; null labels do
-    not count. Only the ids of the sample are broadcast, and ``bound`` bounds them.
+    not count. Only the ids of the sample are broadcast, and ``bound`` bounds
+    them. Where ids are repeated in ``docs``, equal rows count once and the rows
+    are bounded as well.
     """
     known = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
     known = known.where(train_remainder(F.col("doc_id"), mod) != held_out)
     known = known.groupBy("doc_id").agg(F.max(target).cast("double").alias("y"))
-    some = bounded_sample(known, F.col("doc_id"), bound)
-    return docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "y")
+    some = F.broadcast(bounded_sample(known, F.col("doc_id"), bound))
+    rows = docs.select("doc_id", "text").join(some, "doc_id")
+    if docs.select("doc_id").join(some, "doc_id").count() > 1.25 * bound:
+        rows = bounded_rows(rows, bound)
+    return rows.select("text", "y")

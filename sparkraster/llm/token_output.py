@@ -25,9 +25,12 @@ driver.
 
 from __future__ import annotations
 
+import array
+import functools
 import itertools
 import json
 import os
+import string
 import zlib
 
 import numpy as np
@@ -36,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkraster.llm.shared import AtomicFile, for_worker, fresh_dir, open_fs, stored
+from sparkraster.llm.shared import AtomicFile, Memory, for_worker, fresh_dir, open_fs, small_batches, stored, trimmed
 
 MAGIC = b"SRT1"
 BLOCK_IDS = 1 << 16
@@ -59,11 +62,14 @@ def encode_ranks(ranks: np.ndarray) -> bytes:
     n = len(ranks)
     r = np.zeros(-(-n // 4) * 4, np.uint32)
     r[:n] = ranks
-    size = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    quads = (size - 1).reshape(-1, 4).astype(np.uint8)
+    wide = 2 if n == 0 or int(r.max()) <= 0xFFFF else 4
+    size = (r > 0xFF).view(np.uint8)
+    if wide == 4:
+        size = size + (r > 0xFFFF) + (r > 0xFFFFFF)
+    quads = size.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    four = r.astype("<u4").view(np.uint8).reshape(-1, 4)
-    data = four[np.arange(4) < size[:, None]]
+    bytes_of = r.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide)
+    data = bytes_of[np.arange(wide) <= size[:, None]]
     head = np.array([n, len(data)], "<u4").tobytes()
     return head + control.astype(np.uint8).tobytes() + data.tobytes()
 
@@ -100,89 +106,91 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _visible() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+VISIBLE = _visible()
+
+
 class Encoder:
-    """Encodes texts with the library, once for each different field between blanks.
+    """Encodes texts with the library, once for each different word while it is remembered.
 
     Byte-level pre-tokens never reach past the blank that begins them, so the
-    ids of a text are those of its fields, each with the blank or newline before
-    it. Fields are remembered up to a bound; new ones go to the library. Texts
-    with runs of white space or other white space than single blanks and
-    newlines, and tokenizers of another kind, go to the library whole.
+    ids of a text are those of its words, each with the blank before it, and of
+    its newlines. A word of letters or digits alone, and punctuation after it,
+    are one pre-token each and go to the library's model directly; others go
+    through the whole library. Texts with runs of white space or other white
+    space than single blanks and newlines, and tokenizers of another kind, are
+    encoded whole by the library.
     """
 
-    def __init__(self, tokenizer: str, remembered: int = 220_000):
+    def __init__(self, tokenizer: str, bound: int = 96 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(tokenizer_path(tokenizer))
-        spec = json.loads(self.tok.to_str())
-        pre, model = spec.get("pre_tokenizer") or {}, spec.get("model") or {}
-        own = any(a.get("lstrip") or a.get("rstrip") or " " in a["content"] or "\n" in a["content"] for a in spec.get("added_tokens", []))
-        self.by_field = (
-            spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-            and pre.get("use_regex", True) and model.get("type") == "BPE" and not model.get("dropout") and not own
+        self.model = self.tok.model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)  # words are remembered here
+        pre = json.loads(self.tok.pre_tokenizer.__getstate__()) if self.tok.pre_tokenizer is not None else {}
+        added = self.tok.get_added_tokens_decoder().values()
+        own = any(a.lstrip or a.rstrip or not a.content or set(a.content) & {" ", "\n"} for a in added)
+        self.by_word = (
+            self.tok.normalizer is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
+            and pre.get("use_regex", True) and type(self.model).__name__ == "BPE" and not self.model.dropout and not own
         )
-        self.remembered = remembered
-        # Beyond the bound new fields stay only until there are too many of them again.
-        self.late: dict[int, list[str]] = {}
-        self.after_blank: dict[str, bytes] = {}
-        self.as_is: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
+        # An added token of letters, digits or punctuation alone could hide inside such a word.
+        plain = (a.content.rstrip(string.punctuation) for a in added)
+        self.direct = self.by_word and not any(x.isalnum() or not x for x in plain)
+        self.tails = Memory(self._tail, 1 << 20)
+        self.after_blank = Memory(functools.partial(self._word, " "), bound * 3 // 4)
+        self.as_is = Memory(functools.partial(self._word, ""), bound // 4)
+        self.newline = self._library("\n")
+
+    def _library(self, text: str) -> bytes:
         encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
-
-    def _learn(self, fields: list[str], known: dict[str, bytes], before: str) -> bool:
-        """Adds the fields that are not known; False if one holds white space."""
-        late = self.late.setdefault(id(known), [])
-        if len(late) > self.remembered // 5:
-            for f in late:
-                known.pop(f, None)
-            late.clear()
-        full = len(known) > self.remembered
-        whole, tails, joined = {}, {}, []
-        for f in dict.fromkeys(fields):
-            if f in known:
-                continue
-            inner = f[1:] if before == "" and f[:1] == "\n" else f
-            if inner.split() != [inner]:
-                return False
-            # Full stops and commas after a letter or digit are pre-tokens of their own.
-            core = f.rstrip(".,")
-            if core and core != f and core[-1].isalnum():
-                tail = f[len(core) :]
-                whole[core] = tails[tail] = None
-                joined.append((f, core, tail))
-            else:
-                whole[f] = None
-        for want, to, first in ((whole, known, before), (tails, self.as_is, "")):
-            ask = [x for x in want if x not in to]
-            to.update(zip(ask, self._library([first + x for x in ask])))
-            if full and to is known:
-                late += ask
-        for f, core, tail in joined:
-            known[f] = known[core] + self.as_is[tail]
-        if full:
-            late += [f for f, _, _ in joined]
-        return True
+        return array.array("I", encode([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        return array.array("I", [t.id for t in self.model.tokenize(tail)]).tobytes()
+
+    def _word(self, before: str, word: str) -> bytes:
+        core = word.rstrip(string.punctuation)
+        # Letters below U+0370 are letters in every version of Unicode.
+        ascii_core = core.isascii()
+        if self.direct and (core.isalpha() and (ascii_core or max(core) < "\u0370") or ascii_core and core.isdigit()):
+            if len(core) < len(word):
+                return (self.after_blank if before else self.as_is)[core] + self.tails[word[len(core) :]]
+            seen = core if ascii_core else core.encode().decode("latin-1").translate(VISIBLE)
+            return array.array("I", [t.id for t in self.model.tokenize("\u0120" + seen if before else seen)]).tobytes()
+        if word.split() != [word]:
+            raise _Blank
+        return self._library(before + word)
 
     def ids(self, text: str) -> bytes:
         """Little-endian uint32 ids of ``text``."""
         if not text:
             return b""
-        if not self.by_field or "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0] in " \n" or text[-1] in " \n":
-            return self._library([text])[0]
-        lines = [x.split(" ") for x in text.split("\n")]
-        heads = [lines[0][0], *("\n" + x[0] for x in lines[1:])]
-        fields = [f for x in lines for f in x[1:]]
-        for _ in range(2):
+        if self.by_word and not ("  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0] in " \n" or text[-1] in " \n"):
+            head, word, out = self.as_is.__getitem__, self.after_blank.__getitem__, []
             try:
-                blank, head = self.after_blank.__getitem__, self.as_is.__getitem__
-                return b"".join([y for h, x in zip(heads, lines) for y in (head(h), *map(blank, x[1:]))])
-            except KeyError:
-                if not self._learn(fields, self.after_blank, " ") or not self._learn(heads, self.as_is, ""):
-                    break
-        return self._library([text])[0]
+                for line in text.split("\n"):
+                    fields = line.split(" ")
+                    out.append(self.newline)
+                    out.append(head(fields[0]))
+                    out += map(word, fields[1:])
+                return b"".join(out[1:])
+            except _Blank:
+                pass
+        return self._library(text)
+
+
+class _Blank(Exception):
+    """A word holds white space of another kind."""
 
 
 def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> DataFrame:
@@ -194,9 +202,11 @@ def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_
     come first. An empty table writes no shard.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     head = json.dumps({"tokenizer": os.path.basename(tokenizer), "end_id": end_id}).encode()
 
     def shard(batches):
+        batches = trimmed(batches, keeps=True)
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
