@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-from sparkraster.llm.shared import labelled, train_remainder
+from sparkraster.llm.shared import labelled, texts_of, train_remainder, trimmed, with_text
 
 FEATURES = (
     "log_bytes log_words lower upper digit space newline comma_stop other_punct symbol high control "
@@ -179,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", train_rows:
     """Trees for ``labels.target`` from documents whose crc32(doc_id) mod 4 is not 2."""
 
     def rows(batches):
-        for b in batches:
+        for b in trimmed(batches):
             x = [statistics(t.as_py()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes() for v in x], pa.binary()), b.column(1)], names=["x", "y"])
 
@@ -196,24 +197,19 @@ def score(docs: DataFrame, model: Trees, threshold: float = 0.7, keep: list[str]
     Null and empty texts have the score of a text without a byte. Texts are
     read whole. An empty table gives an empty result.
     """
-    keep = keep or ["doc_id"]
-    wanted = docs.select(F.struct(*keep).alias("row"), "text")
-    kind = wanted.select("row").schema
+    wanted = with_text(docs, keep)
 
     def run(batches):
-        for b in batches:
-            p = []
+        for b in trimmed(batches):
+            texts, p = texts_of(b), [np.empty(0)]
             for at in range(0, b.num_rows, 512):
-                x = np.array([statistics(t.as_py()) for t in b.column(1).slice(at, 512)])
-                p.append(model.score(x))
-            p = np.concatenate(p) if p else np.empty(0)
+                p.append(model.score(np.array([statistics(t.as_py()) for t in texts.slice(at, 512)])))
+            p = np.concatenate(p)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=["row", "score", "predicted"]
             )
 
-    from pyspark.sql.types import DoubleType, IntegerType, StructType
-
-    out = StructType([*kind.fields]).add("score", DoubleType()).add("predicted", IntegerType())
+    out = StructType([*wanted.select("row").schema.fields]).add("score", DoubleType()).add("predicted", IntegerType())
     return wanted.mapInArrow(run, out)
 
 

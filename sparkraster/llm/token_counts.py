@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
-from sparkraster.llm.shared import for_worker
+
+from sparkraster.llm.shared import for_worker, texts_of, trimmed, with_text
 
 MARK = "▁"
 #: Remembered pre-tokens of a worker; the memory is emptied when it is full.
@@ -125,17 +126,14 @@ def count_tokens(
     repeated rows have a result each; an empty table gives none. Begin, end or
     special tokens are not added, and their strings inside a text are text.
     """
-    keep = keep or ["doc_id"]
-    wanted = docs.select(F.struct(*keep).alias("row"), "text")
+    wanted = with_text(docs, keep)
 
     def run(batches):
         counter = for_worker(("token counts", model), lambda: Counter(model))
-        for b in batches:
-            n_bytes, n = [], []
-            for t in b.column(1):
-                n_bytes.append(t.as_buffer().size if t.is_valid else 0)
-                n.append(counter.count(t.as_py()))
-            n = np.array(n, np.int64)
+        for b in trimmed(batches, keeps=True):
+            texts = texts_of(b)
+            n_bytes = [t.as_buffer().size if t.is_valid else 0 for t in texts]
+            n = np.fromiter((counter.count(t.as_py()) for t in texts), np.int64, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n_bytes, pa.int64()), pa.array(n), pa.array(n > limit)],
                 names=["row", "n_bytes", "n_tokens", "over_limit"],
