@@ -4,7 +4,7 @@ Texts are compared lower-cased, with runs of white space as one blank. Items are
 cut into windows of ``WINDOW`` characters every ``STEP``, and of ``SHORT``
 characters every ``DENSE``, so a passage of ``SHORT + DENSE - 1`` characters of
 an item holds a whole window. Items under ``MIN_CHARS`` match whole and
-verbatim. A window of length
+verbatim, those under ``Q`` characters as whole words. A window of length
 L matches a region of a text when their edit distance is at most
 ``k = floor(edit_rate * L)``. By the q-gram lemma such a region shares at least
 ``T = L - q + 1 - k * q`` of the window's q-grams, on diagonals within k of each
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkraster.llm.shared import cut
+from sparkraster.llm.shared import cut, small_batches, trimmed
 
 Q = 8
 WINDOW = 120
@@ -66,9 +66,12 @@ def grams(c: np.ndarray, q: int) -> np.ndarray:
     return h * np.uint64(0x9E3779B97F4A7C15)
 
 
-def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least: int = Q) -> list[tuple[int, str]]:
-    """(position, window) of a normalised item; the last window of a size ends with the item."""
-    if len(text) < least:
+def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least: int = 1) -> list[tuple[int, str]]:
+    """(position, window) of a normalised item; the last window of a size ends with the item.
+
+    Items of fewer than ``least`` characters have none.
+    """
+    if len(text) < least or not text:
         return []
     found = {}
     for window, step in sizes:
@@ -78,10 +81,18 @@ def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least
 
 
 class Matcher:
-    """Finds the windows of a block in texts. ``windows``: (item_id, position, text)."""
+    """Finds the windows of a block in texts. ``windows``: (item_id, window id, text)."""
 
     def __init__(self, windows: list[tuple[int, int, str]], q: int = Q, edit_rate: float = EDIT_RATE):
-        self.q, self.windows = q, windows
+        self.q = q
+        # Windows without a q-gram are looked up as words; they come last.
+        few = [w for w in windows if len(w[2]) < q]
+        windows = [w for w in windows if len(w[2]) >= q]
+        self.words: dict[str, list[int]] = {}
+        for i, w in enumerate(few, len(windows)):
+            self.words.setdefault(w[2], []).append(i)
+        self.most_words = max((w[2].count(" ") + 1 for w in few), default=0)
+        self.every = windows + few
         self.chars = [code_points(w) for _, _, w in windows]
         self.len = np.array([len(c) for c in self.chars], np.int64)
         self.k = np.where(self.len < MIN_CHARS, 0, np.floor(edit_rate * self.len)).astype(np.int64)
@@ -96,8 +107,8 @@ class Matcher:
         self.of, self.pos = of[order], pos[order]
         self.bitmap = np.zeros(1 << BITS, bool)
         self.bitmap[(self.gram >> np.uint64(64 - BITS)).astype(np.int64)] = True
-        self.reach = int((self.len + self.k).max()) if len(windows) else 0
-        self.least = int(self.need.min()) if len(windows) else 1
+        self.reach = int((self.len + self.k).max()) if windows else 0
+        self.least = int(self.need.min()) if windows else 1
 
     def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, diagonal + window length) candidates as (window, band); bands of width k + 1."""
@@ -138,17 +149,29 @@ class Matcher:
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(window, start, end, edits) of the windows that match ``text``, the best region of each."""
-        c = code_points(normal(text))
-        if len(c) < self.q or not len(self.windows):
-            return []
-        w, band = self.hits(grams(c, self.q))
+        text = normal(text)
         found: dict[int, tuple[int, int, int]] = {}
+        if self.words:
+            self._words(text, found)
+        c = code_points(text)
+        if len(c) < self.q or not len(self.len):
+            return [(x, *found[x]) for x in sorted(found)]
+        w, band = self.hits(grams(c, self.q))
         for length in np.unique(self.len[w]) if len(w) else []:
             mine = self.len[w] == length
             for at in range(0, int(mine.sum()), 256):
                 self._align(c, w[mine][at : at + 256], band[mine][at : at + 256], int(length), found)
         return [(x, *found[x]) for x in sorted(found)]
 
+    def _words(self, text: str, found: dict) -> None:
+        """Adds the short windows that are whole words of ``text``."""
+        at, words = 0, text.split(" ")
+        for i, word in enumerate(words):
+            for n in range(1, self.most_words + 1):
+                for x in self.words.get(" ".join(words[i : i + n]), ()) if i + n <= len(words) else ():
+                    found.setdefault(x, (at, at + len(self.every[x][2]), 0))
+            at += len(word) + 1
+
     def _align(self, c: np.ndarray, w: np.ndarray, band: np.ndarray, length: int, found: dict) -> None:
         """Banded edit distance of each window with its diagonals; adds those within k."""
         k = int(self.k[w[0]])
@@ -184,90 +207,91 @@ class Matcher:
                 found[int(w[j])] = hit
 
 
-def windows_table(bench: DataFrame) -> DataFrame:
-    """The distinct windows of the benchmark: ``item_id, pos, w``."""
+def windows_table(bench: DataFrame, least: int = 1) -> DataFrame:
+    """The distinct windows of the benchmark: ``item_id, window, w``; ``window`` is an id of the three."""
 
     def cut_up(batches):
         for b in batches:
-            rows = [(i, p, w) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p, w in windows_of(normal(t))]
+            rows = [(i, p, w) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p, w in windows_of(normal(t), least=least)]
             cols = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["item_id", "pos", "w"]
             )
 
-    return cut(
-        bench.select(F.col("item_id").cast("long"), "text").mapInArrow(cut_up, "item_id long, pos long, w string").distinct()
-    )
+    every = bench.select(F.col("item_id").cast("long"), "text").mapInArrow(cut_up, "item_id long, pos long, w string")
+    return cut(every.select("item_id", F.xxhash64("item_id", "pos", "w").alias("window"), "w").distinct())
 
 
 def blocks(windows: DataFrame, size: int, q: int = Q, edit_rate: float = EDIT_RATE):
     """Broadcast matchers of the windows of ``windows_table``, ``size`` windows or fewer each."""
+    small_batches(windows.sparkSession)
     n = -(-windows.count() // size)
     # Hashed blocks are binomial around their mean; half the size keeps each below the bound.
     n = n if n <= 1 else 2 * n
     for i in range(n):
-        rows = windows.where(F.pmod(F.xxhash64("item_id", "pos", "w"), F.lit(n)) == i).collect()
-        rows = sorted(((r["item_id"], r["pos"], r["w"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+        rows = windows.where(F.pmod(F.xxhash64("window", F.lit(11)), F.lit(n)) == i).collect()
+        rows = sorted(((r["item_id"], r["window"], r["w"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         yield windows.sparkSession.sparkContext.broadcast(Matcher(rows, q, edit_rate))
 
 
-def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS) -> DataFrame:
+def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1) -> DataFrame:
     """Passages of benchmark items in documents, one row for each document and item that meet.
 
-    Columns: ``doc_id, item_id, windows`` (windows of the item found),
+    Columns: ``doc_id, item_id, windows`` (different windows of the item found),
     ``item_windows`` (windows it has), ``edits`` (fewest of a window),
     ``first_char, last_char`` (region in the normalised text).
 
-    Null and empty texts, items shorter than ``Q`` normalised characters and
-    null items match nothing. Rows that share a doc_id or an
-    item_id count as one document or item. Texts are searched whole. An empty
-    table on either side gives an empty result.
+    Null and empty texts and null or empty items match nothing, nor do items of
+    fewer than ``least`` normalised characters. Rows that share a doc_id or an
+    item_id (a null one too) count as one document or item, so repeated rows
+    change nothing. Texts are searched whole. An empty table on either side
+    gives an empty result. Other columns are ignored. The result does not depend
+    on ``size``, the windows searched at a time.
     """
-    kind = "doc_id long, item_id long, windows long, edits long, first_char long, last_char long"
+    kind = "doc_id long, item_id long, window long, edits long, first_char long, last_char long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts, every = [], windows_table(bench)
-    for shared in blocks(every, size):
-        parts.append(rows.mapInArrow(_search(shared), kind))
+    every = windows_table(bench, least)
+    parts = [rows.mapInArrow(_search(shared), kind) for shared in blocks(every, size)]
     if not parts:
-        return rows.sparkSession.createDataFrame([], kind.replace("edits", "item_windows long, edits"))
+        return rows.sparkSession.createDataFrame([], kind.replace("window long", "windows long, item_windows long"))
     found = functools.reduce(DataFrame.unionAll, parts)
-    found = found.groupBy("doc_id", "item_id").agg(
-        F.sum("windows").alias("windows"), F.min("edits").alias("edits"),
-        F.min("first_char").alias("first_char"), F.max("last_char").alias("last_char"),
-    )
+    regions = [F.min("edits").alias("edits"), F.min("first_char").alias("first_char"), F.max("last_char").alias("last_char")]
+    found = found.groupBy("doc_id", "item_id", "window").agg(*regions)
+    found = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("windows"), *regions)
     has = every.groupBy(F.col("item_id").alias("of")).agg(F.count("*").alias("item_windows"))
-    names = [c.split()[0] for c in kind.split(", ")]
-    return found.join(has, F.col("item_id").eqNullSafe(F.col("of"))).select(*names[:3], "item_windows", *names[3:])
+    return found.join(has, F.col("item_id").eqNullSafe(F.col("of"))).select(
+        "doc_id", "item_id", "windows", "item_windows", "edits", "first_char", "last_char"
+    )
 
 
 def _search(shared):
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in trimmed(batches):
             out = []
             for doc, t in zip(b.column(0).to_pylist(), b.column(1)):
-                by: dict = {}
-                for w, s, e, cost in m.find(t.as_py()):
-                    by.setdefault(m.windows[w][0], []).append((s, e, cost))
-                for item, x in by.items():
-                    out.append((doc, item, len(x), min(v[2] for v in x), min(v[0] for v in x), max(v[1] for v in x)))
+                out += [(doc, *m.every[w][:2], cost, s, e) for w, s, e, cost in m.find(t.as_py())]
             cols = list(zip(*out)) or [()] * 6
-            names = ["doc_id", "item_id", "windows", "edits", "first_char", "last_char"]
+            names = ["doc_id", "item_id", "window", "edits", "first_char", "last_char"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
     return run
 
 
-def clean(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` without a passage of ``bench``, columns as they are; no shuffle."""
-    for shared in blocks(windows_table(bench), size):
+def clean(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1) -> DataFrame:
+    """The rows of ``docs`` without a passage of ``bench``, columns as they are; no shuffle.
+
+    Rows with a null or empty text stay, and all rows where ``bench`` is empty or
+    has no text; repeated rows stay or go together; an empty table stays empty.
+    """
+    for shared in blocks(windows_table(bench, least), size):
         docs = docs.mapInArrow(_without(shared, docs.columns.index("text")), docs.schema)
     return docs
 
 
 def _without(shared, text: int):
     def run(batches):
-        for b in batches:
+        for b in trimmed(batches):
             keep = np.array([not shared.value.find(t.as_py()) for t in b.column(text)], bool)
             yield b.filter(pa.array(keep))
 
