@@ -16,16 +16,22 @@ its size classes (whose number is bounded by the logarithm of the largest size),
 and one last probability for each source is rounded by itself. A source that
 holds a third of all rows is only more groups. All of it is DataFrame
 expressions; random numbers are hashes of (seed, level, document), so a rerun
-gives the same mix whatever the partitions.
+gives the same mix whatever the partitions. A document is known by a hash of its
+id, source and text; rows alike in all three are numbered, so any number of them
+spreads over as many groups as other rows. Only ids and sizes go through the
+tree; the rows themselves are joined to its decisions once, at the end.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sparkraster.llm.shared import WORD, cut, stored
+from sparkraster.operators.sampling import _ranked
 
 WEIGHTS = (5.0, 2.0, 1.0)
 FAN = 48
@@ -53,23 +59,18 @@ def source_targets(
     by = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     rank = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
-    by = cut(by.select("source", "source_size", w.alias("weight")))
     cap = F.col("source_size") * F.lit(float(most_copies))
-    level = 0.0
-    while True:  # each round caps one more source at least
-        free = (cap > F.col("weight") * F.lit(level)) & (F.col("source_size") > 0)
-        row = by.agg(
-            (F.sum("source_size") * share).alias("total"),
-            F.sum(F.when(~free, cap)).alias("capped"),
-            F.sum(F.when(free, F.col("weight"))).alias("weights"),
-        ).first()
-        if not row["weights"]:
-            break
-        new = (row["total"] - (row["capped"] or 0.0)) / row["weights"]
-        if new <= level:
-            break
-        level = new
-    return by.select("source", "source_size", F.least(cap, F.col("weight") * F.lit(level)).alias("target"))
+    by = cut(by.select("source", "source_size", w.alias("weight"), cap.alias("cap")))
+    # In order of cap over weight, the sources before some place are capped and the others share the rest by weight;
+    # the level is the rest over their weights at the first place where no cap lies below it.
+    before = W.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    onward = W.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last()).rowsBetween(0, W.unboundedFollowing)
+    total = by.agg(F.sum("source_size").cast("double")).first()[0] or 0.0
+    level = (F.lit(total * share) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(onward)
+    fits = by.where("source_size > 0").select(level.alias("level"), (F.col("cap") / F.col("weight")).alias("own"))
+    level = fits.where("level <= own").agg(F.max("level")).first()[0]
+    target = F.col("cap") if level is None else F.least("cap", F.col("weight") * F.lit(level))
+    return by.select("source", "source_size", target.alias("target"))
 
 
 def _uniform(seed: int, level: Column | int, *keys: Column) -> Column:
@@ -124,36 +125,43 @@ def _fold(items: Column) -> Column:
 def _level(df: DataFrame, keys: list[str], level: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """One level of the tree: rounds each group of ``keys``; (decided rows, residual rows).
 
-    ``df`` has the keys and ``size, uid, p, row``. A group is folded from its
+    ``df`` has the keys and ``size, uid, no, p``. A group is folded from its
     largest document to its smallest.
     """
-    item = F.struct((-F.col("size")).alias("o"), F.xxhash64(F.lit(seed), "uid").alias("h"), "uid", "p", "row")
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item), _by_size).alias("items"))
+    item = F.struct((-F.col("size")).alias("o"), F.xxhash64(F.lit(seed), "uid").alias("h"), "uid", "no", "p")
     psu = F.transform(
         "items",
         lambda x: F.struct(
             x["p"].alias("p"), (-x["o"]).cast("double").alias("s"), _uniform(seed, level, x["uid"]).alias("u")
         ),
     )
+    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
     g = stored(g.withColumn("f", _fold(psu)))
     decided = g.select(
-        F.inline(
-            F.transform(
-                "f.done", lambda d: F.struct(F.element_at("items", d["i"])["row"].alias("row"), d["v"].alias("extra"))
-            )
-        )
+        F.inline(F.transform("f.done", lambda d: F.struct(F.element_at("items", d["i"])["no"].alias("no"), d["v"].alias("extra"))))
     )
     at = F.element_at("items", F.col("f.at"))
     rest = g.where(F.col("f.at") > 0).select(
-        *keys, (-at["o"]).alias("size"), at["uid"].alias("uid"), F.col("f.p").alias("p"), at["row"].alias("row")
+        *keys, (-at["o"]).alias("size"), at["uid"].alias("uid"), at["no"].alias("no"), F.col("f.p").alias("p")
     )
     return decided, rest
 
 
-def _by_size(x: Column, y: Column) -> Column:
-    """Order of (o, h, uid); the row itself is not compared, it may hold maps."""
-    kx, ky = (F.struct(v["o"].alias("o"), v["h"].alias("h"), v["uid"].alias("uid")) for v in (x, y))
-    return F.when(kx < ky, -1).when(kx > ky, 1).otherwise(0)
+def _numbered(base: DataFrame) -> DataFrame:
+    """``base(no, key, ...)`` with ``uid``, a hash of the key and of the row's number among rows of the same key.
+
+    Rows of one key are alike, so it does not matter which gets which number.
+    Only repeated keys are ranked, in ranges of (key, no) that cut a key with
+    many rows; no task holds all rows of a key.
+    """
+    often = base.groupBy("key").count().where("count > 1").select(F.col("key").alias("often"))
+    seen = base.join(often, F.col("key") == F.col("often"), "left")
+    single = seen.where("often is null").drop("often").withColumn("uid", F.col("key"))
+    ranked = _ranked(seen.where("often is not null").drop("often"), [F.col("key"), F.col("no")])
+    first = ranked.groupBy(F.col("key").alias("first_key")).agg(F.min("rank").alias("first"))
+    again = ranked.join(first, F.col("key") == F.col("first_key"))
+    again = again.withColumn("uid", F.xxhash64("key", F.col("rank") - F.col("first")))
+    return single.unionByName(again.drop("rank", "first", "first_key"))
 
 
 def mix(
@@ -171,17 +179,18 @@ def mix(
     ``size, source_size, target, copies, taken`` (``copies * size``).
 
     Null or empty texts have size 0 and take 0 words; null sources are a source
-    of their own, last in order; repeated rows and repeated ids are documents of
-    their own. Rows equal in all of ``keep``, source and size are exchangeable.
+    of their own, last in order; repeated rows and repeated or null ids are
+    documents of their own. Rows equal in id, source and text are exchangeable.
     An empty table gives an empty result. Other columns are ignored.
     """
     keep = keep or ["doc_id"]
-    base = stored(
+    rows = stored(
         docs.select(
-            F.struct(*keep).alias("row"), F.col("source"), size_in_words(F.col("text")).alias("size"),
-            F.xxhash64(F.col("doc_id"), F.col("source")).alias("uid"),
+            F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col("source"), size_in_words(F.col("text")).alias("size"),
+            F.xxhash64("doc_id", "source", "text").alias("key"), F.monotonically_increasing_id().alias("no"),
         )
     )
+    base = stored(_numbered(rows.select("no", "key", "source", "size")))
     targets = source_targets(base, weights, share, most_copies).withColumnRenamed("source", "ts")
     cls = F.floor(F.log2(F.col("size") + F.lit(1.0)) * CLASSES_PER_DOUBLING).cast("int")
     # One small table, sources x size classes, tells into how many groups a class goes.
@@ -201,13 +210,12 @@ def mix(
         base.withColumn("cls", cls)
         .join(classes, F.col("source").eqNullSafe(F.col("cs")) & (F.col("cls") == F.col("cc")))
         .select(
-            "source", "cls", "size", "uid", F.greatest(rate - whole, F.lit(0.0)).alias("p"),
+            "source", "cls", "size", "uid", "no", F.greatest(rate - whole, F.lit(0.0)).alias("p"),
             F.pmod(F.xxhash64(F.lit(seed), F.lit("group"), "uid"), F.col("groups")).cast("int").alias("g"),
-            F.struct("row", "size", "source_size", "target", whole.cast("int").alias("whole")).alias("row"),
         )
     )
     settled = (F.col("p") < EPS) | (F.col("size") == 0)
-    done = [leaf.where(settled).select("row", F.lit(0).alias("extra"))]
+    done = [leaf.where(settled).select("no", F.lit(0).alias("extra"))]
     df, level = leaf.where(~settled), 0
     while True:
         decided, rest = _level(df, ["source", "cls", "g"], level, seed)
@@ -218,18 +226,20 @@ def mix(
         most, level = -(-most // FAN), level + 1
     decided, last = _level(rest.drop("cls", "g"), ["source"], 1000, seed)
     done.append(decided)
-    done.append(last.select("row", (_uniform(seed, 2000, F.col("uid")) < F.col("p")).cast("int").alias("extra")))
-    every = done[0]
-    for x in done[1:]:
-        every = every.unionAll(x)
-    copies = F.col("row.whole") + F.col("extra")
-    return every.select(
-        "row.row", "row.size", "row.source_size", "row.target", copies.alias("copies"),
-        (copies * F.col("row.size")).cast("long").alias("taken"),
+    done.append(last.select("no", (_uniform(seed, 2000, F.col("uid")) < F.col("p")).cast("int").alias("extra")))
+    every = functools.reduce(DataFrame.unionAll, done)
+    of_source = targets.select("ts", "source_size", "target", whole.cast("int").alias("whole"))
+    copies = F.col("whole") + F.col("extra")
+    found = rows.drop("key").join(every, "no").join(of_source, F.col("source").eqNullSafe(F.col("ts")))
+    return found.select(
+        "row", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
     )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as ``mix`` takes it, columns as they are."""
+    """The mix itself: every row of ``docs`` as often as ``mix`` takes it, columns as they are.
+
+    Rows without words are taken once for each whole copy of their source.
+    """
     m = mix(docs, keep=docs.columns, **options)
     return m.where("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")
