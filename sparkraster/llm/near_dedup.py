@@ -9,9 +9,11 @@ vectors). In a tile every unit vector v is s * q + e with int8 q, so
     |u.v - s_u s_v (q_u . q_v)| <= |e_u| |s_v q_v| + |e_v|
 
 with the norms of the errors known for each vector. Products of int8 codes are
-exact in float32 over up to 1024 dimensions at a time. Only pairs whose bound
-reaches the threshold are computed again in double precision. A tile gives sums
-of links for its vectors and a star forest of them, never the pairs.
+exact in float32 over up to 1024 dimensions at a time. Vectors are quantised
+once, and the tiles first meet in codes alone, an eighth of the bytes; only tiles
+with a pair whose bound reaches the threshold fetch the doubles, and only such
+pairs are computed again. A tile gives sums of links for its vectors and a star
+forest of them, never the pairs.
 """
 
 from __future__ import annotations
@@ -22,11 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkraster.llm.shared import mix64, spanning_edges, stored
+from sparkraster.llm.shared import mix64, small_batches, spanning_edges, stored, trimmed
 from sparkraster.operators.graph import components
 
 BLOCK = 1024
-SALTS = 8
+#: Blocks of a label that one task compares with all its blocks.
+SHARE = 16
 DIMS_EXACT = 1024  # 1024 * 127 * 127 < 2**24
 
 
@@ -47,17 +50,23 @@ def code_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of rows with cosine >= threshold; ``b`` None: pairs i < j of ``a``."""
+def possible(a: tuple, b: tuple, threshold: float) -> np.ndarray:
+    """Matrix of the pairs of two quantised blocks whose cosine may reach ``threshold``."""
+    (qa, sa, ea, ma), (qb, sb, eb, mb) = a, b
+    high = code_products(qa, qb) * sa[:, None] * sb[None, :]
+    high += ea[:, None] * mb[None, :] + eb[None, :]
+    return high >= threshold - 1e-9
+
+
+def linked_pairs(a: np.ndarray, b: np.ndarray | None, threshold: float, qa: tuple = (), qb: tuple = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of rows with cosine >= threshold; ``b`` None: pairs i < j of ``a``. ``qa, qb``: as ``quantise`` gives them."""
     same = b is None
     na = np.sqrt((a * a).sum(1))
     nb = na if same else np.sqrt((b * b).sum(1))
-    qa, sa, ea, ma = quantise(a / na[:, None])
-    qb, sb, eb, mb = (qa, sa, ea, ma) if same else quantise(b / nb[:, None])
+    qa = qa or quantise(a / na[:, None])
+    qb = qa if same else qb or quantise(b / nb[:, None])
     b = a if same else b
-    high = code_products(qa, qb) * sa[:, None] * sb[None, :]
-    high += ea[:, None] * mb[None, :] + eb[None, :]
-    maybe = high >= threshold - 1e-9
+    maybe = possible(qa, qb, threshold)
     if same:
         maybe = np.triu(maybe, 1)
     i, j = np.nonzero(maybe)
@@ -119,6 +128,9 @@ def _blocks(classes: DataFrame) -> DataFrame:
         def block():
             nonlocal made
             made += 1
+            vecs = b"".join(r["vec"] for r in rows)
+            v = np.frombuffer(vecs, np.float64).reshape(len(rows), -1)
+            codes, *bounds = quantise(v / np.sqrt((v * v).sum(1))[:, None])
             return pa.RecordBatch.from_pylist(
                 [
                     {
@@ -126,7 +138,7 @@ def _blocks(classes: DataFrame) -> DataFrame:
                         "lo": rows[0]["proj"], "hi": rows[-1]["proj"],
                         "ids": np.array([r["rep"] for r in rows], "<i8").tobytes(),
                         "copies": np.array([r["copies"] for r in rows], "<i8").tobytes(),
-                        "vecs": b"".join(r["vec"] for r in rows),
+                        "vecs": vecs, "codes": codes.tobytes(), "bounds": np.array(bounds).tobytes(),
                     }
                 ],
                 schema=schema,
@@ -134,7 +146,7 @@ def _blocks(classes: DataFrame) -> DataFrame:
 
         schema = pa.schema(
             [("label", pa.string()), ("dims", pa.int32()), ("block", pa.int64()), ("lo", pa.float64()), ("hi", pa.float64()),
-             ("ids", pa.binary()), ("copies", pa.binary()), ("vecs", pa.binary())]
+             ("ids", pa.binary()), ("copies", pa.binary()), ("vecs", pa.binary()), ("codes", pa.binary()), ("bounds", pa.binary())]
         )
         for b in batches:
             for r in b.to_pylist():
@@ -150,16 +162,20 @@ def _blocks(classes: DataFrame) -> DataFrame:
     order = ["label", "dims", "proj", "rep"]
     dealt = classes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return dealt.select("rep", "label", "dims", "proj", "copies", "vec").mapInArrow(
-        pack, "label string, dims int, block long, lo double, hi double, ids binary, copies binary, vecs binary"
+        pack, "label string, dims int, block long, lo double, hi double, ids binary, copies binary, vecs binary, codes binary, bounds binary"
     )
 
 
 def _tiles(blocks: DataFrame, threshold: float) -> DataFrame:
     """``id, other, n``: links of a vector in a tile (n > 0), and star edges (other not null)."""
 
-    def load(ids, copies, vecs):
-        ids = np.frombuffer(ids, "<i8")
-        return ids, np.frombuffer(copies, "<i8"), np.frombuffer(vecs, np.float64).reshape(len(ids), -1)
+    def load(r, end=""):
+        ids = np.frombuffer(r["ids" + end], "<i8")
+        return ids, np.frombuffer(r["copies" + end], "<i8"), np.frombuffer(r["vecs" + end], np.float64).reshape(len(ids), -1)
+
+    def quantised(codes, bounds):
+        bounds = np.frombuffer(bounds, np.float64).reshape(3, -1)
+        return np.frombuffer(codes, np.int8).reshape(bounds.shape[1], -1), *bounds
 
     def result(ids, copies, i, j):
         n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
@@ -175,35 +191,50 @@ def _tiles(blocks: DataFrame, threshold: float) -> DataFrame:
         )
 
     def own(batches):
-        for b in batches:
+        for b in trimmed(batches):
             for r in b.to_pylist():
-                ids, copies, v = load(r["ids"], r["copies"], r["vecs"])
-                yield result(ids, copies, *linked_pairs(v, None, threshold))
+                ids, copies, v = load(r)
+                yield result(ids, copies, *linked_pairs(v, None, threshold, quantised(r["codes"], r["bounds"])))
+
+    def meet(batches):
+        for b in trimmed(batches):
+            rows = b.to_pylist()
+            near = [possible(quantised(r["codes"], r["bounds"]), quantised(r["codes_b"], r["bounds_b"]), threshold).any() for r in rows]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["p", "q"]).filter(pa.array(near, pa.bool_()))
 
     def cross(batches):
-        for b in batches:
+        for b in trimmed(batches):
             for r in b.to_pylist():
-                ia, ca, va = load(r["ids"], r["copies"], r["vecs"])
-                ib, cb, vb = load(r["ids_b"], r["copies_b"], r["vecs_b"])
-                i, j = linked_pairs(va, vb, threshold)
+                ia, ca, va = load(r)
+                ib, cb, vb = load(r, "_b")
+                i, j = linked_pairs(va, vb, threshold, quantised(r["codes"], r["bounds"]), quantised(r["codes_b"], r["bounds_b"]))
                 yield result(np.concatenate([ia, ib]), np.concatenate([ca, cb]), i, j + len(ia))
 
+    def side(name, end, columns):
+        return blocks.select(F.col("block").alias(name), *[F.col(c).alias(c + end) for c in columns])
+
     kind = "id long, other long, n long"
-    inner = blocks.select("ids", "copies", "vecs").mapInArrow(own, kind)
-    # A hot label has many blocks: one side is dealt to SALTS tasks, the other goes to each of them.
-    salt = F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt")
-    left = blocks.select("label", "dims", salt, F.col("block").alias("p"), F.col("lo").alias("lo_p"), F.col("hi").alias("hi_p"))
-    right = blocks.select(
-        "label", "dims", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    inner = blocks.select("ids", "copies", "vecs", "codes", "bounds").mapInArrow(own, kind)
+    # A label of many blocks is dealt to a task for each SHARE of them: one side by a hash, the other to every task.
+    key = ["label", "dims"]
+    shares = blocks.groupBy(*key).agg(F.ceil(F.count("*") / SHARE).cast("int").alias("shares"))
+    light = blocks.select(*key, "block", "lo", "hi").join(shares, key)
+    left = light.select(
+        *key, F.pmod(F.xxhash64("block"), F.col("shares")).cast("int").alias("share"),
+        F.col("block").alias("p"), F.col("lo").alias("lo_p"), F.col("hi").alias("hi_p"),
+    )
+    right = light.select(
+        *key, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"),
         F.col("block").alias("q"), F.col("lo").alias("lo_q"), F.col("hi").alias("hi_q"),
     )
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9)
-    meet = left.join(right, ["label", "dims", "salt"]).where(
+    pairs = left.join(right, [*key, "share"]).where(
         (F.col("p") < F.col("q")) & (F.col("lo_q") <= F.col("hi_p") + reach) & (F.col("lo_p") <= F.col("hi_q") + reach)
     ).select("p", "q")
-    a = blocks.select(F.col("block").alias("p"), "ids", "copies", "vecs")
-    b = blocks.select(F.col("block").alias("q"), *[F.col(c).alias(f"{c}_b") for c in ("ids", "copies", "vecs")])
-    outer = meet.join(a, "p").join(b, "q").drop("p", "q").mapInArrow(cross, kind)
+    codes = pairs.join(side("p", "", ["codes", "bounds"]), "p").join(side("q", "_b", ["codes", "bounds"]), "q")
+    near = stored(codes.select("p", "q", "codes", "bounds", "codes_b", "bounds_b").mapInArrow(meet, "p long, q long"))
+    every = ["ids", "copies", "vecs", "codes", "bounds"]
+    outer = near.join(side("p", "", every), "p").join(side("q", "_b", every), "q").drop("p", "q").mapInArrow(cross, kind)
     return inner.unionAll(outer)
 
 
@@ -222,6 +253,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98, label: str = "labe
     is its own. A null vec_id has the component of its links or null. An empty
     table gives an empty result.
     """
+    small_batches(rows.sparkSession)
     ready = stored(_prepare(rows, label, column))
     key = ["label", "dims", "k1", "k2"]
     # proj and vec are the same for all rows of a class.
