@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import json
 import uuid
 import zlib
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkraster.llm.shared import AtomicFile, cut, fresh_dir, open_fs, stored
+from sparkraster.llm.shared import AtomicFile, cut, fresh_dir, open_fs, small_batches, stored
 
 MAGIC = b"CIX1"
 LINES = 1024
@@ -120,6 +121,7 @@ def write(pages: DataFrame, path: str, least: int = 0) -> DataFrame:
     revisits. Other columns are ignored; an empty table writes nothing.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
     ).select("page_id", "url", F.sha1(F.col("html").cast("binary")).alias("sha"), "html")
@@ -212,80 +214,71 @@ class Shard:
         self.directory = json.loads(zlib.decompress(self.f.read_at(n, at)))
         self.keys = [x[0] for x in self.directory]
 
-    def block(self, i: int) -> list[list]:
-        _, at, n, _ = self.directory[i]
-        return [json.loads(x) for x in zlib.decompress(self.f.read_at(n, at)).decode().split("\n")]
+        self.last: tuple[int, list[list], list[str]] = (-1, [], [])
 
-    def captures(self, key: str) -> list[list]:
+    def block(self, i: int) -> list[list]:
+        """The lines of a block; the last one read is kept, as lookups come in order of keys."""
+        if self.last[0] != i:
+            _, at, n, _ = self.directory[i]
+            lines = [json.loads(x) for x in zlib.decompress(self.f.read_at(n, at)).decode().split("\n")]
+            self.last = i, lines, [x[0] for x in lines]
+        return self.last[1]
+
+    def captures(self, key: str):
         """Lines of ``key``: the block before the first with a larger or equal key, and on from there."""
         i = max(0, bisect.bisect_left(self.keys, key) - 1)
-        found = []
         while i < len(self.keys) and self.keys[i] <= key:
-            found += [x for x in self.block(i) if x[0] == key]
+            lines = self.block(i)
+            keys = self.last[2]
+            yield from lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
             i += 1
-        return found
-
-
-def lines_of(manifest: DataFrame, path: str) -> DataFrame:
-    """Every capture line of the index: ``key, page_id, file, at, size``."""
-
-    def run(batches):
-        for b in batches:
-            for name in b.column(0).to_pylist():
-                shard = Shard(f"{path}/{name}")
-                for i in range(len(shard.keys)):
-                    cols = list(zip(*shard.block(i)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2]), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
-                        names=["key", "page_id", "file", "at", "size"],
-                    )
-
-    n = max(1, manifest.count())
-    return manifest.select("file", "shard").repartitionByRange(n, "shard").select("file").mapInArrow(
-        run, "key string, page_id long, file string, at long, size long"
-    )
 
 
 def find(urls: DataFrame, manifest: DataFrame, path: str) -> DataFrame:
-    """Captures of ``urls(url)``: ``url, page_id, file, at, size``. Null urls find nothing.
+    """Captures of ``urls(url)``: ``key, page_id, file, at, size``, once for each key that a url has.
 
-    The manifest has one row for each shard, so it is bounded by the number of
-    partitions that wrote it; it is the only thing sent to all tasks.
+    A key goes to every index shard whose range holds it, so the captures of a
+    key with very many are read by as many tasks. A null url finds the captures
+    of null urls. The manifest has one row for each shard, so it is bounded by
+    the number of partitions that wrote it; it is the only thing sent to all
+    tasks.
     """
     shards = sorted((r["first_key"], r["last_key"], r["file"]) for r in manifest.collect())
 
     def route(batches):
         firsts = [s[0] for s in shards]
         for b in batches:
-            url, key, file = [], [], []
+            key, file = [], []
             for u in b.column(0).to_pylist():
                 k = sort_key(u)
                 i = max(0, bisect.bisect_left(firsts, k) - 1)
                 while i < len(shards) and shards[i][0] <= k:
                     if shards[i][1] >= k:
-                        url.append(u)
                         key.append(k)
                         file.append(shards[i][2])
                     i += 1
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (url, key, file)], names=["url", "key", "shard"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (key, file)], names=["key", "shard"])
 
     def search(batches):
-        open_: dict[str, Shard] = {}
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
         for b in batches:
-            out = []
-            for url, key, file in zip(*(c.to_pylist() for c in b.columns)):
-                if file not in open_:
-                    open_.clear()
-                    open_[file] = Shard(f"{path}/{file}")
-                out += [(url, *x[1:]) for x in open_[file].captures(key)]
-            cols = list(zip(*out)) or [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["url", "page_id", "file", "at", "size"])
-
-    routed = urls.where("url is not null").select("url").distinct().mapInArrow(route, "url string, key string, shard string")
+            out = itertools.chain.from_iterable(lookups(b))
+            while some := list(itertools.islice(out, 8192)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*some), kinds)], names=["key", "page_id", "file", "at", "size"]
+                )
+
+    def lookups(b):
+        name = shard = None
+        for key, file in zip(*(c.to_pylist() for c in b.columns)):
+            if file != name:
+                name, shard = file, Shard(f"{path}/{file}")
+            yield shard.captures(key)
+
+    routed = urls.select("url").distinct().mapInArrow(route, "key string, shard string").distinct()
     parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = routed.repartitionByRange(parts, "shard", "key").sortWithinPartitions("shard", "key")
-    return dealt.mapInArrow(search, "url string, page_id long, file string, at long, size long")
+    return dealt.select("key", "shard").mapInArrow(search, "key string, page_id long, file string, at long, size long")
 
 
 def records(captures: DataFrame, path: str) -> DataFrame:
@@ -331,7 +324,7 @@ def records(captures: DataFrame, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, path: str | None = None, least: int = 0) -> DataFrame:
-    """Write the archives of ``pages`` and read every record back through the index."""
+    """Write the archives of ``pages``, look every url up in the index, and read the records found."""
     path = path or fresh_dir(pages.sparkSession, "warc")
     manifest = write(pages, path, least)
-    return records(cut(lines_of(manifest, path)), path)
+    return records(cut(find(pages.select("url"), manifest, path)), path)
