@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkraster.functions import bands as B
+from sparkraster.operators.sampling import exact_quantiles
 
 
 def _grouped(df: DataFrame, keys: list[str]):
@@ -145,12 +146,10 @@ def losses(pixels: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def band_percentiles(pixels: DataFrame, columns: list[str], lo: float = 0.005, hi: float = 0.995) -> DataFrame:
-    """Exact ``band_idx, p_lo, p_hi, n_valid`` of valid pixels, linear between ranks."""
-    q = F.array(F.lit(lo), F.lit(hi))
-    one = pixels.where("valid = 1").agg(*[F.percentile(F.col(c).cast("double"), q).alias(c) for c in columns], F.count("*").alias("n"))
-    return one.select(
-        F.inline(F.array(*[F.struct(F.lit(i).alias("band_idx"), F.col(c)[0].alias("p_lo"), F.col(c)[1].alias("p_hi"), F.col("n").alias("n_valid")) for i, c in enumerate(columns)]))
-    )
+    """Exact ``band_idx, p_lo, p_hi, n_valid`` of valid pixels, linear between ranks; see ``exact_quantiles``."""
+    long = F.inline(F.array(*[F.struct(F.lit(i).alias("band_idx"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]))
+    q = exact_quantiles(pixels.where("valid = 1").select(long), "band_idx", "v", [lo, hi])
+    return q.select("band_idx", F.col("q0").alias("p_lo"), F.col("q1").alias("p_hi"), F.col("n").alias("n_valid"))
 
 
 def band_sketches(pixels: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:

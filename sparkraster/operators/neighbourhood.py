@@ -87,6 +87,10 @@ def distance_transform(pixels: DataFrame, boundary: str, clip: int) -> DataFrame
     return j.select(*KEY, F.when(F.col("valid") == 1, d).otherwise(0.0).alias("distance"))
 
 
+#: Columns of a cell in which runs of neighbouring rows meet.
+RUN_CELL = 256
+
+
 def connected_components(mask: DataFrame, width: int, height: int, connectivity: int = 4) -> DataFrame:
     """``scene_id, y, x, label`` of the pixels of ``mask``; a label is 1 + the smallest pixel number of its component.
 
@@ -101,8 +105,16 @@ def connected_components(mask: DataFrame, width: int, height: int, connectivity:
     runs = runs.groupBy("scene_id", "y", "n").agg(F.min("x").alias("a"), F.max("x").alias("b"))
     runs = runs.withColumn("node", number + F.col("a"))
     reach = 0 if connectivity == 4 else 1
-    below = runs.select("scene_id", (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("b_node"))
-    links = runs.join(below, ["scene_id", "y"]).where((F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach))
+    # Runs of neighbouring rows meet in cells of columns; a pair counts in the cell where its common columns begin.
+    cell = lambda c: F.floor(c / RUN_CELL).cast("long")
+    above = runs.withColumn("cell", F.explode(F.sequence(cell(F.col("a") - reach), cell(F.col("b") + reach))))
+    below = runs.select(
+        "scene_id", (F.col("y") - 1).alias("y"), F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("node").alias("b_node"),
+        F.explode(F.sequence(cell(F.col("a")), cell(F.col("b")))).alias("cell"),
+    )
+    links = above.join(below, ["scene_id", "y", "cell"]).where(
+        (F.col("a") <= F.col("b2") + reach) & (F.col("a2") <= F.col("b") + reach) & (cell(F.greatest(F.col("a") - reach, F.col("a2"))) == F.col("cell"))
+    )
     comp = components(links.select(F.col("node").alias("a"), F.col("b_node").alias("b")))
     out = runs.join(comp, "node", "left").withColumn("label", F.coalesce("component", "node") - F.col("scene_id") * height * width + 1)
     return out.select("scene_id", "y", F.explode(F.sequence("a", "b")).alias("x"), "label")

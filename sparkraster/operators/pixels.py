@@ -53,23 +53,40 @@ def world_bounds_to_pixels(rects: DataFrame, gt: list[float], width: int, height
     )
 
 
-def valid_mask(pixels: DataFrame, band: str = "b1", mask: str | None = None, nodata: float | None = None, override: bool = False) -> DataFrame:
-    """Adds ``valid`` (0/1): dataset mask and band not nodata, NaN aware; ``override`` makes all pixels valid.
+def valid_mask(
+    pixels: DataFrame, band: str = "b1", mask: str | None = None, nodata: float | None = None, override: bool | str = False, mode: str = "prep"
+) -> DataFrame:
+    """Adds ``valid`` (0/1).
 
-    Without a mask, nodata or override the mask cannot be told, which is an error.
+    ``mode`` prep: dataset mask and band not nodata, NaN aware; ``override``
+    makes all pixels valid. ``mode`` predict: the first of mask, nodata and
+    override that there is, and no other; ``override`` may name a 0/1 column.
+    Without any of the three the mask cannot be told, which is an error.
     """
     if mask is None and nodata is None and not override:
         raise ValueError("no mask, nodata value or override tells valid pixels")
-    ok = F.lit(True)
-    if not override:
-        if mask is not None:
-            ok = ok & (F.col(mask) != 0)
-        if nodata is not None:
-            isnan = nodata != nodata
-            ok = ok & (~F.isnan(band) if isnan else F.col(band) != F.lit(nodata))
+    if mode not in ("prep", "predict"):
+        raise ValueError(f"unknown mode: {mode}")
+    tests = []
+    if mask is not None:
+        tests.append(F.col(mask) != 0)
+    if nodata is not None:
+        tests.append(~F.isnan(band) if nodata != nodata else F.col(band) != F.lit(nodata))
+    forced = (F.col(override) != 0) if isinstance(override, str) else F.lit(True)
+    if mode == "predict":
+        ok = [*tests, forced][0]
+    elif override:
+        ok = forced
+    else:
+        ok = tests[0] if len(tests) == 1 else tests[0] & tests[1]
     return pixels.withColumn("valid", F.coalesce(ok.cast("int"), F.lit(0)))
 
 
+def stamp_ignore(pixels: DataFrame, target: str = "gt_extent", label: int = 255) -> DataFrame:
+    """The extent target becomes ``label`` where a pixel is not valid, so that losses and metrics leave it out."""
+    return pixels.withColumn(target, F.when(F.col("valid") == 1, F.col(target)).otherwise(F.lit(label)))
+
+
 def band_indices(pixels: DataFrame, masked: bool = False) -> DataFrame:
     """Adds ``ndvi, savi, ndwi``. ``masked``: 0 where invalid or not finite, and all bands 0 where invalid."""
     g, r, n = (F.col(c).cast("double") for c in (B.GREEN, B.RED, B.NIR))

@@ -6,14 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from sparkraster.functions import bands as B
+from sparkraster.operators.sampling import _ranked
+from sparkraster.operators.tables import shared_table
 
 #: Required fields and statuses of a run record, and which way a metric is better.
 REQUIRED_FIELDS = (
     "schema_name", "schema_version", "module_name", "module_version", "data_contract_version", "run_id", "stage_name", "created_at_utc", "status",
 )
+#: Required fields that may be null.
+NULLABLE_FIELDS = ("module_version", "stage_name")
 STATUSES = ("success", "partial", "failed")
-LOWER_IS_BETTER = ("bde", "goc", "guc", "gtc", "norm_gtc")
+#: Which way each metric is better.
+ORIENTATION = {
+    "extent_iou": "higher_is_better", "extent_f1": "higher_is_better", "extent_precision": "higher_is_better", "extent_recall": "higher_is_better",
+    "boundary_f1": "higher_is_better", "boundary_precision": "higher_is_better", "boundary_recall": "higher_is_better",
+    "boundary_bde": "lower_is_better", "goc": "lower_is_better", "guc": "lower_is_better", "gtc": "lower_is_better", "normalized_gtc": "lower_is_better",
+}
 
 
 def reasons(tests: dict[str, Column]) -> Column:
@@ -21,10 +29,21 @@ def reasons(tests: dict[str, Column]) -> Column:
     return F.filter(F.array(*[F.when(bad, F.lit(n)) for n, bad in tests.items()]), lambda v: v.isNotNull())
 
 
-def manifest_contract(runs: DataFrame, required: tuple[str, ...] = REQUIRED_FIELDS, key: str = "run_id") -> DataFrame:
-    """A row for each missing or empty required field and each unknown status."""
-    tests = {f"missing_{c}": F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == "" for c in required}
-    tests["status"] = F.col("status").isNotNull() & ~F.col("status").isin(*STATUSES)
+def manifest_contract(
+    runs: DataFrame, required: tuple[str, ...] = REQUIRED_FIELDS, nullable: tuple[str, ...] = NULLABLE_FIELDS, key: str = "run_id"
+) -> DataFrame:
+    """A row for each required field that is not there, is null or empty, and for each unknown status.
+
+    The ``nullable`` fields must be there and may be null.
+    """
+    tests = {}
+    for c in required:
+        if c not in runs.columns:
+            tests[f"missing_{c}"] = F.lit(True)
+        elif c not in nullable:
+            tests[f"missing_{c}"] = F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    if "status" in runs.columns:
+        tests["status"] = F.col("status").isNotNull() & ~F.col("status").isin(*STATUSES)
     return runs.select(key, F.explode(reasons(tests)).alias("violation"))
 
 
@@ -42,30 +61,69 @@ def write_manifests(runs: DataFrame, path: str) -> None:
     runs.write.mode("errorifexists").json(path)
 
 
+def export_table(rows: DataFrame, path: str, kind: str = "json") -> None:
+    """A table of metrics or deltas as JSON lines or as CSV with a header, a file for each partition; nulls stay nulls."""
+    out = rows.write.mode("errorifexists")
+    if kind == "json":
+        out.option("ignoreNullFields", "false").json(path)
+    elif kind == "csv":
+        out.option("header", "true").option("nullValue", "").option("emptyValue", '""').csv(path)
+    else:
+        raise ValueError(f"unknown kind of table: {kind}")
+
+
+def read_table(spark, path: str, schema: str, kind: str = "json") -> DataFrame:
+    """A table that ``export_table`` wrote."""
+    r = spark.read.schema(schema)
+    return r.json(path) if kind == "json" else r.option("header", "true").csv(path)
+
+
 def unpivot_metrics(runs: DataFrame, metrics: list[str], key: str = "run_id") -> DataFrame:
     rows = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]
     return runs.select(key, F.inline(F.array(*rows)))
 
 
-def run_delta(pairs: DataFrame, runs: DataFrame, required: list[str], optional: list[str]) -> DataFrame:
+def run_delta(pairs: DataFrame, runs: DataFrame, required: list[str], optional: list[str], orientation: dict[str, str] = ORIENTATION) -> DataFrame:
     """Right minus left of each metric for ``pairs(left_id, right_id)``.
 
-    ``improved`` follows the orientation of the metric; ``status`` is ok,
-    skipped (an optional metric missing on a side) or missing (a required one).
+    ``improved`` follows the ``orientation`` of the metric, and a metric without
+    one is an error; ``status`` is ok, skipped (an optional metric missing on a
+    side) or missing (a required one).
     """
+    unknown = [m for m in required + optional if m not in orientation]
+    if unknown:
+        raise ValueError(f"no orientation of {', '.join(unknown)}")
     long = unpivot_metrics(runs, required + optional)
     left = long.select(F.col("run_id").alias("left_id"), "metric", F.col("value").alias("left_value"))
     right = long.select(F.col("run_id").alias("right_id"), "metric", F.col("value").alias("right_value"))
     j = pairs.join(left, "left_id").join(right, ["right_id", "metric"])
     d = F.col("right_value") - F.col("left_value")
-    lower = F.col("metric").isin(*LOWER_IS_BETTER)
+    better = {x: [m for m in required + optional if orientation[m] == x] for x in ("higher_is_better", "lower_is_better")}
+    lower = F.col("metric").isin(*(better["lower_is_better"] or [""]))
     status = F.when(d.isNotNull(), "ok").when(F.col("metric").isin(*(optional or [""])), "skipped").otherwise("missing")
     return j.select(
-        "left_id", "right_id", "metric", "left_value", "right_value", d.alias("delta"),
+        "left_id", "right_id", "metric", F.when(lower, "lower_is_better").otherwise("higher_is_better").alias("orientation"),
+        "left_value", "right_value", d.alias("delta"),
         F.when(d.isNull() | (d == 0), F.lit(None).cast("boolean")).otherwise((d > 0) != lower).alias("improved"), status.alias("status"),
     )
 
 
+def scene_selection(scenes: DataFrame, sides: dict[str, DataFrame], policy: str) -> DataFrame:
+    """``scene_id, included, reason, policy`` of each scene.
+
+    A scene is included when every side has it; the reason names the first side
+    that lacks it. Scenes that only a side knows do not come.
+    """
+    df = scenes.select("scene_id").distinct()
+    missing = []
+    for i, (name, side) in enumerate(sides.items()):
+        has = side.select("scene_id").distinct().withColumn(f"has{i}", F.lit(True))
+        df = df.join(has, "scene_id", "left")
+        missing.append(F.when(F.col(f"has{i}").isNull(), F.lit(f"missing_{name}")))
+    reason = F.coalesce(*missing) if missing else F.lit(None).cast("string")
+    return df.select("scene_id", reason.isNull().alias("included"), reason.alias("reason"), F.lit(policy).alias("policy"))
+
+
 def policy_compat(pairs: DataFrame, runs: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """For each pair and policy group the first column that differs, or compatible; numbers within 1e-9 are equal."""
     cols = sorted({c for g in groups.values() for c in g})
@@ -105,10 +163,14 @@ def provenance_overlap(pairs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def ranking(runs: DataFrame) -> DataFrame:
-    """0.4 extent_f1 + 0.3 boundary_f1 + 0.3 (1 - norm_gtc), rounded to 6 digits, and the rank; runs without one of them are left out."""
-    s = F.round(0.4 * F.col("extent_f1") + 0.3 * F.col("boundary_f1") + 0.3 * (1 - F.col("norm_gtc")), 6)
-    scored = runs.withColumn("score", s).where("score is not null")
-    return scored.select("run_id", "score", F.rank().over(W.orderBy(F.col("score").desc())).alias("rank"))
+    """0.4 extent_f1 + 0.3 boundary_f1 + 0.3 (1 - normalized_gtc), rounded to 6 digits, and the rank; runs without one of them are left out.
+
+    Equal scores share the first of their ranks. The order is global but no task sorts all runs.
+    """
+    s = F.round(0.4 * F.col("extent_f1") + 0.3 * F.col("boundary_f1") + 0.3 * (1 - F.col("normalized_gtc")), 6)
+    scored = _ranked(runs.withColumn("score", s).where("score is not null").select("run_id", "score"), [F.col("score").desc(), F.col("run_id")])
+    first = scored.groupBy("score").agg(F.min("rank").cast("int").alias("rank"))
+    return scored.drop("rank").join(first, "score").select("run_id", "score", "rank")
 
 
 def best_epochs(history: DataFrame) -> DataFrame:
@@ -137,8 +199,8 @@ def win_loss(deltas: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def error_taxonomy(counts: DataFrame, key: str) -> DataFrame:
-    """``key, error, value`` from the columns split_gt, merged_gt, missed, spurious, invalid_area and bde."""
-    names = {"split_error": "split_gt", "merge_error": "merged_gt", "missed_parcel": "missed", "spurious_parcel": "spurious", "invalid_area_artifact": "invalid_area", "boundary_shift": "bde"}
+    """``key, error, value`` from the columns split_gt, merged_gt, missed, spurious, invalid_area and boundary_bde."""
+    names = {"split_error": "split_gt", "merge_error": "merged_gt", "missed_parcel": "missed", "spurious_parcel": "spurious", "invalid_area_artifact": "invalid_area", "boundary_shift": "boundary_bde"}
     rows = [F.struct(F.lit(n).alias("error"), F.col(c).cast("double").alias("value")) for n, c in names.items()]
     return counts.select(key, F.inline(F.array(*rows)))
 
@@ -155,18 +217,23 @@ def experiment_summary(wanted: DataFrame, runs: DataFrame, baseline_id, metrics:
 def lineage(runs: DataFrame) -> DataFrame:
     """All ancestors: ``run_id, ancestor_id, depth`` over ``runs(run_id, parent_id)``, the least depth of each.
 
-    One join a generation; a round that finds nothing new ends it, so cycles end.
+    Each round joins the ancestors known with themselves, so the reach doubles
+    and the rounds are the logarithm of the longest line; a round that finds no
+    new pair ends it, so cycles end. The least depths up to the reach are exact
+    in every round.
     """
-    from sparkraster.operators.tables import checkpointed
-
-    step = runs.where("parent_id is not null").select(F.col("run_id").alias("ancestor_id"), F.col("parent_id").alias("next"))
-    front = checkpointed(runs.where("parent_id is not null").select("run_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth")).distinct())
-    every = front
-    while not front.isEmpty():
-        new = front.join(step, "ancestor_id").select("run_id", F.col("next").alias("ancestor_id"), (F.col("depth") + 1).alias("depth")).distinct()
-        front = checkpointed(new.join(every.select("run_id", "ancestor_id"), ["run_id", "ancestor_id"], "left_anti"))
-        every = checkpointed(every.unionAll(front))
-    return every.groupBy("run_id", "ancestor_id").agg(F.min("depth").alias("depth"))
+    every = runs.where("parent_id is not null").select("run_id", F.col("parent_id").alias("ancestor_id"), F.lit(1).alias("depth"))
+    every = shared_table(every.distinct())
+    n = every.count()
+    while n:
+        on = every.select(F.col("run_id").alias("ancestor_id"), F.col("ancestor_id").alias("next"), F.col("depth").alias("more"))
+        far = every.join(on, "ancestor_id").select("run_id", F.col("next").alias("ancestor_id"), (F.col("depth") + F.col("more")).alias("depth"))
+        new = shared_table(every.unionAll(far).groupBy("run_id", "ancestor_id").agg(F.min("depth").alias("depth")))
+        more = new.count()
+        if more == n:
+            break
+        every, n = new, more
+    return every
 
 
 def track_readiness(counts: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sparkraster.operators.tables import shared_table
+
 
 def key_hash(seed: int, keys: list[str]) -> Column:
     """md5 of ``seed:key:key...``, the same in every engine."""
@@ -18,6 +20,26 @@ def uniform(seed: int, keys: list[str]) -> Column:
     return (F.conv(F.substring(key_hash(seed, keys), 1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
 
 
+def ranged(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` in ranges of ``order``, sorted, with ``part``, the number of the range, and ``at``, the place in it from 0.
+
+    Written to the shared folder, so that all who read it see the same ranges.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = dealt.withColumn("mono", F.monotonically_increasing_id())
+    part = F.shiftrightunsigned("mono", 33).cast("int")
+    return shared_table(dealt.withColumns({"part": part, "at": F.col("mono") - F.shiftleft(part.cast("long"), 33)}).drop("mono"))
+
+
+def by_part(parts: dict, kind: str = "long") -> Column:
+    """A value for each ``part``; 0 where it has none."""
+    if not parts:
+        return F.lit(0).cast(kind)
+    table = F.create_map(*[F.lit(x) for kv in parts.items() for x in kv])
+    return F.coalesce(F.try_element_at(table, F.col("part")), F.lit(0)).cast(kind)
+
+
 def _ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     """Adds ``rank`` from 1 in the global order, without one task sorting all rows.
 
@@ -26,22 +48,44 @@ def _ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     reaches the driver. The numbers depend on the order alone when the order is
     total, whatever the ranges are.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    dealt = dealt.withColumn("mono", F.monotonically_increasing_id())
-    part = F.shiftrightunsigned("mono", 33).cast("int")
-    dealt = dealt.withColumns({"part": part, "at": F.col("mono") - F.shiftleft(part.cast("long"), 33)}).drop("mono")
-    from sparkraster.operators.tables import shared_table
-
-    dealt = shared_table(dealt)
+    dealt = ranged(df, order)
     before, starts = 0, {}
     for r in sorted(dealt.groupBy("part").count().collect()):
         starts[r["part"]] = before
         before += r["count"]
-    if not starts:
-        return dealt.withColumn("rank", F.lit(0).cast("long")).drop("part", "at")
-    start = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("part"))
-    return dealt.withColumn("rank", F.col("at") + start.cast("long") + 1).drop("part", "at")
+    return dealt.withColumn("rank", F.col("at") + by_part(starts) + 1).drop("part", "at")
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFrame:
+    """``group, n, q0, q1, ...``: exact quantiles of ``value`` in each group, linear between ranks; nulls do not count.
+
+    Rows are dealt in ranges of (group, value); a count for each range and group
+    in it tells in which range a rank lies, and only the values of those ranks
+    are read, so no task holds all values of a group. The groups are few.
+    """
+    dealt = ranged(df.where(F.col(value).isNotNull()).select(group, value), [F.col(group), F.col(value)])
+    found = dealt.groupBy("part", group).agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()
+    found.sort(key=lambda r: r["part"])
+    total = {}
+    for r in found:
+        total[r[group]] = total.get(r[group], 0) + r["n"]
+    spark = df.sparkSession
+    kind = dict(df.dtypes)[group]
+    wanted, done = [], dict.fromkeys(total, 0)
+    for r in found:
+        g, n = r[group], total[r[group]]
+        for i, q in enumerate(qs):
+            place = q * (n - 1)
+            low, share = int(place), place - int(place)
+            for rank, weight in ((low, 1.0 - share), (min(low + 1, n - 1), share)):
+                if done[g] <= rank < done[g] + r["n"]:
+                    wanted.append((r["part"], r["first"] + rank - done[g], i, weight))
+        done[g] += r["n"]
+    rows = spark.createDataFrame(wanted, "part int, at long, q int, weight double")
+    read = dealt.join(F.broadcast(rows), ["part", "at"])  # two rows for each group and quantile
+    sums = [F.sum(F.when(F.col("q") == i, F.col(value).cast("double") * F.col("weight"))).alias(f"q{i}") for i in range(len(qs))]
+    sizes = spark.createDataFrame(sorted(total.items()), f"{group} {kind}, n long")
+    return sizes.join(read.groupBy(group).agg(*sums), group)
 
 
 def _cut(df: DataFrame, order: list[Column], ratios: tuple[float, float]) -> DataFrame:
@@ -75,9 +119,15 @@ def weighted_sample(df: DataFrame, weight: str, keys: list[str], n: int, seed: i
         rank = -F.log(uniform(seed, keys)) / F.col(weight)
         return df.where(F.col(weight) > 0).withColumn("draw", rank).orderBy("draw", *keys).limit(n).drop("draw")
     u = float(int.from_bytes(seed.to_bytes(8, "little"), "little") % 997 + 0.5) / 997
-    w = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, 0)
-    total = df.agg(F.sum(weight)).first()[0] or 0.0
-    hi = F.sum(weight).over(w) / F.lit(total) if total else F.lit(0.0)
-    df = df.withColumn("hi", hi).withColumn("lo", F.col("hi") - F.col(weight) / (total or 1.0))
-    times = F.ceil(F.col("hi") * n - u) - F.ceil(F.col("lo") * n - u)
-    return df.withColumn("draw", F.explode(F.array_repeat(F.lit(1), F.greatest(times, F.lit(0)).cast("int")))).drop("draw", "hi", "lo")
+    # Cumulated weights: sums of the ranges before, and a window inside each range.
+    dealt = ranged(df.where(F.col(weight) > 0), [F.col(k) for k in keys])
+    total, starts = 0.0, {}
+    for r in sorted(dealt.groupBy("part").agg(F.sum(F.col(weight).cast("double")).alias("w")).collect()):
+        starts[r["part"]] = total
+        total += r["w"]
+    inside = F.sum(F.col(weight).cast("double")).over(W.partitionBy("part").orderBy("at").rowsBetween(W.unboundedPreceding, 0))
+    hi = by_part(starts, "double") + inside
+    dealt = dealt.withColumn("hi", hi).withColumn("lo", F.col("hi") - F.col(weight))
+    point = lambda c: F.ceil(F.col(c) / F.lit(total or 1.0) * n - u)
+    times = F.greatest(point("hi") - point("lo"), F.lit(0)).cast("int")
+    return dealt.withColumn("draw", F.explode(F.array_repeat(F.lit(1), times))).drop("draw", "hi", "lo", "part", "at")

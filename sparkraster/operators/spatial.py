@@ -8,10 +8,14 @@ top are in, right and bottom out.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from sparkraster.functions import bands as B
+from sparkraster.operators.tables import shared_table
 
 CELL = 256
 
@@ -55,12 +59,40 @@ def rasterize_rings(parcels: DataFrame) -> DataFrame:
     return runs.where("run.a <= run.b").select("scene_id", "parcel_id", "y", F.explode(F.expr("sequence(run.a, run.b)")).alias("x"))
 
 
+def outline_rings(parcels: DataFrame) -> DataFrame:
+    """Distinct ``scene_id, y, x`` of the pixels that the outlines of rings touch, of all parcels together.
+
+    A pixel is touched when a point of an edge lies in it; its left and top
+    edges belong to it, its right and bottom ones to its neighbours. Each edge is
+    cut into rows of pixels, and the part in a row touches a run of them; nothing
+    inside a parcel is ever made.
+    """
+    e = parcels.select("scene_id", F.inline(_edges(F.col("ring"))))
+    down = F.col("ay") <= F.col("by")
+    e = e.select("scene_id", *[F.when(down, F.col(p)).otherwise(F.col(q)).alias(n) for n, p, q in (
+        ("px", "ax", "bx"), ("py", "ay", "by"), ("qx", "bx", "ax"), ("qy", "by", "ay"))])
+    e = e.withColumn("y", F.explode(F.sequence(F.floor("py").cast("long"), F.floor("qy").cast("long"))))
+    flat = F.col("py") == F.col("qy")
+    at = lambda v: F.col("px") + (v - F.col("py")) * (F.col("qx") - F.col("px")) / (F.col("qy") - F.col("py"))
+    first = F.when(flat, F.col("px")).otherwise(at(F.greatest(F.col("py"), F.col("y").cast("double"))))
+    last = F.when(flat | (F.col("qy") < F.col("y") + 1), F.col("qx")).otherwise(at(F.col("y") + 1.0))
+    # The point where an edge goes on in the next row belongs to that row.
+    goes_on = ~flat & (F.col("qy") >= F.col("y") + 1)
+    e = e.select("scene_id", "y", first.alias("f"), last.alias("l"), goes_on.alias("on"))
+    low = F.floor(F.least("f", "l"))
+    high = F.when(F.col("on") & (F.col("l") >= F.col("f")), F.ceil("l") - 1).otherwise(F.floor(F.greatest("f", "l")))
+    e = e.select("scene_id", "y", F.explode(F.sequence(low.cast("long"), F.greatest(low, high).cast("long"))).alias("x"))
+    return e.distinct()
+
+
 def outline_boxes(boxes: DataFrame) -> DataFrame:
     """Distinct ``scene_id, y, x`` of the border pixels of integer boxes, of all parcels together."""
-    px = rasterize_boxes(boxes.select("scene_id", "parcel_id", "x0", "y0", "w", "h"))
-    b = boxes.select("scene_id", "parcel_id", "x0", "y0", "w", "h")
-    edge = "y = y0 OR y = y0 + h - 1 OR x = x0 OR x = x0 + w - 1"
-    return px.join(b, ["scene_id", "parcel_id"]).where(edge).select("scene_id", "y", "x").distinct()
+    b = boxes.where("w > 0 AND h > 0")
+    rows = b.select("scene_id", "x0", "w", F.explode(F.expr("array_distinct(array(y0, y0 + h - 1))")).alias("y"))
+    across = rows.select("scene_id", "y", F.explode(F.expr("sequence(x0, x0 + w - 1)")).alias("x"))
+    cols = b.select("scene_id", "y0", "h", F.explode(F.expr("array_distinct(array(x0, x0 + w - 1))")).alias("x"))
+    along = cols.select("scene_id", F.explode(F.expr("sequence(y0, y0 + h - 1)")).alias("y"), "x")
+    return across.unionByName(along).distinct()
 
 
 def box_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
@@ -86,16 +118,32 @@ def box_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
 def overlaps(gt_px: DataFrame, pred_px: DataFrame, valid_px: DataFrame | None = None) -> DataFrame:
     """``scene_id, gt_id, pred_id, inter, gt_area, pred_area, iou, ov_gt, ov_pred`` from two rasterizations.
 
-    ``valid_px(scene_id, y, x)`` restricts both to valid pixels. Pairs meet by an
-    equi-join on pixels, so only overlapping pairs ever exist.
+    ``valid_px(scene_id, y, x)`` restricts both to valid pixels. Each side is
+    dealt out by pixel once; a pixel then counts for each of its parcels and for
+    each pair of them, so only overlapping pairs ever exist, and areas come from
+    the same pass as intersections.
     """
     key = ["scene_id", "y", "x"]
-    g, p = gt_px.withColumnRenamed("parcel_id", "gt_id"), pred_px.withColumnRenamed("parcel_id", "pred_id")
+    none = F.lit(None).cast("long")
+    sides = [
+        gt_px.select(*key, F.col("parcel_id").cast("long").alias("gt_id"), none.alias("pred_id"), F.lit(False).alias("ok")),
+        pred_px.select(*key, none.alias("gt_id"), F.col("parcel_id").cast("long").alias("pred_id"), F.lit(False).alias("ok")),
+    ]
     if valid_px is not None:
-        g, p = (d.join(valid_px.select(*key), key, "left_semi") for d in (g, p))
-    inter = g.join(p, key).groupBy("scene_id", "gt_id", "pred_id").agg(F.count("*").alias("inter"))
-    ga = g.groupBy("scene_id", "gt_id").agg(F.count("*").alias("gt_area"))
-    pa = p.groupBy("scene_id", "pred_id").agg(F.count("*").alias("pred_area"))
+        sides.append(valid_px.select(*key, none.alias("gt_id"), none.alias("pred_id"), F.lit(True).alias("ok")))
+    px = functools.reduce(DataFrame.unionAll, sides).groupBy(*key).agg(
+        F.collect_set("gt_id").alias("g"), F.collect_set("pred_id").alias("p"), F.max("ok").alias("ok")
+    )
+    if valid_px is not None:
+        px = px.where("ok")
+    alone = F.concat(
+        F.transform("g", lambda g: F.struct(g.alias("gt_id"), none.alias("pred_id"))), F.transform("p", lambda p: F.struct(none.alias("gt_id"), p.alias("pred_id")))
+    )
+    pairs = F.flatten(F.transform("g", lambda g: F.transform("p", lambda p: F.struct(g.alias("gt_id"), p.alias("pred_id")))))
+    n = shared_table(px.select("scene_id", F.inline(F.concat(alone, pairs))).groupBy("scene_id", "gt_id", "pred_id").agg(F.count("*").alias("n")))
+    inter = n.where("gt_id is not null and pred_id is not null").withColumnRenamed("n", "inter")
+    ga = n.where("pred_id is null").select("scene_id", "gt_id", F.col("n").alias("gt_area"))
+    pa = n.where("gt_id is null").select("scene_id", "pred_id", F.col("n").alias("pred_area"))
     e = inter.join(ga, ["scene_id", "gt_id"]).join(pa, ["scene_id", "pred_id"])
     i, a, b = F.col("inter"), F.col("gt_area"), F.col("pred_area")
     return e.withColumns({"iou": B.ratio(i, a + b - i), "ov_gt": B.ratio(i, a), "ov_pred": B.ratio(i, b)})
@@ -190,24 +238,23 @@ def confidence_summary(parcels: DataFrame) -> DataFrame:
     )
 
 
-def nearest_squared(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx: float = 1.0, reach: int = 4) -> DataFrame:
+def nearest_squared(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx: float = 1.0, reach: int = 4, rounds: int = 2) -> DataFrame:
     """Points ``scene_id, y, x`` with ``d2``, the squared distance to the nearest target of the scene.
 
     Exact. Points look for targets in the grid cells around their own; those
-    without one nearer than the cells guarantee go on with cells twice as wide,
-    so a round only handles what is left. Points of a scene without a target
-    have d2 null.
+    without one nearer than the cells guarantee go on with cells four times as
+    wide, for ``rounds`` rounds. What is left lies far from every target and is
+    solved in two passes: the nearest target in each column for each row with
+    such a point, then the best column. Points of a scene without a target have
+    d2 null from the start.
     """
-    import math
-
-    left = points.select("scene_id", "y", "x").distinct()
     t = targets.select("scene_id", F.col("y").alias("ty"), F.col("x").alias("tx")).distinct()
-    span = points.select("y", "x").unionAll(targets.select("y", "x")).agg(
-        F.max("y") - F.min("y"), F.max("x") - F.min("x")
-    ).first()
-    widest = max((v or 0) for v in span) + 1
-    done = None
-    while True:
+    every = points.select("scene_id", "y", "x").distinct()
+    some = t.select("scene_id").distinct()
+    null = F.lit(None).cast("double").alias("d2")
+    done = [every.join(some, "scene_id", "left_anti").select("scene_id", "y", "x", null)]
+    left = every.join(some, "scene_id", "left_semi")
+    for _ in range(rounds):
         # Cells of ``reach`` pixels: a target within reach lies in the 3 x 3 cells around.
         around = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("n")
         p = left.select("scene_id", "y", "x", around).select(
@@ -215,22 +262,26 @@ def nearest_squared(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx:
         )
         c = t.select("scene_id", F.floor(F.col("ty") / reach).alias("cy"), F.floor(F.col("tx") / reach).alias("cx"), "ty", "tx")
         dy, dx = (F.col("y") - F.col("ty")) * sy, (F.col("x") - F.col("tx")) * sx
-        best = p.join(c, ["scene_id", "cy", "cx"]).groupBy("scene_id", "y", "x").agg(F.min(dy * dy + dx * dx).alias("d2"))
+        best = p.join(c, ["scene_id", "cy", "cx"]).groupBy("scene_id", "y", "x").agg(F.min(dy * dy + dx * dx).cast("double").alias("d2"))
+        found = shared_table(left.join(best, ["scene_id", "y", "x"], "left"))
         sure = (reach * min(sy, sx)) ** 2
-        last = reach > widest
-        from sparkraster.operators.tables import shared_table
-
-        found = left.join(best, ["scene_id", "y", "x"], "left")
-        found = shared_table(found)
-        ready = found if last else found.where(F.col("d2") <= sure)
-        done = ready if done is None else done.unionAll(ready)
-        if last:
-            return done
+        done.append(found.where(F.col("d2") <= sure))
         left = found.where(F.col("d2").isNull() | (F.col("d2") > sure)).select("scene_id", "y", "x")
-        n = left.count()
-        if n == 0:
-            return done
-        reach = min(reach * 4, math.ceil(widest) + 1)
+        if left.isEmpty():
+            return functools.reduce(DataFrame.unionAll, done)
+        reach *= 4
+    # Rows with points x columns with targets; in each column the targets above and below.
+    rows = left.select("scene_id", "y").distinct().join(t.select("scene_id", F.col("tx").alias("x")).distinct(), "scene_id")
+    column = rows.select("scene_id", "x", "y", F.lit(None).cast("long").alias("hit")).unionAll(
+        t.select("scene_id", F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("ty").cast("long").alias("hit"))
+    )
+    w = W.partitionBy("scene_id", "x").orderBy("y")
+    above = F.last("hit", ignorenulls=True).over(w.rangeBetween(W.unboundedPreceding, 0))
+    below = F.first("hit", ignorenulls=True).over(w.rangeBetween(0, W.unboundedFollowing))
+    column = column.select("scene_id", "y", F.col("x").alias("tx"), "hit", F.least(F.col("y") - above, below - F.col("y")).alias("g")).where("hit is null")
+    dy, dx = F.col("g") * sy, (F.col("x") - F.col("tx")) * sx
+    last = left.join(column.drop("hit"), ["scene_id", "y"]).groupBy("scene_id", "y", "x").agg(F.min(dy * dy + dx * dx).cast("double").alias("d2"))
+    return functools.reduce(DataFrame.unionAll, [*done, last])
 
 
 def boundary_displacement(gt: DataFrame, pred: DataFrame, sy: float = 1.0, sx: float = 1.0) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder where none is set (tests)."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder where a local session sets none (tests), else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkraster.operators.sampling import exact_quantiles
+
 #: Fixed values of the patch classes.
 REJECT_BELOW, INVALID_BELOW, BOUNDARY_FROM, CENTER_FROM = 0.05, 0.5, 0.1, 0.8
 
@@ -140,7 +142,7 @@ def extent_coverage(patches: DataFrame) -> DataFrame:
 
 def coverage_buckets(coverage: DataFrame) -> DataFrame:
     """Adds ``bucket``: low up to the 33rd, medium up to the 66th percentile, else high (ends included)."""
-    q = coverage.agg(F.percentile("coverage", F.array(F.lit(0.33), F.lit(0.66))).alias("q"))
-    df = coverage.join(F.broadcast(q))  # one row
+    q = exact_quantiles(coverage.select(F.lit(0).alias("every"), "coverage"), "every", "coverage", [0.33, 0.66])
+    df = coverage.join(F.broadcast(q.select("q0", "q1")))  # one row
     c = F.col("coverage")
-    return df.withColumn("bucket", F.when(c <= F.col("q")[0], "low").when(c <= F.col("q")[1], "medium").otherwise("high")).drop("q")
+    return df.withColumn("bucket", F.when(c <= F.col("q0"), "low").when(c <= F.col("q1"), "medium").otherwise("high")).drop("q0", "q1")

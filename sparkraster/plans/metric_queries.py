@@ -216,7 +216,7 @@ def _split(select):
 
 
 @query(
-    sql("px") + f", {DOMAIN}, {SHAPE.removeprefix(PATCH + ', ').replace('g AS', 'h AS')}, m AS ({META}), v AS ({DOMAIN_ROWS} UNION ALL SELECT scene_id, yoff, xoff, 'gt_boundary' FROM h WHERE bo <> 256 UNION ALL SELECT 0, 0, 0, 'missing_xoff' FROM m WHERE xoff IS NULL UNION ALL SELECT 0, 0, 0, 'feature_mode' FROM m WHERE feature_mode IS DISTINCT FROM 'raw8') SELECT COUNT(*) AS violations, COUNT(DISTINCT violation) AS kinds, COUNT(*) = 0 AS ok FROM v"
+    sql("px") + f", {DOMAIN}, {SHAPE.removeprefix(PATCH + ', ').replace('g AS', 'h AS')}, m AS ({META}), v AS ({DOMAIN_ROWS} UNION ALL SELECT scene_id, yoff, xoff, 'gt_extent' FROM h WHERE e <> 256 UNION ALL SELECT scene_id, yoff, xoff, 'gt_boundary' FROM h WHERE bo <> 256 UNION ALL SELECT scene_id, yoff, xoff, 'gt_distance' FROM h WHERE di <> 256 UNION ALL SELECT 0, 0, 0, 'missing_xoff' FROM m WHERE xoff IS NULL UNION ALL SELECT 0, 0, 0, 'feature_mode' FROM m WHERE feature_mode IS DISTINCT FROM 'raw8') SELECT COUNT(*) AS violations, COUNT(DISTINCT violation) AS kinds, COUNT(*) = 0 AS ok FROM v"
 )
 def dataset_verdict(spark, sf_dir):
     return M.verdict(

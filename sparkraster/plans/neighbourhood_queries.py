@@ -16,15 +16,10 @@ DISK = "(SELECT a.i AS dy, b.i AS dx FROM generate_series(-2, 2) a(i), generate_
 
 
 @query(
-    sql("px") + f""", s AS (SELECT scene_id, y, x FROM px WHERE gt_boundary = 1 AND (y + x) % 4 = 0), n AS (SELECT DISTINCT scene_id, y + dy AS y, x + dx AS x FROM s, {DIA} o),
+    sql("px") + f""", s AS (SELECT scene_id, y, x FROM px WHERE gt_boundary = 1), n AS (SELECT DISTINCT scene_id, y + dy AS y, x + dx AS x FROM s, {DIA} o),
     k AS (SELECT * FROM n WHERE {INSIDE}) SELECT k.scene_id, k.y, k.x, CASE WHEN s.y IS NULL THEN 2 ELSE 1 END AS boundary FROM k LEFT JOIN s USING (scene_id, y, x)"""
 )
 def boundary_encode(spark, sf_dir):
-    return N.boundary_encode(view(spark, sf_dir, "px").where("gt_boundary = 1 AND (y + x) % 4 = 0"), H, W)
-
-
-@query()
-def boundary_encode_whole(spark, sf_dir):
     return N.boundary_encode(view(spark, sf_dir, "px").where("gt_boundary = 1"), H, W)
 
 
@@ -48,16 +43,11 @@ def boundary_repair(spark, sf_dir):
 
 
 @query(
-    sql("px") + """, b AS (SELECT scene_id, y AS by_, x AS bx FROM px WHERE gt_boundary = 1 AND (y * 5 + x) % 37 = 0),
+    sql("px") + """, b AS (SELECT scene_id, y AS by_, x AS bx FROM px WHERE gt_boundary = 1),
     m AS (SELECT p.scene_id, p.y, p.x, MIN((p.y - by_) * (p.y - by_) + (p.x - bx) * (p.x - bx)) AS d2 FROM px p JOIN b ON p.scene_id = b.scene_id AND ABS(p.y - by_) <= 8 AND ABS(p.x - bx) <= 8 GROUP BY ALL)
     SELECT p.scene_id, p.y, p.x, ROUND(CASE WHEN p.valid = 1 THEN LEAST(COALESCE(SQRT(d2), 8), 8) ELSE 0 END, 6)::DOUBLE AS distance FROM px p LEFT JOIN m USING (scene_id, y, x)"""
 )
 def distance_transform(spark, sf_dir):
-    return rounded(N.distance_transform(view(spark, sf_dir, "px"), "gt_boundary = 1 AND (y * 5 + x) % 37 = 0", 8))
-
-
-@query()
-def distance_transform_whole(spark, sf_dir):
     return rounded(N.distance_transform(view(spark, sf_dir, "px"), "gt_boundary = 1", 8))
 
 
@@ -145,3 +135,15 @@ def ring_simplify(spark, sf_dir):
 def instance_label_check(spark, sf_dir):
     bad = _labels(spark, sf_dir).withColumn("label", F.expr("CASE WHEN label = 7 THEN -5L ELSE label END"))
     return R.illegal_labels(bad)
+
+
+@query()
+def seeded_growth(spark, sf_dir):
+    """Parcels grown from the components of marker pixels; a spanning forest has no SQL, so a test uses brute force."""
+    from sparkraster.functions import bands as B
+    from sparkraster.operators import growth, pixels
+
+    px = pixels.relief_surface(view(spark, sf_dir, "px"), barrier=0.7)
+    inside = (F.col("extent_prob") >= 0.5) & (F.col("valid") == 1) & (B.presence(F.col("p_skel"), F.col("p_buf")) <= 0.7)
+    markers = N.connected_components(pixels.marker_candidates(px), W, H)
+    return growth.grow(px.withColumn("inside", inside), markers, H, W)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkraster.operators import metrics as M
 from sparkraster.operators import pixels as P
 from sparkraster.plans.registry import query, rounded
 from sparkraster.sources.views import sql, view
@@ -68,6 +69,21 @@ def raster_overview_nearest(spark, sf_dir):
     return P.overview(view(spark, sf_dir, "px"), 5, [], ["gt_extent", "gt_boundary"]).drop("n")
 
 
+@query(sql("bands") + " SELECT vec_id, CASE WHEN label <> 0 THEN 1 ELSE 0 END AS by_mask, CASE WHEN b1 <> 1.0 THEN 1 ELSE 0 END AS by_nodata, CASE WHEN label % 3 <> 0 THEN 1 ELSE 0 END AS by_override FROM bands")
+def valid_mask_predict(spark, sf_dir):
+    """The first of mask, nodata and override that there is decides alone."""
+    px = view(spark, sf_dir, "bands").withColumn("force", F.expr("label % 3"))
+    every = {"by_mask": {"mask": "label", "nodata": 1.0, "override": "force"}, "by_nodata": {"nodata": 1.0, "override": "force"}, "by_override": {"override": "force"}}
+    for name, given in every.items():
+        px = P.valid_mask(px, mode="predict", **given).withColumnRenamed("valid", name)
+    return px.select("vec_id", *every)
+
+
+@query(sql("px") + " SELECT scene_id, y, x, CASE WHEN valid = 1 THEN gt_boundary % 2 ELSE 255 END AS gt_extent FROM px")
+def ignore_label_stamp(spark, sf_dir):
+    return P.stamp_ignore(view(spark, sf_dir, "px").withColumn("gt_extent", F.expr("gt_boundary % 2"))).select("scene_id", "y", "x", "gt_extent")
+
+
 @query(sql("bands") + " SELECT vec_id, CASE WHEN label <> 0 AND b1 <> 1.0 THEN 1 ELSE 0 END AS valid FROM bands")
 def valid_mask(spark, sf_dir):
     return P.valid_mask(view(spark, sf_dir, "bands"), mask="label", nodata=1.0).select("vec_id", "valid")
@@ -90,9 +106,7 @@ def band_indices_masked(spark, sf_dir):
 
 def _stats(px, columns):
     """Percentiles of valid pixels, one row per band."""
-    qs = px.where("valid = 1").agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.005), F.lit(0.995))).alias(c) for c in columns])
-    rows = [F.struct(F.lit(i).alias("band_idx"), F.col(c)[0].alias("p_lo"), F.col(c)[1].alias("p_hi")) for i, c in enumerate(columns)]
-    return qs.select(F.inline(F.array(*rows)))
+    return M.band_percentiles(px, columns).select("band_idx", "p_lo", "p_hi")
 
 
 VALID_BANDS = "v AS (SELECT *, CASE WHEN label % 3 = 0 THEN 0 ELSE 1 END AS valid FROM bands)"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -14,11 +16,12 @@ from sparkraster.tables import table
 R = sql("runs")
 PAIRS = "pairs AS (SELECT a.run_id AS left_id, a.run_id + 1 AS right_id FROM runs a JOIN runs b ON b.run_id = a.run_id + 1 WHERE a.run_id % 2 = 0)"
 METRICS = ["extent_f1", "boundary_f1", "goc", "guc"]
-OPTIONAL = ["bde"]
+OPTIONAL = ["boundary_bde", "normalized_gtc"]
 LONG = "lo AS (" + " UNION ALL ".join(f"SELECT run_id, '{m}' AS metric, {m}::DOUBLE AS v FROM runs" for m in METRICS + OPTIONAL) + ")"
-DELTA = f"""{PAIRS}, {LONG}, de AS (SELECT left_id, right_id, a.metric, ROUND(a.v, 6) AS left_value, ROUND(b.v, 6) AS right_value, ROUND(b.v - a.v, 6) AS delta,
- CASE WHEN b.v - a.v IS NULL OR b.v = a.v THEN NULL WHEN a.metric IN ('bde', 'goc', 'guc') THEN b.v < a.v ELSE b.v > a.v END AS improved,
- CASE WHEN b.v - a.v IS NOT NULL THEN 'ok' WHEN a.metric = 'bde' THEN 'skipped' ELSE 'missing' END AS status
+LOWER = "('boundary_bde', 'goc', 'guc', 'normalized_gtc')"
+DELTA = f"""{PAIRS}, {LONG}, de AS (SELECT left_id, right_id, a.metric, CASE WHEN a.metric IN {LOWER} THEN 'lower_is_better' ELSE 'higher_is_better' END AS orientation, ROUND(a.v, 6) AS left_value, ROUND(b.v, 6) AS right_value, ROUND(b.v - a.v, 6) AS delta,
+ CASE WHEN b.v - a.v IS NULL OR b.v = a.v THEN NULL WHEN a.metric IN {LOWER} THEN b.v < a.v ELSE b.v > a.v END AS improved,
+ CASE WHEN b.v - a.v IS NOT NULL THEN 'ok' WHEN a.metric IN ('boundary_bde', 'normalized_gtc') THEN 'skipped' ELSE 'missing' END AS status
  FROM pairs JOIN lo a ON a.run_id = left_id JOIN lo b ON b.run_id = right_id AND b.metric = a.metric)"""
 
 
@@ -79,7 +82,7 @@ def provenance_overlap(spark, sf_dir):
 
 @query(R + ", s AS (SELECT run_id, ROUND(0.4 * extent_f1 + 0.3 * boundary_f1 + 0.3 * (1 - LEAST(1, goc + guc)), 6) AS score FROM runs) SELECT run_id, score, RANK() OVER (ORDER BY score DESC)::INT AS rank FROM s")
 def run_ranking(spark, sf_dir):
-    return J.ranking(_runs(spark, sf_dir).withColumn("norm_gtc", F.least(F.col("goc") + F.col("guc"), F.lit(1.0))))
+    return J.ranking(_runs(spark, sf_dir).withColumn("normalized_gtc", F.least(F.col("goc") + F.col("guc"), F.lit(1.0))))
 
 
 HISTORY = "h AS (SELECT user_id AS run_id, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id) AS epoch, ((event_id * 7919) % 1000) / 1000.0::DOUBLE AS boundary_f1, ((event_id * 104729) % 1000) / 1000.0::DOUBLE AS extent_f1 FROM events WHERE user_id IS NOT NULL)"
@@ -110,25 +113,19 @@ def most_improved_scenes(spark, sf_dir):
     return J.top_k(rounded(d).select("left_id", "delta"), "delta", "left_id", 10, largest=True)
 
 
-TAX = "t AS (SELECT run_id, (run_id % 13)::DOUBLE AS a, (run_id % 11)::DOUBLE AS b, (run_id % 7)::DOUBLE AS c, (run_id % 5)::DOUBLE AS d, (run_id % 3)::DOUBLE AS e, bde FROM runs)"
+TAX = "t AS (SELECT run_id, (run_id % 13)::DOUBLE AS a, (run_id % 11)::DOUBLE AS b, (run_id % 7)::DOUBLE AS c, (run_id % 5)::DOUBLE AS d, (run_id % 3)::DOUBLE AS e, boundary_bde FROM runs)"
 
 
-@query(R + f", {TAX} SELECT run_id, 'split_error' AS error, a AS value FROM t UNION ALL SELECT run_id, 'merge_error', b FROM t UNION ALL SELECT run_id, 'missed_parcel', c FROM t UNION ALL SELECT run_id, 'spurious_parcel', d FROM t UNION ALL SELECT run_id, 'invalid_area_artifact', e FROM t UNION ALL SELECT run_id, 'boundary_shift', ROUND(bde, 6) FROM t")
+@query(R + f", {TAX} SELECT run_id, 'split_error' AS error, a AS value FROM t UNION ALL SELECT run_id, 'merge_error', b FROM t UNION ALL SELECT run_id, 'missed_parcel', c FROM t UNION ALL SELECT run_id, 'spurious_parcel', d FROM t UNION ALL SELECT run_id, 'invalid_area_artifact', e FROM t UNION ALL SELECT run_id, 'boundary_shift', ROUND(boundary_bde, 6) FROM t")
 def error_taxonomy(spark, sf_dir):
-    c = _runs(spark, sf_dir).selectExpr("run_id", "run_id % 13 AS split_gt", "run_id % 11 AS merged_gt", "run_id % 7 AS missed", "run_id % 5 AS spurious", "run_id % 3 AS invalid_area", "bde")
+    c = _runs(spark, sf_dir).selectExpr("run_id", "run_id % 13 AS split_gt", "run_id % 11 AS merged_gt", "run_id % 7 AS missed", "run_id % 5 AS spurious", "run_id % 3 AS invalid_area", "boundary_bde")
     return rounded(J.error_taxonomy(c, "run_id"))
 
 
-@query(R + ", w AS (SELECT c_custkey AS run_id FROM customer WHERE c_custkey % 7 = 0), b AS (SELECT * FROM runs WHERE run_id = 3) SELECT w.run_id, COALESCE(r.status, 'missing') AS status, ROUND(r.extent_f1, 6) AS extent_f1, ROUND(r.bde, 6) AS bde, ROUND(r.extent_f1 - b.extent_f1, 6) AS d_extent_f1, ROUND(r.bde - b.bde, 6) AS d_bde FROM w LEFT JOIN runs r USING (run_id) LEFT JOIN b ON TRUE")
+@query(R + ", w AS (SELECT c_custkey AS run_id FROM customer), b AS (SELECT * FROM runs WHERE run_id = 3) SELECT w.run_id, COALESCE(r.status, 'missing') AS status, ROUND(r.extent_f1, 6) AS extent_f1, ROUND(r.boundary_bde, 6) AS boundary_bde, ROUND(r.extent_f1 - b.extent_f1, 6) AS d_extent_f1, ROUND(r.boundary_bde - b.boundary_bde, 6) AS d_boundary_bde FROM w LEFT JOIN runs r USING (run_id) LEFT JOIN b ON TRUE")
 def experiment_summary(spark, sf_dir):
-    wanted = table(spark, sf_dir, "customer").where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("run_id"))
-    return rounded(J.experiment_summary(wanted, _runs(spark, sf_dir), 3, ["extent_f1", "bde"]))
-
-
-@query()
-def experiment_summary_whole(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("run_id"))
-    return rounded(J.experiment_summary(wanted, _runs(spark, sf_dir), 3, ["extent_f1", "bde"]))
+    return rounded(J.experiment_summary(wanted, _runs(spark, sf_dir), 3, ["extent_f1", "boundary_bde"]))
 
 
 @query(R.replace("WITH ", "WITH RECURSIVE ", 1) + ", a AS (SELECT run_id, parent_id AS ancestor_id, 1 AS depth FROM runs WHERE parent_id IS NOT NULL UNION SELECT a.run_id, r.parent_id, a.depth + 1 FROM a JOIN runs r ON r.run_id = a.ancestor_id WHERE r.parent_id IS NOT NULL) SELECT run_id, ancestor_id, MIN(depth) AS depth FROM a GROUP BY ALL")
@@ -142,16 +139,35 @@ def track_readiness(spark, sf_dir):
     return J.track_readiness(c).select("run_id", "ready", "reason")
 
 
-@query(sql("px") + " SELECT DISTINCT scene_id FROM px WHERE scene_id IN (SELECT scene_id FROM px WHERE valid = 1 AND y > 10 AND x < 20 AND scene_id < 2)")
+SIDES = "g AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px WHERE valid = 1 AND gt_extent = 1 AND x < 6), p AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px WHERE valid = 1 AND extent_prob >= 0.9 AND x < 30), s AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px)"
+
+
+def _selection(spark, sf_dir):
+    """Tenths of scenes, with the sides that have something in them."""
+    px = view(spark, sf_dir, "px").withColumn("scene_id", F.col("scene_id") * 10 + F.col("y") % 10)
+    sides = {"ground_truth": px.where("valid = 1 AND gt_extent = 1 AND x < 6"), "prediction": px.where("valid = 1 AND extent_prob >= 0.9 AND x < 30")}
+    return J.scene_selection(px, sides, "both_sides")
+
+
+@query(sql("px") + f", {SIDES} SELECT scene_id, 'both_sides' AS policy FROM s WHERE scene_id IN (SELECT * FROM g) AND scene_id IN (SELECT * FROM p)")
 def scenes_included(spark, sf_dir):
-    px = view(spark, sf_dir, "px")
-    return px.select("scene_id").distinct().join(px.where("valid = 1 AND y > 10 AND x < 20 AND scene_id < 2").select("scene_id"), "scene_id", "left_semi")
+    return _selection(spark, sf_dir).where("included").select("scene_id", "policy")
 
 
-@query(sql("px") + " SELECT DISTINCT scene_id FROM px WHERE scene_id NOT IN (SELECT scene_id FROM px WHERE valid = 1 AND y > 10 AND x < 20 AND scene_id < 2)")
+@query(sql("px") + f", {SIDES} SELECT scene_id, CASE WHEN scene_id NOT IN (SELECT * FROM g) THEN 'missing_ground_truth' ELSE 'missing_prediction' END AS reason, 'both_sides' AS policy FROM s WHERE scene_id NOT IN (SELECT * FROM g) OR scene_id NOT IN (SELECT * FROM p)")
 def scenes_excluded(spark, sf_dir):
-    px = view(spark, sf_dir, "px")
-    return px.select("scene_id").distinct().join(px.where("valid = 1 AND y > 10 AND x < 20 AND scene_id < 2").select("scene_id"), "scene_id", "left_anti")
+    return _selection(spark, sf_dir).where("not included").select("scene_id", "reason", "policy")
+
+
+@query(R + f", {DELTA} SELECT left_id, right_id, metric, orientation, delta, status FROM de")
+def delta_table_export(spark, sf_dir):
+    """The delta table as CSV files, read back."""
+    from sparkraster.operators.tables import shared_dir
+
+    d = rounded(J.run_delta(_pairs(spark, sf_dir), _runs(spark, sf_dir), METRICS, OPTIONAL)).select("left_id", "right_id", "metric", "orientation", "delta", "status")
+    path = f"{shared_dir(spark)}/deltas-{uuid.uuid4().hex[:12]}"
+    J.export_table(d, path, "csv")
+    return J.read_table(spark, path, "left_id long, right_id long, metric string, orientation string, delta double, status string", "csv")
 
 
 @query(R + ", p AS (SELECT run_id, 'p' || nation % 2 AS a, 'p' || run_id % 2 AS b, 'p' || run_id % 4 % 2 AS c FROM runs) SELECT run_id, CASE WHEN a = b AND b = c THEN a ELSE 'mixed_explicit_threshold_provenance' END AS mode FROM p")
@@ -160,13 +176,13 @@ def threshold_provenance_mode(spark, sf_dir):
     return J.threshold_provenance(p, ["a", "b", "c"])
 
 
-MANIFEST = "CASE WHEN run_id % 10 = 4 THEN NULL ELSE 'eval' END AS schema_name, CASE WHEN run_id % 12 = 5 THEN ' ' ELSE 'v1' END AS schema_version, CAST(run_id AS VARCHAR) AS name"
+MANIFEST = "CASE WHEN run_id % 10 = 4 THEN NULL ELSE 'eval' END AS schema_name, CASE WHEN run_id % 12 = 5 THEN ' ' ELSE 'v1' END AS schema_version, CASE WHEN run_id % 14 = 6 THEN NULL ELSE '1.0' END AS module_version, CAST(run_id AS VARCHAR) AS name"
 
 
-@query(R + f", m AS (SELECT run_id, status, {MANIFEST} FROM runs) SELECT run_id, 'missing_schema_name' AS violation FROM m WHERE COALESCE(TRIM(schema_name), '') = '' UNION ALL SELECT run_id, 'missing_schema_version' FROM m WHERE COALESCE(TRIM(schema_version), '') = '' UNION ALL SELECT run_id, 'status' FROM m WHERE status NOT IN ('success', 'partial', 'failed')")
+@query(R + f", m AS (SELECT run_id, status, {MANIFEST} FROM runs) SELECT run_id, 'missing_schema_name' AS violation FROM m WHERE COALESCE(TRIM(schema_name), '') = '' UNION ALL SELECT run_id, 'missing_schema_version' FROM m WHERE COALESCE(TRIM(schema_version), '') = '' UNION ALL SELECT run_id, 'missing_stage_name' FROM m UNION ALL SELECT run_id, 'status' FROM m WHERE status NOT IN ('success', 'partial', 'failed')")
 def manifest_contract(spark, sf_dir):
     m = _runs(spark, sf_dir).selectExpr("run_id", "status", *MANIFEST.replace("VARCHAR", "STRING").split(", "))
-    return J.manifest_contract(m, ("schema_name", "schema_version", "name", "status"))
+    return J.manifest_contract(m, ("schema_name", "schema_version", "module_version", "name", "status", "stage_name"))
 
 
 @query(

@@ -47,6 +47,21 @@ def rasterize_outline(spark, sf_dir):
     return S.outline_boxes(_boxes(spark, sf_dir, "pred_rect")).select("y", "x")
 
 
+SLANTED = [("x0 + 0.25e0", "y0 + 0.0e0"), ("x0 + w + 0.0e0", "y0 + 1.5e0"), ("x0 + w - 1.25e0", "y0 + h + 0.0e0"), ("x0 + 0.0e0", "y0 + h - 2.75e0")]
+TOUCHED = "co AS (SELECT parcel_id, [" + ", ".join(f"{{'x': {x}, 'y': {y}}}" for x, y in SLANTED) + """] AS r FROM pred_rect),
+ se AS (SELECT parcel_id, r[i] AS a, r[1 + i % 4] AS b FROM co, generate_series(1, 4) t(i)),
+ du AS (SELECT parcel_id, CASE WHEN a.y <= b.y THEN a ELSE b END AS p, CASE WHEN a.y <= b.y THEN b ELSE a END AS q FROM se),
+ ro AS (SELECT *, unnest(generate_series(FLOOR(p.y)::BIGINT, FLOOR(q.y)::BIGINT)) AS y FROM du),
+ cl AS (SELECT parcel_id, y, p.x + (GREATEST(p.y, y) - p.y) * (q.x - p.x) / (q.y - p.y) AS f, CASE WHEN q.y < y + 1 THEN q.x ELSE p.x + (y + 1 - p.y) * (q.x - p.x) / (q.y - p.y) END AS l, q.y >= y + 1 AS goes_on FROM ro)
+ SELECT DISTINCT y, unnest(generate_series(FLOOR(LEAST(f, l))::BIGINT, GREATEST(FLOOR(LEAST(f, l))::BIGINT, CASE WHEN goes_on AND l >= f THEN CEIL(l)::BIGINT - 1 ELSE FLOOR(GREATEST(f, l))::BIGINT END))) AS x FROM cl"""
+
+
+@query(sql("pred_rect") + f", {TOUCHED}")
+def rasterize_touched(spark, sf_dir):
+    ring = F.array(*[F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y")) for x, y in SLANTED])
+    return S.outline_rings(_boxes(spark, sf_dir, "pred_rect").withColumn("ring", ring)).select("y", "x")
+
+
 @query(BOTH + " SELECT gt_id, pred_id FROM e")
 def bbox_join(spark, sf_dir):
     pairs = S.box_join(_boxes(spark, sf_dir, "gt_rect"), _boxes(spark, sf_dir, "pred_rect"), cell=64)
@@ -150,16 +165,16 @@ def confidence_summary(spark, sf_dir):
     return rounded(S.confidence_summary(S.polygon_confidence(_scene_parcels(spark, sf_dir), view(spark, sf_dir, "px"))))
 
 
-GTB = "gb AS (SELECT scene_id, y, x FROM px WHERE gt_boundary = 1 AND valid = 1 AND (y * 3 + x) % 7 = 0)"
-PRB = "pb AS (SELECT scene_id, y, x FROM px WHERE valid = 1 AND p_skel >= p_bg AND p_skel >= p_buf AND (y + x * 5) % 9 = 0)"
+GTB = "gb AS (SELECT scene_id, y, x FROM px WHERE gt_boundary = 1 AND valid = 1)"
+PRB = "pb AS (SELECT scene_id, y, x FROM px WHERE valid = 1 AND p_skel >= p_bg AND p_skel >= p_buf)"
 
 
 def _sides(spark, sf_dir):
     px = view(spark, sf_dir, "px").where("valid = 1")
-    return px.where("gt_boundary = 1 AND (y * 3 + x) % 7 = 0"), px.where("p_skel >= p_bg AND p_skel >= p_buf AND (y + x * 5) % 9 = 0")
+    return px.where("gt_boundary = 1"), px.where("p_skel >= p_bg AND p_skel >= p_buf")
 
 
-@query(sql("px") + f", {GTB}, {PRB} SELECT p.scene_id, p.y, p.x, MIN((p.y - g.y) * (p.y - g.y) + (p.x - g.x) * (p.x - g.x))::DOUBLE AS d2 FROM pb p JOIN gb g ON p.scene_id = g.scene_id GROUP BY ALL")
+@query(sql("px") + f", {GTB}, {PRB} SELECT p.scene_id, p.y, p.x, MIN((p.y - g.y) * (p.y - g.y) + (p.x - g.x) * (p.x - g.x))::DOUBLE AS d2 FROM pb p LEFT JOIN gb g ON p.scene_id = g.scene_id GROUP BY ALL")
 def nearest_boundary(spark, sf_dir):
     gt, pred = _sides(spark, sf_dir)
     return S.nearest_squared(pred, gt)
@@ -168,30 +183,13 @@ def nearest_boundary(spark, sf_dir):
 @query(
     sql("px") + f""", {GTB}, {PRB}, a AS (SELECT p.scene_id, p.y, p.x, SQRT(MIN((p.y - g.y) * (p.y - g.y) + (p.x - g.x) * (p.x - g.x))) AS d FROM pb p JOIN gb g ON p.scene_id = g.scene_id GROUP BY ALL),
     b AS (SELECT g.scene_id, g.y, g.x, SQRT(MIN((p.y - g.y) * (p.y - g.y) + (p.x - g.x) * (p.x - g.x))) AS d FROM gb g JOIN pb p ON p.scene_id = g.scene_id GROUP BY ALL)
-    SELECT scene_id, ROUND(x.d, 6) AS pred_to_gt, ROUND(y.d, 6) AS gt_to_pred, ROUND((x.d + y.d) / 2, 6) AS bde FROM (SELECT scene_id, AVG(d) AS d FROM a GROUP BY 1) x JOIN (SELECT scene_id, AVG(d) AS d FROM b GROUP BY 1) y USING (scene_id)"""
+    SELECT scene_id, ROUND(x.d, 6) AS pred_to_gt, ROUND(y.d, 6) AS gt_to_pred, ROUND((x.d + y.d) / 2, 6) AS bde FROM (SELECT scene_id, AVG(d) AS d FROM a GROUP BY 1) x FULL JOIN (SELECT scene_id, AVG(d) AS d FROM b GROUP BY 1) y USING (scene_id)"""
 )
 def boundary_displacement(spark, sf_dir):
     gt, pred = _sides(spark, sf_dir)
     return rounded(S.boundary_displacement(gt, pred))
 
 
-def _whole_sides(spark, sf_dir):
-    px = view(spark, sf_dir, "px").where("valid = 1")
-    return px.where("gt_boundary = 1"), px.where("p_skel >= p_bg AND p_skel >= p_buf")
-
-
-@query()
-def nearest_boundary_whole(spark, sf_dir):
-    gt, pred = _whole_sides(spark, sf_dir)
-    return S.nearest_squared(pred, gt)
-
-
-@query()
-def boundary_displacement_whole(spark, sf_dir):
-    gt, pred = _whole_sides(spark, sf_dir)
-    return rounded(S.boundary_displacement(gt, pred))
-
-
 @query(
     sql("px") + " SELECT scene_id, y, x, COALESCE(gt_extent = 1, FALSE) AND gt_boundary <> 0 AS both_, gt_extent = 1 OR gt_boundary <> 0 AS either_, gt_extent = 1 AND gt_boundary = 0 AS only_a FROM px WHERE gt_extent = 1 OR gt_boundary <> 0"
 )
@@ -204,14 +202,8 @@ EXTENT = "e AS (SELECT MIN(x0) - {b} AS xmin, MIN(y0) - {b} AS ymin, MAX(x0 + w)
 CLAMP = "SELECT LEAST(GREATEST(xmin, 0), 500)::DOUBLE AS xmin, LEAST(GREATEST(ymin, 0), 400)::DOUBLE AS ymin, LEAST(GREATEST(xmax, 0), 500)::DOUBLE AS xmax, LEAST(GREATEST(ymax, 0), 400)::DOUBLE AS ymax, (xmin >= 500 OR ymin >= 400 OR xmax <= 0 OR ymax <= 0) AS disjoint FROM e"
 
 
-@query(sql("gt_rect") + ", " + EXTENT.format(b=30, f="parcel_id % 7 = 0") + " " + CLAMP)
+@query(sql("gt_rect") + ", " + EXTENT.format(b=30, f="TRUE") + " " + CLAMP)
 def aoi_effective_extent(spark, sf_dir):
-    boxes = _boxes(spark, sf_dir, "gt_rect").where("parcel_id % 7 = 0")
-    return S.effective_extent(boxes, 30, 500, 400).drop("scene_id")
-
-
-@query()
-def aoi_effective_extent_whole(spark, sf_dir):
     return S.effective_extent(_boxes(spark, sf_dir, "gt_rect"), 30, 500, 400).drop("scene_id")
 
 

@@ -189,3 +189,20 @@ def weighted_sample(spark, sf_dir):
     b = T.coverage_buckets(T.extent_coverage(_patches(spark, sf_dir)))
     w = F.when(F.col("bucket") == "low", 1.0).when(F.col("bucket") == "medium", 2.0).otherwise(4.0)
     return G.weighted_sample(b.withColumn("w", w), "w", ["scene_id", "yoff", "xoff"], 40, seed=7).select("scene_id", "yoff", "xoff")
+
+
+DRAWN = 500
+POINT = (42 % 997 + 0.5) / 997
+
+
+@query(
+    f"""WITH c AS (SELECT o_orderkey, o_custkey % 9 AS w, SUM(o_custkey % 9) OVER (ORDER BY o_orderkey) AS hi, SUM(o_custkey % 9) OVER () AS total FROM orders WHERE o_custkey % 9 > 0)
+    SELECT o_orderkey, COUNT(*) AS times FROM (SELECT o_orderkey, unnest(generate_series(1, (CEIL(hi::DOUBLE / total * {DRAWN} - {POINT!r}::DOUBLE) - CEIL((hi - w)::DOUBLE / total * {DRAWN} - {POINT!r}::DOUBLE))::BIGINT)) FROM c) GROUP BY 1"""
+)
+def weighted_sample_replaced(spark, sf_dir):
+    """Draws with replacement: a row comes as often as points of the cumulated weights fall on it."""
+    from sparkraster.operators import sampling
+    from sparkraster.tables import table
+
+    df = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "CAST(o_custkey % 9 AS DOUBLE) AS w")
+    return sampling.weighted_sample(df, "w", ["o_orderkey"], DRAWN, 42, replacement=True).groupBy("o_orderkey").agg(F.count("*").alias("times"))

@@ -67,8 +67,9 @@ VIEWS: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
         [
             ("run_id", "s_suppkey"), ("nation", "s_nationkey"),
             ("extent_f1", "CAST((s_suppkey * 37) % 100 AS DOUBLE) / 100.0e0"), ("boundary_f1", "CAST((s_suppkey * 53) % 100 AS DOUBLE) / 100.0e0"),
-            ("bde", "CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CAST((s_suppkey * 11) % 40 AS DOUBLE) / 10.0e0 END"),
+            ("boundary_bde", "CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE CAST((s_suppkey * 11) % 40 AS DOUBLE) / 10.0e0 END"),
             ("goc", "CAST((s_suppkey * 17) % 30 AS DOUBLE) / 100.0e0"), ("guc", "CAST((s_suppkey * 19) % 30 AS DOUBLE) / 100.0e0"),
+            ("normalized_gtc", "CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE CAST((s_suppkey * 17) % 30 + (s_suppkey * 19) % 30 AS DOUBLE) / 100.0e0 END"),
             ("extent_threshold", "CASE WHEN s_nationkey % 3 = 0 THEN 0.55e0 ELSE 0.5e0 END"),
             ("boundary_threshold", "CASE WHEN s_nationkey % 4 = 0 THEN 0.4e0 ELSE 0.5e0 END"),
             ("iou_threshold", "CASE WHEN s_nationkey % 5 = 0 THEN 0.3e0 ELSE 0.5e0 END"),

@@ -184,3 +184,41 @@ def test_patch_meta_files(spark, tmp_path):
     (tmp_path / "other.json").write_text("{}")
     r = read_patch_meta(spark, str(tmp_path)).collect()
     assert len(r) == 1 and r[0].xoff == 3 and r[0].feature_mode is None
+
+
+@pytest.mark.parametrize("tile", [3, 64])
+def test_growth_equals_kruskal(spark, tile, monkeypatch):
+    import random
+
+    from sparkraster.operators import growth
+
+    monkeypatch.setattr(growth, "TILE", tile)
+
+    rnd = random.Random(3)
+    h, w = 7, 9
+    relief = {(y, x): rnd.randrange(12) for y in range(h) for x in range(w)}
+    seeds = {(0, 0): 1, (0, 1): 1, (6, 8): 2, (3, 4): 3, (6, 0): 3}
+    n = {p: p[0] * w + p[1] for p in relief}
+    edges = sorted((max(relief[p], relief[q]), n[p], n[q]) for p in relief for q in ((p[0], p[1] + 1), (p[0] + 1, p[1])) if q in relief)
+    up, mark = {i: i for i in n.values()}, {}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    first = {}
+    for p, k in sorted(seeds.items()):
+        up[n[p]] = first.setdefault(k, n[p])
+        mark[first[k]] = k
+    for _, a, b in edges:
+        a, b = root(a), root(b)
+        if a != b and not (a in mark and b in mark):
+            keep, gone = (a, b) if a in mark or b not in mark else (b, a)
+            up[gone] = keep
+    want = {p: mark.get(root(i), 0) for p, i in n.items()}
+    px = spark.createDataFrame([(0, y, x, r, 1, True) for (y, x), r in relief.items()], "scene_id long, y long, x long, relief int, valid int, inside boolean")
+    m = spark.createDataFrame([(0, y, x, k) for (y, x), k in seeds.items()], "scene_id long, y long, x long, label long")
+    assert {(r.y, r.x): r.label for r in growth.grow(px, m, h, w).collect()} == want
+    masked = growth.grow(px.withColumn("valid", F.expr("CASE WHEN y = 0 THEN 0 ELSE 1 END")).withColumn("inside", F.expr("x > 0")), m, h, w)
+    assert {r.label for r in masked.where("y = 0").collect()} == {-1} and {r.label for r in masked.where("y > 0 AND x = 0").collect()} == {0}
