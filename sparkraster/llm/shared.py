@@ -49,7 +49,15 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: compact, and its columns can be pruned."""
     uri = fresh_dir(df.sparkSession, "table")
     df.write.parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
+    out = df.sparkSession.read.schema(df.schema).parquet(uri)
+    out.stored_at = uri
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a ``stored`` DataFrame, when nothing that is still to run reads it."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_dir(spark: SparkSession, what: str) -> str:
@@ -88,9 +96,14 @@ def clear_worker() -> None:
     if kept:
         kept.clear()
         gc.collect()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
-        if trim is not None:
-            trim(0)
+        _trim()
+
+
+def _trim() -> None:
+    """Gives freed memory of this process back to the system, where the C library can."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class AtomicFile:
@@ -140,7 +153,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def trimmed(batches, keeps: bool = False):
-    """The batches of a task; Arrow's unused memory goes back after each, so idle workers stay small.
+    """The batches of a task; unused memory goes back after each and at the end, so idle workers stay small.
 
     Unless the task ``keeps`` an object in its worker, what others kept goes first.
     """
@@ -152,6 +165,7 @@ def trimmed(batches, keeps: bool = False):
         yield b
         del b
         pa.default_memory_pool().release_unused()
+    _trim()
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -128,7 +128,7 @@ class Encoder:
     encoded whole by the library.
     """
 
-    def __init__(self, tokenizer: str, bound: int = 96 << 20):
+    def __init__(self, tokenizer: str, bound: int = 64 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
