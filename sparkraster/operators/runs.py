@@ -16,6 +16,8 @@ REQUIRED_FIELDS = (
 #: Required fields that may be null.
 NULLABLE_FIELDS = ("module_version", "stage_name")
 STATUSES = ("success", "partial", "failed")
+#: How CSV files write a null, so that an empty string stays one.
+NULL = "\\N"
 #: Which way each metric is better.
 ORIENTATION = {
     "extent_iou": "higher_is_better", "extent_f1": "higher_is_better", "extent_precision": "higher_is_better", "extent_recall": "higher_is_better",
@@ -67,7 +69,7 @@ def export_table(rows: DataFrame, path: str, kind: str = "json") -> None:
     if kind == "json":
         out.option("ignoreNullFields", "false").json(path)
     elif kind == "csv":
-        out.option("header", "true").option("nullValue", "").option("emptyValue", '""').csv(path)
+        out.option("header", "true").option("nullValue", NULL).csv(path)
     else:
         raise ValueError(f"unknown kind of table: {kind}")
 
@@ -75,7 +77,7 @@ def export_table(rows: DataFrame, path: str, kind: str = "json") -> None:
 def read_table(spark, path: str, schema: str, kind: str = "json") -> DataFrame:
     """A table that ``export_table`` wrote."""
     r = spark.read.schema(schema)
-    return r.json(path) if kind == "json" else r.option("header", "true").csv(path)
+    return r.json(path) if kind == "json" else r.option("header", "true").option("nullValue", NULL).csv(path)
 
 
 def unpivot_metrics(runs: DataFrame, metrics: list[str], key: str = "run_id") -> DataFrame:
