@@ -60,6 +60,12 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle files of DataFrames that are gone; its cleaner follows the collector of the driver's JVM."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fresh_dir(spark: SparkSession, what: str) -> str:
     """URI of a new folder for files of one run, below the shared folder."""
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex[:12]}"

@@ -360,3 +360,20 @@ def test_blocks_count_all_windows_of_an_item(spark):
     one = sorted(map(str, decontaminate.leaks(d, b).collect()))
     assert len(one) == 2 and sorted(map(str, decontaminate.leaks(d, b, size=6).collect())) == one
     assert [r.doc_id for r in decontaminate.clean(d, b, size=6).collect()] == [3]
+
+
+def test_points_bound_the_overlap_and_lose_no_pair():
+    rng = np.random.default_rng(11)
+    pool = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    for largest in (60, 90000):
+        base = [np.unique(rng.choice(pool if largest == 60 else rng.integers(0, 1 << 63, 4 * largest).astype(np.uint64), n)) for n in rng.integers(1, largest, 6)]
+        sets = sorted(base + [b[: max(1, int(len(b) * s))] for b in base for s in (0.81, 0.95)], key=len)
+        pages = sets[::2], sets[1::2]
+        sizes = [np.array([len(s) for s in p]) for p in pages]
+        points = [ngram_join.unpacked_points(ngram_join.packed_points(np.array([ngram_join.group_counts(s) for s in p])), len(p)) for p in pages]
+        for i, a in enumerate(pages[0]):
+            want = [np.minimum(ngram_join.group_counts(a), ngram_join.group_counts(b)).sum() for b in pages[1]]
+            assert ngram_join.minima(points[0][i].astype(points[1].dtype), points[1]).tolist() == want
+        of_a, of_b = ngram_join.may_link(sizes[0], points[0], sizes[1], points[1], 80, 100)
+        links = [(i, j) for i, a in enumerate(pages[0]) for j, b in enumerate(pages[1]) if 180 * len(np.intersect1d(a, b)) >= 80 * (len(a) + len(b))]
+        assert links and {i for i, _ in links} <= set(of_a) and {j for _, j in links} <= set(of_b)
