@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Words of the contracts: runs of bytes that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
