@@ -45,10 +45,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: compact, and its columns can be pruned."""
+def stored(df: DataFrame, group: int | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: compact, and its columns can be pruned.
+
+    ``group`` bounds the bytes of a row group, for tables of long rows.
+    """
     uri = fresh_dir(df.sparkSession, "table")
-    df.write.parquet(uri)
+    writer = df.write if group is None else df.write.option("parquet.block.size", group)
+    writer.parquet(uri)
     out = df.sparkSession.read.schema(df.schema).parquet(uri)
     out.stored_at = uri
     return out

@@ -66,6 +66,7 @@ def test_join_equals_brute_force(spark, k, num):
 
 def test_join_splits_pages(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PAGE", 3)
+    monkeypatch.setattr(ngram_join, "SHARE", 2)
     rows = edited(9, 60)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 70, 100).collect()}
     assert got == brute_groups(rows, 3, 70, 100)
