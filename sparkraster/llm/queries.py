@@ -12,6 +12,7 @@ from sparkraster.llm import (
     mixing,
     near_dedup,
     ngram_join,
+    periodic_runs,
     quality,
     token_counts,
     token_output,
@@ -64,6 +65,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), min_length=24, min_periods=3, rewrite=periodic_runs.planted)
+    return periodic_runs.digests(found)
+
+
 SQL_OP1_NEAR_DEDUP = """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
  g AS (SELECT *, sqrt(list_dot_product(e, e)) AS n FROM v WHERE list_dot_product(e, e) > 0),
