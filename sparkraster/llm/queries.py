@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sparkraster.llm import (
     decontaminate,
+    impact_search,
     lang_id,
     mixing,
     near_dedup,
@@ -65,6 +66,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), min_length=24, min_periods=3, rewrite=periodic_runs.planted)
     return periodic_runs.digests(found)
@@ -95,6 +100,12 @@ SQL_OP8_NGRAM_JOIN = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
  c AS (SELECT id, MIN(c) AS c FROM r GROUP BY id)
  SELECT id AS doc_id, COALESCE(n, 0)::BIGINT AS n_shingles, c AS component_id FROM c LEFT JOIN n ON n.doc_id = c.id"""
 
+SQL_OP12_IMPACT_SEARCH = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+ SELECT q.vec_id AS query_id, row_number() OVER w AS rank, v.vec_id AS vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+ FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e)
+ WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.e, v.e) DESC, v.vec_id) QUALIFY row_number() OVER w <= 5"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
