@@ -11,8 +11,9 @@ the next, of every dimension a contiguous piece. After a round the score of a ro
 is at most what it has gathered, plus the smaller of two bounds on the rest: so
 many dimensions are open, each below the level; and, by the Cauchy-Schwarz
 inequality, the product of the norms of what is open on both sides. Rows that
-cannot reach the k-th best exact score known so far are out by proof. When few
-are left, or nothing is open, these possible members are scored exactly.
+cannot reach the k-th best exact score known so far are out by proof. When it
+takes less to score all possible members exactly than to read half of what is
+open, or nothing is open, that ends the rounds.
 
 The k-th best score starts from the queries of one block among each other and
 rises with the rows scored exactly; a task carries it from block to block.
@@ -34,7 +35,9 @@ QUERIES = 256
 #: Tiles (query block, index block) that one task takes at most, about.
 TILES = 64
 #: Levels of quantised impact (of 255) at which a round ends; the last round takes what is left.
-LEVELS = (128, 64, 32, 16, 0)
+LEVELS = (96, 32, 0)
+#: Leading rows that are scored exactly after a round, a multiple of k, to raise the k-th best.
+LEAD = 16
 #: Sums of products below it are exact in double precision.
 EXACT = 1 << 53
 LONG = (-(1 << 63), (1 << 63) - 1)
@@ -63,8 +66,9 @@ class Index:
             self.low, self.high = int(self.codes.min()), int(self.codes.max())
             self.span = self.high - self.low + 2
             dim = np.repeat(np.arange(dims), n)
-            self.values = self.codes[self.places, dim]
-            self.keys = dim * self.span + (self.values - self.low)
+            values = self.codes[self.places, dim]
+            self.keys = dim * self.span + (values - self.low)
+            self.values = values.astype(np.float64)
             self.squares = (self.codes.astype(np.float64) ** 2).sum(1)
             self.top = max(abs(self.low), abs(self.high))
 
@@ -126,7 +130,7 @@ def possible_members(index: Index, q: np.ndarray, own: int, k: int, least) -> tu
         # Positive components take their segments from the top down, negative ones from the bottom up.
         size = high - low
         at = np.repeat(low - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-        some, values, own_q = index.places[at], index.values[at].astype(np.float64), np.repeat(qs, size).astype(np.float64)
+        some, values, own_q = index.places[at], index.values[at], np.repeat(qs.astype(np.float64), size)
         gathered += np.bincount(some, values * own_q, n)
         first, last = np.where(qs > 0, first, high), np.where(qs > 0, low, last)
         spent += len(at)
@@ -134,21 +138,23 @@ def possible_members(index: Index, q: np.ndarray, own: int, k: int, least) -> tu
             bound = gathered
         else:
             met += np.bincount(some, minlength=n)
-            left_q -= np.bincount(some, own_q * own_q, n)
-            left_x -= np.bincount(some, values * values, n)
-            norms = np.sqrt(np.maximum(left_q, 0) * np.maximum(left_x, 0)) * (1 + 1e-9) + 1e-6
-            bound = gathered + np.minimum((len(dim) - met) * (floor - 1), norms)
+            rest = (len(dim) - met) * (floor - 1)
+            if floor:
+                left_q -= np.bincount(some, own_q * own_q, n)
+                left_x -= np.bincount(some, values * values, n)
+                rest = np.minimum(rest, np.sqrt(np.maximum(left_q, 0) * np.maximum(left_x, 0)) * (1 + 1e-9) + 1e-6)
+            bound = gathered + rest
         if least is None or floor is not None:
             # Exact scores of the rows that lead now can raise the k-th best.
             lead = np.flatnonzero(every)
-            if len(lead) > k:
-                lead = lead[np.argpartition(-gathered[lead], k - 1)[:k]]
-            if len(lead) == k:
-                now = int(index.exact(q, lead).min())
+            if len(lead) > LEAD * k:
+                lead = lead[np.argpartition(-gathered[lead], LEAD * k)[: LEAD * k]]
+            if len(lead) >= k:
+                now = int(np.sort(index.exact(q, lead))[-k])
                 least = now if least is None else max(least, now)
         left = every if least is None else every & (bound >= least)
         count = int(left.sum())
-        if floor is None or count <= max(4 * k, n // 128):
+        if floor is None or 2 * count * dims <= n * len(dim) - spent:
             return np.flatnonzero(left), spent
     raise AssertionError("the last round returns")
 
