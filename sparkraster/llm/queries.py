@@ -15,6 +15,7 @@ from sparkraster.llm import (
     ngram_join,
     periodic_runs,
     quality,
+    token_alignment,
     token_counts,
     token_output,
     toxicity,
@@ -66,6 +67,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.compare(table(spark, sf_dir, "documents"))
+
+
 def op12_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_search.search(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
