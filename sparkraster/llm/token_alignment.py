@@ -17,10 +17,10 @@ and the sums come back by document. No count table is broadcast.
 
 from __future__ import annotations
 
-import array
 import functools
 import hashlib
 import itertools
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
-from sparkraster.llm.shared import Memory, for_worker, fresh_dir, open_fs, small_batches, stored, texts_of, trimmed, with_text
+from sparkraster.llm.shared import for_worker, fresh_dir, open_fs, small_batches, stored, texts_of, trimmed, with_text
 from sparkraster.llm.token_counts import MARK, model_path
-from sparkraster.llm.token_output import VISIBLE, Encoder, _Blank, tokenizer_path
+from sparkraster.llm.token_output import VISIBLE, Encoder, tokenizer_path
 
 #: Offsets of the shorter list that gallop one after the other; strips go side by side.
 STRIP = 64
@@ -39,6 +39,12 @@ STRIP = 64
 BUCKET = 4_000_000
 #: Pairs that a task counts before it passes them on.
 PENDING = 2_000_000
+#: Words that B encodes in one call of its library; longer texts take longer for a word.
+CHUNK = 64
+#: Characters below it have the same class in all versions of Unicode.
+STABLE = "\u0370"
+#: Pre-tokens of byte-level BPE, as its library splits them (a fixed value).
+PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of texts whose tokens are aligned in one pass.
 PASS_BYTES = 2 << 20
 
@@ -95,90 +101,272 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
     return in_long, in_short, np.searchsorted(last, own, "right"), np.searchsorted(first, own, "right")
 
 
+def _gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The pieces flat[start : start + size], one after the other."""
+    return flat[np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))]
+
+
+def _by_ranks(tok, entry: list[bytes]):
+    """An encoder by ranks that equals the byte-level BPE ``tok`` on texts below ``STABLE``, or None where that is not proved.
+
+    Its merges must come in the order of the ids they make, and each single byte
+    must be a token; then the rank of a merge is the id of its result.
+    """
+    import tiktoken
+
+    model = json.loads(tok.to_str())["model"]
+    made = [model["vocab"].get("".join(m if isinstance(m, list) else m.split(" "))) for m in model["merges"]]
+    added = tok.get_added_tokens_decoder()
+    ranks = {x: i for i, x in enumerate(entry) if i not in added}
+    single = {bytes([i]) for i in range(256)}
+    if None in made or any(x >= y for x, y in zip(made, made[1:])) or len(ranks) != len(model["vocab"]) or len(made) + 256 != len(ranks):
+        return None
+    if not single <= ranks.keys() or max(ranks[x] for x in single) >= made[0]:
+        return None
+    return tiktoken.Encoding("ranks", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+
+class Units:
+    """Alignments of units (words, or whole texts) by their code: numbers, linked pairs and written groups."""
+
+    def __init__(self):
+        self.numbers = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
+        self.pairs, self.written = np.empty(0, np.int64), []
+
+    def __len__(self) -> int:
+        return len(self.written)
+
+    @property
+    def start(self) -> np.ndarray:
+        return np.cumsum(self.numbers[:, 3]) - self.numbers[:, 3]
+
+    def joined(self, other: Units) -> Units:
+        out = Units()
+        out.numbers, out.pairs = np.concatenate([self.numbers, other.numbers]), np.concatenate([self.pairs, other.pairs])
+        out.written = self.written + other.written
+        return out
+
+    def chosen(self, codes: np.ndarray) -> Units:
+        out = Units()
+        out.numbers = self.numbers[codes]
+        out.pairs = _gather(self.pairs, self.start[codes], out.numbers[:, 3])
+        out.written = [self.written[i] for i in codes.tolist()]
+        return out
+
+
+class Codes(dict):
+    """Codes of the words that are kept; other words get the codes behind them, until they are kept or dropped."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: dict[str, int] = {}
+
+    def __missing__(self, word: str) -> int:
+        return self.new.setdefault(word, len(self) + len(self.new))
+
+
 class Tokens:
-    """Tokens of texts for a byte-level tokenizer A (text after a blank) and a SentencePiece model B.
+    """Tokens of texts for a byte-level tokenizer A (text after a blank) and a SentencePiece model B, and their alignment.
 
     Neither joins symbols over the start of a blank or a newline, which is proved
     for the vocabulary of B when it is loaded (see ``token_counts``) and holds
-    for pre-tokens of A (see ``token_output``). So a text's tokens are those of
-    its words, remembered for both at once; texts with other white space, and
-    models without this property, are encoded whole.
+    for pre-tokens of A (see ``token_output``). So a word, with the blank or the
+    newline before it, begins and ends at common ends, and the alignment of a
+    text is that of its words. New words of a pass are encoded and aligned
+    together, by the libraries and by galloping; those seen before are kept. When
+    there are more than ``KEPT``, the half used least is dropped. Texts with other white space, and models without this
+    property, are one unit as a whole.
     """
 
-    def __init__(self, a: str, b: str, bound: int = 64 << 20):
+    KEPT = 250_000
+    LONGEST = 64
+    SEEN = 1 << 22
+
+    def __init__(self, a: str, b: str):
         import sentencepiece
 
         self.a = Encoder(a, bound=1 << 20)
         self.a.tok.encode_special_tokens = True
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_path(b))
         n = self.sp.vocab_size()
-        self.size_a = self.a.tok.get_vocab_size()
+        self.size_a, self.size_b = self.a.tok.get_vocab_size(), n
         back = {c: x for x, c in VISIBLE.items()}
         entry = (self.a.tok.id_to_token(i) or "" for i in range(self.size_a))
         self.bytes_a = [bytes(back[c] for c in t) if all(c in back for c in t) else t.encode() for t in entry]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(map(self.sp.id_to_piece, range(n)))]
-        self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        self.size_b = n
+        self.length_a, self.length_b = (np.array([len(x) for x in entry], np.int64) for entry in (self.bytes_a, self.bytes_b))
+        self.begins_a, self.begins_b = ({c: np.array([x[:1] == c for x in entry]) for c in (b" ", b"\n")} for entry in (self.bytes_a, self.bytes_b))
         special = (self.sp.is_control, self.sp.is_unknown, self.sp.is_byte, self.sp.is_unused)
         pieces = [self.sp.id_to_piece(i) for i in range(n) if not any(f(i) for f in special)]
         self.by_word = self.a.by_word and not any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p in pieces)
-        self.newline_b = self.sp.encode("\n")
-        self.marked = Memory(functools.partial(self._word, " "), bound * 3 // 4)
-        self.bare = Memory(functools.partial(self._word, ""), bound // 4)
         # Decimal ids with the sign that follows them: within the group, at its end, at the end of B's list.
         digits_a, digits_b = [b"%d" % i for i in range(self.size_a)], [b"%d" % i for i in range(n)]
-        self.written = [*(d + b"," for d in digits_a), *(d + b"|" for d in digits_a), *(d + b"," for d in digits_b), *(d + b";" for d in digits_b), *digits_b]
-
-    def _word(self, before: str, word: str) -> tuple[bytes, bytes]:
-        """Ids of a word for A and B; raises where it has to be encoded with its text."""
-        if not word:
-            raise _Whole
-        a = (self.a.after_blank if before else self.a.as_is)[word]
-        b = self.sp.encode(word) if before else self.sp.encode("\n" + word)[len(self.newline_b) :]
-        b = array.array("I", b).tobytes()
-        if not self._covers(a, self.bytes_a, before + word) or not self._covers(b, self.bytes_b, before + word):
-            raise _Whole
-        return a, b
+        self.signed = [*(d + b"," for d in digits_a), *(d + b"|" for d in digits_a), *(d + b"," for d in digits_b), *(d + b";" for d in digits_b), *digits_b]
+        self.codes, self.kept, self.seen, self.uses = Codes(), Units(), bytearray(self.SEEN), np.empty(0, np.int64)
+        self.fast = _by_ranks(self.a.tok, self.bytes_a) if self.by_word else None
+
+    def _library_a(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.a._library(text), "<u4").astype(np.int64)
+
+    def _library_b(self, text: str) -> np.ndarray:
+        return np.array(self.sp.encode(text), np.int64)
 
     @staticmethod
-    def _covers(ids: bytes, entry: list[bytes], text: str) -> bool:
-        return b"".join([entry[i] for i in np.frombuffer(ids, "<u4").tolist()]) == text.encode()
+    def _covers(ids: np.ndarray, entry: list[bytes], text: bytes) -> bool:
+        return b"".join([entry[i] for i in ids.tolist()]) == text
 
-    def of(self, text: str | None) -> tuple[bytes, bytes] | None:
-        """Ids of blank + text by A and of text by B, little-endian uint32; None where their bytes are not those of blank + text."""
-        if not text or MARK in text:
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of blank + text by A and of text by B; None where their bytes are not those of blank + text."""
+        a, b, want = self._library_a(" " + text), self._library_b(text), (" " + text).encode()
+        return (a, b) if self._covers(a, self.bytes_a, want) and self._covers(b, self.bytes_b, want) else None
+
+    def units_of(self, text: str) -> list[str] | None:
+        """The words of ``text`` with the newline before them, if there is one; None where it has to be encoded whole."""
+        if not self.by_word or self.sp.normalize(text) != MARK + text.replace(" ", MARK):
+            return None
+        if "  " in text or "\n\n" in text or "\n " in text or " \n" in text or text[0] in " \n" or text[-1] in " \n":
             return None
-        if self.by_word and self.sp.normalize(text) == MARK + text.replace(" ", MARK):
-            try:
-                return self._by_words(text)
-            except (_Whole, _Blank):
-                pass
-        return self._whole(text)
-
-    def _by_words(self, text: str) -> tuple[bytes, bytes]:
-        marked, bare, found = self.marked.__getitem__, self.bare.__getitem__, []
-        for line in text.split("\n"):
-            fields = line.split(" ")
-            if found:
-                found.append(self.newline)
-                found.append(bare(fields[0]))
-                found += map(marked, fields[1:])
-            else:
-                found += map(marked, fields)
-        return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
-
-    @functools.cached_property
-    def newline(self) -> tuple[bytes, bytes]:
-        return self.a.newline, array.array("I", self.sp.encode("\n\n")[len(self.newline_b) :]).tobytes()
-
-    def _whole(self, text: str) -> tuple[bytes, bytes] | None:
-        a, b = self.a._library(" " + text), array.array("I", self.sp.encode(text)).tobytes()
-        return (a, b) if self._covers(a, self.bytes_a, " " + text) and self._covers(b, self.bytes_b, " " + text) else None
-
-
-class _Whole(Exception):
-    """The text is to be encoded whole."""
+        return text.replace("\n", " \n").split(" ")
+
+    def _new_units(self, words: list[str]) -> Units:
+        """Alignments of new words; n_a is -1 where a word has to be encoded with its text."""
+        # Other white space within a word may be cut off from it with a blank or newline.
+        ok = [True] * len(words)
+        if " ".join(words).split() != [w.removeprefix("\n") for w in words]:
+            ok = [w.split() == [w.removeprefix("\n")] for w in words]
+        parts = []
+        for sign, first in ((" ", 0), ("\n", 1)):
+            own = [i for i, w in enumerate(words) if ok[i] and (w[0] == "\n") == bool(first)]
+            plain = [words[i].isascii() or max(words[i]) < STABLE for i in own]
+            for some in ([i for i, x in zip(own, plain) if x], [i for i, x in zip(own, plain) if not x]):
+                if not some:
+                    continue
+                parts.append((some, *self._split(sign, [words[i][first:] for i in some])))
+        out = Units()
+        out.numbers = np.zeros((len(words), 4), np.int64)
+        out.numbers[:, 0] = -1
+        where = np.concatenate([np.array(p[0], np.int64)[p[5]] for p in parts]) if parts else np.empty(0, np.int64)
+        if len(where):
+            found = self.align(*[np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4)])
+            order = np.argsort(where)
+            found = found.chosen(order)
+            out.numbers[where[order]] = found.numbers
+            out.pairs = found.pairs
+            out.written = [b""] * len(words)
+            for i, w in zip(where[order].tolist(), found.written):
+                out.written[i] = w
+        else:
+            out.written = [b""] * len(words)
+        return out
+
+    def _split(self, sign: str, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of A, of B, numbers of ids by word in A, in B, places of the words taken) of words with ``sign`` before them.
+
+        They are encoded as one text and cut where a token begins with the sign.
+        Each word's tokens must cover its bytes; else it is left out.
+        """
+        text = sign + sign.join(words)
+        ids = self.fast.encode_ordinary(text) if self.fast and (text.isascii() or max(text) < STABLE) else self._library_a(text)
+        sides = [(np.asarray(ids, np.int64), self.begins_a, self.bytes_a, self.length_a)]
+        # B puts a blank before each text by itself.
+        chunks = [sign.join(words[i : i + CHUNK]) for i in range(0, len(words), CHUNK)]
+        chunks = self.sp.encode(chunks if sign == " " else [sign + c for c in chunks], num_threads=1)
+        ids = itertools.chain.from_iterable(chunks if sign == " " else (x[1:] for x in chunks))
+        sides.append((np.fromiter(ids, np.int64), self.begins_b, self.bytes_b, self.length_b))
+        size = np.array([len(w.encode()) + 1 for w in words])
+        cut, good = [], True
+        for ids, begins, entry, length in sides:
+            at = np.flatnonzero(begins[sign.encode()][ids])
+            good = good and len(at) == len(words) and len(at) > 0 and at[0] == 0 and np.array_equal(np.add.reduceat(length[ids], at), size)
+            good = good and self._covers(ids, entry, text.encode())
+            cut.append(np.diff(np.append(at, len(ids))))
+        if good:
+            return sides[0][0], sides[1][0], cut[0], cut[1], np.arange(len(words))
+        if len(words) == 1:
+            none = np.empty(0, np.int64)
+            return none, none, none, none, none
+        half = len(words) // 2
+        x, y = self._split(sign, words[:half]), self._split(sign, words[half:])
+        return tuple(np.concatenate([p, q + half if k == 4 else q]) for k, (p, q) in enumerate(zip(x, y)))
+
+    def align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> Units:
+        """Alignments of units with the ids ``a`` and ``b``, ``n_a`` and ``n_b`` of them in each; both cover the unit's bytes."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
+        cut_a, cut_b, first, last = overlaps(ends_a, ends_b)
+        out = Units()
+        n_groups = np.diff(np.searchsorted(cut_a, np.concatenate([[0], last_a])))
+        size = last - first
+        n_links = np.diff(np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], last_a])])
+        out.numbers = np.stack([n_a, n_b, n_groups, n_links], 1)
+        link_b = np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        out.pairs = np.repeat(a * self.size_b, size) + b[link_b]
+        out.written = self._write(a, b, cut_a, cut_b, last_a, last_b)
+        return out
+
+    def _write(self, a, b, cut_a, cut_b, last_a, last_b) -> list[bytes]:
+        """The groups of each unit as a1,a2|b1;a3|b2,b3."""
+        before_a = np.concatenate([[0], cut_b + 1])  # B tokens in the groups before
+        kind_a, kind_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        kind_a[cut_a], kind_b[cut_b] = 1, 1
+        kind_b[last_b - 1] = 2
+        out = np.empty(len(a) + len(b), np.int64)
+        out[np.arange(len(a)) + before_a[np.searchsorted(cut_a, np.arange(len(a)))]] = kind_a * self.size_a + a
+        out[np.arange(len(b)) + (cut_a + 1)[np.searchsorted(cut_b, np.arange(len(b)))]] = 2 * self.size_a + kind_b * self.size_b + b
+        signed, written, start = list(map(self.signed.__getitem__, out.tolist())), [], 0
+        for end in (last_a + last_b).tolist():
+            written.append(b"".join(signed[start:end]))
+            start = end
+        return written
+
+    def texts(self, texts: list[str | None]) -> tuple[Units, np.ndarray, np.ndarray]:
+        """(units, codes of the units of all texts, how many units each text has); texts without tokens have none."""
+        by_text = [self.units_of(t) if t and MARK not in t else None for t in texts]
+        words = [w for x in by_text if x for w in x]
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        new, used = list(self.codes.new), codes
+        found = self._new_units(new)
+        units = self.kept.joined(found)
+        many = np.array([len(x or ()) for x in by_text], np.int64)
+        bad = np.flatnonzero(units.numbers[codes, 0] < 0)
+        ends = np.cumsum(many)
+        whole = {i: None for i, (t, x) in enumerate(zip(texts, by_text)) if t and MARK not in t and x is None}
+        whole |= dict.fromkeys(np.unique(np.searchsorted(ends, bad, "right")).tolist())
+        if whole:
+            got = {i: x for i in whole if (x := self._whole(texts[i])) is not None}
+            keep = ~np.isin(np.repeat(np.arange(len(texts)), many), list(whole))
+            base, parts = len(units), list(got.values())
+            if parts:
+                n_a, n_b = (np.array([len(x[k]) for x in parts], np.int64) for k in (0, 1))
+                units = units.joined(self.align(np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts]), n_a, n_b))
+            doc = np.concatenate([np.repeat(np.arange(len(texts)), many)[keep], np.array(list(got), np.int64)])
+            order = np.argsort(doc, kind="stable")
+            codes = np.concatenate([codes[keep], base + np.arange(len(parts))])[order]
+            many = np.bincount(doc, minlength=len(texts))
+        self._keep(new, found, used)
+        return units, codes, many
+
+    def _keep(self, new: list[str], found: Units, used: np.ndarray) -> None:
+        """Keeps the new words that were seen in an earlier pass."""
+        bits = [hash(w) & (self.SEEN - 1) for w in new]
+        again = [i for i, bit in enumerate(bits) if self.seen[bit] and len(new[i]) <= self.LONGEST]
+        for bit in bits:
+            self.seen[bit] = 1
+        self.codes.new = {}
+        self.uses += np.bincount(used, minlength=len(self.kept))[: len(self.kept)]
+        if len(self.kept) + len(again) > self.KEPT:
+            best = np.sort(np.argsort(-self.uses, kind="stable")[: self.KEPT // 2])
+            place = dict(zip(best.tolist(), range(len(best))))
+            words = {w: place[i] for w, i in self.codes.items() if i in place}
+            self.kept, self.uses, self.seen = self.kept.chosen(best), self.uses[best] // 2, bytearray(self.SEEN)
+            self.codes.clear()
+            self.codes.update(words)
+        again = again[: self.KEPT - len(self.kept)]
+        if again:
+            base = len(self.kept)
+            self.codes.update((new[i], base + n) for n, i in enumerate(again))
+            self.kept = self.kept.joined(found.chosen(np.array(again)))
+            self.uses = np.concatenate([self.uses, np.zeros(len(again), np.int64)])
 
 
 def aligned(tokens: Tokens, texts: list) -> dict[str, object]:
@@ -189,53 +377,25 @@ def aligned(tokens: Tokens, texts: list) -> dict[str, object]:
     are linked there, and ``ends`` says where those of each text end. A pair is
     a * ids of B + b.
     """
-    ids = [tokens.of(t) for t in texts]
-    a = np.frombuffer(b"".join([x[0] for x in ids if x]), "<u4").astype(np.int64)
-    b = np.frombuffer(b"".join([x[1] for x in ids if x]), "<u4").astype(np.int64)
-    n_a = np.array([len(x[0]) // 4 if x else 0 for x in ids], np.int64)
-    n_b = np.array([len(x[1]) // 4 if x else 0 for x in ids], np.int64)
-    ends_a, ends_b = np.cumsum(tokens.length_a[a]), np.cumsum(tokens.length_b[b])
-    last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-    cut_a, cut_b, first, last = overlaps(ends_a, ends_b)
-    n_groups = np.diff(np.searchsorted(cut_a, np.concatenate([[0], last_a])))
-    # All A-B links: a row for each B token in the range of each A token.
-    size = last - first
-    link_a = np.repeat(np.arange(len(a)), size)
-    link_b = np.repeat(first - np.cumsum(size) + size, size) + np.arange(len(link_a))
-    ends_links = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], last_a])]
-    n_links = np.diff(ends_links)
-    key = a[link_a] * tokens.size_b + b[link_b]
-    doc = np.repeat(np.arange(len(texts)), n_links)
-    both = np.sort(doc * (tokens.size_a * tokens.size_b) + key)
+    units, codes, many = tokens.texts(texts)
+    doc = np.repeat(np.arange(len(texts)), many)
+    numbers = units.numbers[codes]
+    sums = [np.bincount(doc, numbers[:, k], len(texts)).astype(np.int64) for k in range(4)]
+    key = _gather(units.pairs, units.start[codes], numbers[:, 3])
+    all_pairs = tokens.size_a * tokens.size_b
+    both = np.sort(np.repeat(doc * all_pairs, numbers[:, 3]) + key)
     new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else np.empty(0, np.int64)
-    doc_of, pair = np.divmod(both[new], tokens.size_a * tokens.size_b)
-    times = np.diff(np.append(new, len(both)))
+    doc_of, pair = np.divmod(both[new], all_pairs)
+    written, sha, start = list(map(units.written.__getitem__, codes.tolist())), [], 0
+    for end in np.cumsum(many).tolist():
+        sha.append(hashlib.sha256(b";".join(written[start:end])).hexdigest() if end > start else "")
+        start = end
     return {
-        "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_links, "sha": _sums(tokens, a, b, cut_a, cut_b, last_a, last_b),
-        "pair": pair, "times": times, "ends": np.searchsorted(doc_of, np.arange(len(texts)), "right"),
+        "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3], "sha": sha, "pair": pair,
+        "times": np.diff(np.append(new, len(both))), "ends": np.searchsorted(doc_of, np.arange(len(texts)), "right"),
     }
 
 
-def _sums(tokens: Tokens, a, b, cut_a, cut_b, last_a, last_b) -> list[str]:
-    """SHA-256 of the groups of each text, written as a1,a2|b1;a3|b2,b3; no tokens: ''."""
-    group_a = np.searchsorted(cut_a, np.arange(len(a)))
-    group_b = np.searchsorted(cut_b, np.arange(len(b)))
-    before_a = np.concatenate([[0], cut_b + 1])  # B tokens in the groups before
-    kind_a = np.zeros(len(a), np.int64)
-    kind_a[cut_a] = 1
-    kind_b = np.zeros(len(b), np.int64)
-    kind_b[cut_b] = 1
-    kind_b[last_b[np.diff(last_b, prepend=0) > 0] - 1] = 2
-    out = np.empty(len(a) + len(b), np.int64)
-    out[np.arange(len(a)) + before_a[group_a]] = kind_a * tokens.size_a + a
-    out[np.arange(len(b)) + (cut_a + 1)[group_b]] = 2 * tokens.size_a + kind_b * tokens.size_b + b
-    written, sums, start = tokens.written.__getitem__, [], 0
-    for end in (last_a + last_b).tolist():
-        sums.append(hashlib.sha256(b"".join(map(written, out[start:end].tolist()))).hexdigest() if end > start else "")
-        start = end
-    return sums
-
-
 def _passes(rows, texts):
     """Slices of a batch of about ``PASS_BYTES`` of text, one text at least."""
     begin, held = 0, 0
