@@ -87,23 +87,111 @@ def tile_coverage(assigned: DataFrame) -> DataFrame:
     return per.groupBy("scene_id").agg(F.count("*").alias("tiles"), F.count_if(F.col("any_valid") == 1).alias("processed"))
 
 
-def score_tiles(assigned: DataFrame, columns: list[str], score: Callable, name: str = "score") -> DataFrame:
-    """Applies a scoring function to batches of the pixels of tiles with a valid pixel.
+TILE = ["scene_id", "yoff", "xoff"]
 
-    ``score`` gets a float array (rows, columns) and returns one value a row; it
-    runs in tasks on Arrow batches. Tiles without a valid pixel are left out.
+
+class TileBatches:
+    """Rows of tiles from Arrow batches in order of tile; a tile may begin in one batch and end in another."""
+
+    def __init__(self, batches):
+        self.batches = batches
+
+    def __iter__(self):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        held = []
+
+        def tile():
+            return pa.Table.from_batches(held).combine_chunks()
+
+        for b in self.batches:
+            if not b.num_rows:
+                continue
+            if held and any(held[-1].column(c)[-1] != b.column(c)[0] for c in TILE):
+                yield tile()
+                held = []
+            begin = 0
+            if b.num_rows > 1:
+                new = [pc.not_equal(b.column(c).slice(1), b.column(c).slice(0, b.num_rows - 1)) for c in TILE]
+                for at in pc.indices_nonzero(pc.or_(pc.or_(new[0], new[1]), new[2])).to_pylist():
+                    held.append(b.slice(begin, at + 1 - begin))
+                    yield tile()
+                    held, begin = [], at + 1
+            held.append(b.slice(begin))
+        if held:
+            yield tile()
+
+
+def dense_tile(rows, columns: list[str], size: int, halo: int):
+    """``(bands, mask, i, j)`` of the rows of one tile.
+
+    ``bands`` is (columns, side, side) in double precision with side ``size + 2
+    halo``; nulls and pixels that do not exist, as beyond the edge of the scene,
+    are 0. ``mask`` is 1 at valid pixels. ``i, j`` are the places of the rows.
+    """
+    import numpy as np
+
+    side = size + 2 * halo
+    i = rows.column("y").to_numpy() - rows.column("yoff").to_numpy() + halo
+    j = rows.column("x").to_numpy() - rows.column("xoff").to_numpy() + halo
+    bands, mask = np.zeros((len(columns), side, side)), np.zeros((side, side), np.uint8)
+    mask[i, j] = rows.column("valid").to_numpy(zero_copy_only=False) == 1
+    for k, c in enumerate(columns):
+        bands[k, i, j] = rows.column(c).cast("double").fill_null(0.0).to_numpy()
+    return bands, mask, i, j
+
+
+def score_tiles(assigned: DataFrame, columns: list[str], score: Callable, size: int, halo: int = 0, names: tuple[str, ...] = ("score",)) -> DataFrame:
+    """Runs a scorer once on every tile with a valid pixel: ``scene_id, yoff, xoff, y, x, valid`` and ``names`` of its core pixels.
+
+    ``assigned`` comes from ``assign`` with the same size and halo. The scorer
+    gets the whole tile as arrays, ``score(bands, mask)`` as ``dense_tile`` makes
+    them, and returns an array (side, side) or (names, side, side), so it may look
+    at neighbours: a filter, a network. What it says beyond the tile's core or
+    where no pixel exists is left out. Tiles whose core has no valid pixel are
+    not scored and have no rows.
+
+    Rows are dealt by tile and sorted, so a task holds one tile at a time, of
+    side * side pixels, however many tiles a scene has.
     """
     import numpy as np
     from pyspark.sql.types import DoubleType, StructType
 
-    live = assigned.where("valid = 1").select("scene_id", "yoff", "xoff").distinct()
-    df = assigned.join(live, ["scene_id", "yoff", "xoff"], "left_semi")
+    kept = [*TILE, "y", "x", "valid"]
+    df = assigned.select(*kept, "is_core", *[c for c in dict.fromkeys(columns) if c not in kept])
+    dealt = df.repartition(*TILE).sortWithinPartitions(*TILE)
+    out = StructType([df.schema[c] for c in kept])
+    for name in names:
+        out = out.add(name, DoubleType())
 
     def run(batches):
-        for b in batches:
-            yield b.assign(**{name: score(b[columns].to_numpy(dtype=np.float64))})
+        import pyarrow as pa
+
+        for rows in TileBatches(batches):
+            core = rows.column("is_core").to_numpy() == 1
+            if not (core & (rows.column("valid").to_numpy(zero_copy_only=False) == 1)).any():
+                continue
+            bands, mask, i, j = dense_tile(rows, columns, size, halo)
+            made = np.asarray(score(bands, mask), np.float64).reshape(len(names), *mask.shape)
+            rows = rows.select(kept)
+            for k, name in enumerate(names):
+                rows = rows.append_column(name, pa.array(made[k, i, j]))
+            yield from rows.filter(pa.array(core)).to_batches()
+
+    return dealt.mapInArrow(run, out)
+
+
+def mean_filter(bands, mask):
+    """A scorer: the mean of the first band over the valid pixels of the 3 x 3 neighbourhood, 0 where there are none."""
+    import numpy as np
+
+    def around(a):
+        p = np.pad(a.astype(np.float64), 1)
+        return sum(p[1 + dy : p.shape[0] - 1 + dy, 1 + dx : p.shape[1] - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1))
 
-    return df.mapInPandas(run, StructType([*df.schema.fields]).add(name, DoubleType()))
+    n = around(mask)
+    return np.divide(around(bands[0] * mask), n, out=np.zeros(n.shape), where=n > 0)
 
 
 def patch_ratios(patches: DataFrame, size: int) -> DataFrame:

@@ -84,10 +84,40 @@ def tile_coverage(spark, sf_dir):
 )
 def score_tiles_linear(spark, sf_dir):
     a = T.assign(view(spark, sf_dir, "px"), H, W, 24, 18)
-    made = T.score_tiles(a, ["extent_prob", "p_bg", "distance_pred"], lambda x: x @ [0.5, -0.25, 0.125])
+    made = T.score_tiles(a, ["extent_prob", "p_bg", "distance_pred"], lambda bands, mask: 0.5 * bands[0] - 0.25 * bands[1] + 0.125 * bands[2], 24)
     return rounded(made.select("scene_id", "y", "x", "yoff", "xoff", "score"))
 
 
+@query(
+    sql("px") + f""", {_windows(24, 18)}, a AS (SELECT p.scene_id, p.y, p.x, yoff, xoff, valid, distance_pred, {COVER.format(s=24)} AS core
+    FROM px p JOIN win w ON p.scene_id = w.scene_id AND p.y >= yoff - 1 AND p.y < yoff + 25 AND p.x >= xoff - 1 AND p.x < xoff + 25),
+    live AS (SELECT DISTINCT scene_id, yoff, xoff FROM a WHERE core AND valid = 1)
+    SELECT a.scene_id, a.yoff, a.xoff, a.y, a.x, ROUND(COALESCE(SUM(b.distance_pred * b.valid) / NULLIF(SUM(b.valid), 0), 0), 6) AS score
+    FROM a JOIN live USING (scene_id, yoff, xoff) JOIN a b ON a.scene_id = b.scene_id AND a.yoff = b.yoff AND a.xoff = b.xoff AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1
+    WHERE a.core GROUP BY ALL"""
+)
+def score_tiles_filter(spark, sf_dir):
+    a = T.assign(view(spark, sf_dir, "px"), H, W, 24, 18, halo=1)
+    return rounded(T.score_tiles(a, ["distance_pred"], T.mean_filter, 24, halo=1).select("scene_id", "yoff", "xoff", "y", "x", "score"))
+
+
+@query(
+    sql("px") + f""", {_windows(24, 18)}, a AS (SELECT p.scene_id, p.y, p.x, yoff, xoff, valid, distance_pred, {COVER.format(s=24)} AS core
+    FROM px p JOIN win w ON p.scene_id = w.scene_id AND p.y >= yoff - 1 AND p.y < yoff + 25 AND p.x >= xoff - 1 AND p.x < xoff + 25),
+    live AS (SELECT DISTINCT scene_id, yoff, xoff FROM a WHERE core AND valid = 1),
+    f AS (SELECT a.scene_id, a.yoff, a.xoff, a.y, a.x, ANY_VALUE(a.valid) AS valid, COALESCE(SUM(b.distance_pred * b.valid) / NULLIF(SUM(b.valid), 0), 0) AS score
+    FROM a JOIN live USING (scene_id, yoff, xoff) JOIN a b ON a.scene_id = b.scene_id AND a.yoff = b.yoff AND a.xoff = b.xoff AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1
+    WHERE a.core GROUP BY ALL),
+    p AS (SELECT *, EXP(-(POWER(y - yoff - 11.5, 2) + POWER(x - xoff - 11.5, 2)) / 72.0) * valid AS wt, 1 / (1 + EXP(-score / 16)) AS prob FROM f)
+    SELECT scene_id, y, x, ROUND(COALESCE(SUM(prob * wt) / NULLIF(SUM(wt), 0), 0), 6) AS prob, COUNT(*) AS n_tiles FROM p GROUP BY ALL"""
+)
+def tiled_prediction(spark, sf_dir):
+    """The chain of a tiled prediction: windows with halo, a scorer on whole tiles, its activation, overlap-add of the tiles."""
+    a = T.assign(view(spark, sf_dir, "px"), H, W, 24, 18, halo=1)
+    made = T.score_tiles(a, ["distance_pred"], T.mean_filter, 24, halo=1)
+    return rounded(T.blend(made.withColumn("prob", 1 / (1 + F.exp(-F.col("score") / 16))), ["prob"], 24))
+
+
 @query(
     sql("px") + " SELECT 16 AS size, scene_id, yoff, xoff FROM (" + f"WITH {_windows(16, 8)} SELECT * FROM win" + ") UNION ALL SELECT 32, scene_id, yoff, xoff FROM ("
     + f"WITH {_windows(32, 16)} SELECT * FROM win" + ")"
