@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkraster.operators.sampling import _ranked
+
 KEY = ["scene_id", "y", "x"]
 
 
@@ -28,11 +30,14 @@ def filter_small(labels: DataFrame, least: int) -> DataFrame:
 
 
 def compact(labels: DataFrame) -> DataFrame:
-    """Labels 1..N of each scene in ascending order of the old ones; 0 and negative labels stay."""
-    from pyspark.sql import Window as W
+    """Labels 1..N of each scene in ascending order of the old ones; 0 and negative labels stay.
 
-    kinds = label_sizes(labels).select("scene_id", "label")
-    kinds = kinds.withColumn("new", F.row_number().over(W.partitionBy("scene_id").orderBy("label")).cast("long"))
+    Labels are ranked over all scenes in ranges, and the first rank of a scene
+    is taken off, so a scene of many labels is not one task's work.
+    """
+    kinds = _ranked(label_sizes(labels).select("scene_id", "label"), [F.col("scene_id"), F.col("label")])
+    least = kinds.groupBy("scene_id").agg(F.min("rank").alias("least"))
+    kinds = kinds.join(least, "scene_id").select("scene_id", "label", (F.col("rank") - F.col("least") + 1).alias("new"))
     return labels.join(kinds, ["scene_id", "label"], "left").select(*KEY, F.coalesce("new", "label").alias("label"))
 
 
@@ -79,52 +84,6 @@ def simplify(vertices: DataFrame, keys: list[str]) -> DataFrame:
     return v.where(cross != 0).select(*keys, "pos", "x", "y")
 
 
-def polygonize(labels: DataFrame) -> DataFrame:
-    """Rings of each label: ``scene_id, label, ring_no, points`` (outer rings clockwise in image axes, holes the other way).
-
-    The directed unit edges of a label keep its pixels on their right. They are
-    chained in a task per label from an edge table, whose rows are the border
-    alone; at a corner where four edges meet the sharpest right turn is taken,
-    so rings do not cross. Straight runs are one edge.
-    """
-    e = edges(labels)
-    kind = "scene_id long, label long, ring_no int, points array<struct<x:double,y:double>>"
-
-    def trace(key, pdf):
-        import pandas as pd
-
-        ends = {0: ((0, 0), (1, 0)), 1: ((1, 0), (1, 1)), 2: ((1, 1), (0, 1)), 3: ((0, 1), (0, 0))}
-        out: dict = {}
-        for side, y, x in zip(pdf["side"], pdf["y"], pdf["x"]):
-            (ax, ay), (bx, by) = ends[side]
-            out.setdefault((x + ax, y + ay), []).append((x + bx, y + by))
-        rings = []
-        for start in sorted(out, key=lambda p: (p[1], p[0])):
-            while out.get(start):
-                ring, here, nxt = [start], start, out[start].pop()
-                while nxt != start:
-                    ring.append(nxt)
-                    dx, dy = nxt[0] - here[0], nxt[1] - here[1]
-                    here = nxt
-                    choice = out[here]
-                    # Right turn first in image axes (y down): (dx, dy) -> (-dy, dx).
-                    for want in ((-dy, dx), (dx, dy), (dy, -dx)):
-                        to = (here[0] + want[0], here[1] + want[1])
-                        if to in choice:
-                            choice.remove(to)
-                            nxt = to
-                            break
-                keep = []
-                for i, p in enumerate(ring):
-                    a, b = ring[i - 1], ring[(i + 1) % len(ring)]
-                    if (p[0] - a[0]) * (b[1] - p[1]) != (p[1] - a[1]) * (b[0] - p[0]):
-                        keep.append({"x": float(p[0]), "y": float(p[1])})
-                rings.append(keep)
-        return pd.DataFrame({"scene_id": [key[0]] * len(rings), "label": [key[1]] * len(rings), "ring_no": range(len(rings)), "points": rings})
-
-    return e.groupBy("scene_id", "label").applyInPandas(trace, kind)
-
-
 def illegal_labels(labels: DataFrame, invalid: int = -1) -> DataFrame:
     """Negative labels other than ``invalid``, with their number of pixels."""
     return labels.where((F.col("label") < 0) & (F.col("label") != invalid)).groupBy("scene_id", "label").agg(F.count("*").alias("n"))

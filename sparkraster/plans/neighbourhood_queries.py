@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkraster.operators import neighbourhood as N
 from sparkraster.operators import regions as R
+from sparkraster.operators.polygons import polygonize
 from sparkraster.plans.registry import query, rounded
 from sparkraster.sources.views import sql, view
 
@@ -99,7 +100,7 @@ def parcel_shape_facts(spark, sf_dir):
 @query(sql("px") + f", {LABELS}, {EDGES}, {FACTS} SELECT scene_id, label, area::DOUBLE AS area, perimeter FROM f JOIN pe USING (scene_id, label)")
 def polygonize_labels(spark, sf_dir):
     """Area by the shoelace formula and perimeter of the traced rings, which SQL counts in pixels and edges."""
-    rings = R.polygonize(_labels(spark, sf_dir)).select("scene_id", "label", F.explode(R_edges(F.col("points"))).alias("e"))
+    rings = polygonize(_labels(spark, sf_dir)).select("scene_id", "label", F.explode(R_edges(F.col("points"))).alias("e"))
     cross = F.col("e.ax") * F.col("e.by") - F.col("e.bx") * F.col("e.ay")
     length = F.abs(F.col("e.ax") - F.col("e.bx")) + F.abs(F.col("e.ay") - F.col("e.by"))
     return rings.groupBy("scene_id", "label").agg((F.sum(cross) / 2).alias("area"), F.sum(length).cast("long").alias("perimeter"))

@@ -14,6 +14,7 @@ from sparkraster.operators import sampling as G
 from sparkraster.operators import spatial as S
 from sparkraster.operators import tiling as T
 from sparkraster.operators.graph import components
+from sparkraster.operators.polygons import polygonize
 
 PX = "scene_id long, y long, x long, valid int, gt_extent int, gt_boundary int, extent_prob double, p_bg double, p_skel double, p_buf double, gt_distance double, distance_pred double"
 
@@ -128,7 +129,7 @@ def test_components_of_links(spark):
 
 def test_polygon_of_label_with_hole(spark):
     rows = [(0, y, x, 1) for y in range(3) for x in range(3) if (y, x) != (1, 1)]
-    r = R.polygonize(spark.createDataFrame(rows, "scene_id long, y long, x long, label long")).orderBy("ring_no").collect()
+    r = polygonize(spark.createDataFrame(rows, "scene_id long, y long, x long, label long")).orderBy("ring_no").collect()
     assert [len(x.points) for x in r] == [4, 4]
 
 
