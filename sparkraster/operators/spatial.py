@@ -20,10 +20,19 @@ from sparkraster.operators.tables import shared_table
 CELL = 256
 
 
+def box_runs(boxes: DataFrame) -> DataFrame:
+    """``scene_id, parcel_id, y, a, b``: the pixels of integer boxes as runs, a row of pixels each, from ``a`` to ``b``."""
+    rows = boxes.where("w > 0 AND h > 0").withColumn("y", F.explode(F.expr("sequence(y0, y0 + h - 1)")))
+    return rows.select("scene_id", "parcel_id", "y", F.col("x0").alias("a"), F.expr("x0 + w - 1").alias("b"))
+
+
+def _pixels_of(runs: DataFrame) -> DataFrame:
+    return runs.select("scene_id", "parcel_id", "y", F.explode(F.sequence("a", "b")).alias("x"))
+
+
 def rasterize_boxes(boxes: DataFrame) -> DataFrame:
     """``scene_id, parcel_id, y, x`` of the pixels of integer boxes."""
-    rows = boxes.where("w > 0 AND h > 0").withColumn("y", F.explode(F.expr("sequence(y0, y0 + h - 1)")))
-    return rows.select("scene_id", "parcel_id", "y", F.explode(F.expr("sequence(x0, x0 + w - 1)")).alias("x"))
+    return _pixels_of(box_runs(boxes))
 
 
 def _edges(ring: Column) -> Column:
@@ -35,8 +44,8 @@ def _edges(ring: Column) -> Column:
     )
 
 
-def rasterize_rings(parcels: DataFrame) -> DataFrame:
-    """``scene_id, parcel_id, y, x`` of the pixels of rings by even-odd crossings.
+def ring_runs(parcels: DataFrame) -> DataFrame:
+    """``scene_id, parcel_id, y, a, b``: the pixels of rings as runs, by even-odd crossings.
 
     Holes are further rows of a parcel: a pixel is inside when the crossings of
     all its rings are odd. Each row of pixels meets the edges of its own parcel
@@ -56,7 +65,20 @@ def rasterize_rings(parcels: DataFrame) -> DataFrame:
         F.explode(F.transform(F.sequence(F.lit(1), (F.size("c") / 2).cast("int")), lambda i: F.struct(
             F.ceil(F.element_at("c", 2 * i - 1) - 0.5).cast("long").alias("a"), (F.ceil(F.element_at("c", 2 * i) - 0.5) - 1).cast("long").alias("b")))).alias("run"),
     )
-    return runs.where("run.a <= run.b").select("scene_id", "parcel_id", "y", F.explode(F.expr("sequence(run.a, run.b)")).alias("x"))
+    return runs.where("run.a <= run.b").select("scene_id", "parcel_id", "y", "run.a", "run.b")
+
+
+def rasterize_rings(parcels: DataFrame) -> DataFrame:
+    """``scene_id, parcel_id, y, x`` of the pixels of rings, see ``ring_runs``."""
+    return _pixels_of(ring_runs(parcels))
+
+
+def pixel_runs(pixels: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, y, a, b``: pixels ``keys, y, x`` as runs, which end at the borders of cells of ``CELL`` columns."""
+    px = pixels.select(*keys, "y", "x").distinct().withColumn("cell", F.floor(F.col("x") / CELL))
+    w = W.partitionBy(*keys, "y", "cell").orderBy("x")
+    px = px.withColumn("run", F.col("x") - F.row_number().over(w))
+    return px.groupBy(*keys, "y", "cell", "run").agg(F.min("x").alias("a"), F.max("x").alias("b")).drop("cell", "run")
 
 
 def outline_rings(parcels: DataFrame) -> DataFrame:
@@ -98,55 +120,97 @@ def outline_boxes(boxes: DataFrame) -> DataFrame:
 def box_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
     """Pairs of boxes that meet: ``scene_id, left_id, right_id``.
 
-    Both sides are dealt to the grid cells they touch and joined by cell; a pair
-    is kept in the cell of its intersection's corner only, so it comes once and
-    no distinct is needed.
+    The grid has levels of cells of ``cell`` times a power of two. A box belongs
+    to the first level whose cells are as long as its longer side, where it
+    touches at most 4 of them, so a box over a whole scene is 4 rows as well.
+    Two boxes meet at the larger one's level, to which the smaller one is taken
+    through the parents of its cells, at most 4 again; only levels that hold a
+    box of the other side are made. A pair is kept in the cell of its
+    intersection's corner only, so it comes once and no distinct is needed.
     """
 
-    def cells(df, side):
-        d = df.select("scene_id", F.col("parcel_id").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in ("x0", "y0")],
-                      (F.col("x0") + F.col("w")).alias(f"{side}_x1"), (F.col("y0") + F.col("h")).alias(f"{side}_y1"))
-        d = d.withColumn("cx", F.explode(F.expr(f"sequence(CAST({side}_x0 AS BIGINT) div {cell}, CAST({side}_x1 - 1 AS BIGINT) div {cell})")))
-        return d.withColumn("cy", F.explode(F.expr(f"sequence(CAST({side}_y0 AS BIGINT) div {cell}, CAST({side}_y1 - 1 AS BIGINT) div {cell})")))
+    def sized(df, side):
+        d = df.where("w > 0 AND h > 0").select(
+            "scene_id", F.col("parcel_id").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in ("x0", "y0")],
+            (F.col("x0") + F.col("w")).alias(f"{side}_x1"), (F.col("y0") + F.col("h")).alias(f"{side}_y1"), F.greatest("w", "h").alias("longer"),
+        )
+        level = F.greatest(F.ceil(F.log2(F.col("longer") / cell)), F.lit(0)).cast("int")
+        # Rounding of the logarithm must not make a box longer than its cells.
+        return d.withColumn("own", F.when(F.col("longer") > cell * F.pow(2, level), level + 1).otherwise(level)).drop("longer")
+
+    def dealt(df, side, levels):
+        """The box in the cells of its own level, and of those of ``levels`` above it."""
+        above = F.filter(F.array(*[F.lit(n) for n in levels]).cast("array<int>"), lambda n: n > F.col("own"))
+        d = df.withColumn("level", F.explode(F.concat(F.array("own"), above)))
+        at = lambda c: F.floor(F.expr(c) / (cell * F.pow(2, F.col("level"))))
+        for n, lo, hi in (("cx", f"{side}_x0", f"{side}_x1 - 1"), ("cy", f"{side}_y0", f"{side}_y1 - 1")):
+            d = d.withColumn(n, F.explode(F.sequence(at(lo).cast("long"), at(hi).cast("long"))))
+        return d.withColumnRenamed("own", f"{side}_own")
+
+    sides = {"left": sized(left, "left"), "right": sized(right, "right")}
+    # At most a row for each doubling of a side's length.
+    levels = {k: sorted(r.own for r in d.select("own").distinct().collect()) for k, d in sides.items()}
+    joined = dealt(sides["left"], "left", levels["right"]).join(dealt(sides["right"], "right", levels["left"]), ["scene_id", "level", "cx", "cy"])
+    meet = "level = greatest(left_own, right_own) AND left_x0 < right_x1 AND right_x0 < left_x1 AND left_y0 < right_y1 AND right_y0 < left_y1"
+    size = F.lit(cell) * F.pow(2, F.col("level"))
+    corner = (F.floor(F.greatest("left_x0", "right_x0") / size) == F.col("cx")) & (F.floor(F.greatest("left_y0", "right_y0") / size) == F.col("cy"))
+    return joined.where(meet).where(corner).drop("level", "left_own", "right_own")
+
+
+def _in_cells(runs: DataFrame, name: str, id_: str | None) -> DataFrame:
+    """Runs cut at the borders of cells of ``CELL`` columns, dealt by row and cell; those of one id made disjoint.
+
+    All that meet in ``overlaps_of_runs`` are dealt alike, so its joins move nothing again.
+    """
+    key = [*ROW, *([id_] if id_ else [])]
+    r = runs.select("scene_id", "y", *([F.col("parcel_id").cast("long").alias(id_)] if id_ else []), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    r = r.withColumn("cell", F.explode(F.sequence(F.floor(F.col("a") / CELL), F.floor(F.col("b") / CELL))))
+    r = r.withColumns({"a": F.greatest(F.col("a"), F.col("cell") * CELL), "b": F.least(F.col("b"), F.col("cell") * CELL + CELL - 1)})
+    # Two parcel rows of one id may cover a pixel twice.
+    w = W.partitionBy(*key).orderBy("a")
+    reach = F.max("b").over(w.rowsBetween(W.unboundedPreceding, -1))
+    r = r.repartition(*ROW).withColumn("new", F.when(F.col("a") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    return r.groupBy(*key, "run").agg(F.min("a").alias(f"{name}_a"), F.max("b").alias(f"{name}_b")).drop("run")
 
-    meet = "left_x0 < right_x1 AND right_x0 < left_x1 AND left_y0 < right_y1 AND right_y0 < left_y1"
-    own = f"CAST(greatest(left_x0, right_x0) AS BIGINT) div {cell} = cx AND CAST(greatest(left_y0, right_y0) AS BIGINT) div {cell} = cy"
-    joined = cells(left, "left").join(cells(right, "right"), ["scene_id", "cx", "cy"])
-    return joined.where(meet).where(own)
 
+ROW = ["scene_id", "y", "cell"]
 
-def overlaps(gt_px: DataFrame, pred_px: DataFrame, valid_px: DataFrame | None = None) -> DataFrame:
-    """``scene_id, gt_id, pred_id, inter, gt_area, pred_area, iou, ov_gt, ov_pred`` from two rasterizations.
 
-    ``valid_px(scene_id, y, x)`` restricts both to valid pixels. Each side is
-    dealt out by pixel once; a pixel then counts for each of its parcels and for
-    each pair of them, so only overlapping pairs ever exist, and areas come from
-    the same pass as intersections.
+def _met(left: DataFrame, right: DataFrame, a: str, b: str, made: str) -> DataFrame:
+    """Common parts of the runs ``a`` of left and ``b`` of right in their rows and cells, as runs ``made``."""
+    j = left.join(right, ROW).where((F.col(f"{a}_a") <= F.col(f"{b}_b")) & (F.col(f"{b}_a") <= F.col(f"{a}_b")))
+    j = j.withColumns({"lo": F.greatest(f"{a}_a", f"{b}_a"), "hi": F.least(f"{a}_b", f"{b}_b")})
+    return j.drop(f"{a}_a", f"{a}_b", f"{b}_a", f"{b}_b").withColumnsRenamed({"lo": f"{made}_a", "hi": f"{made}_b"})
+
+
+def overlaps_of_runs(gt: DataFrame, pred: DataFrame, valid: DataFrame | None = None) -> DataFrame:
+    """``scene_id, gt_id, pred_id, inter, gt_area, pred_area, iou, ov_gt, ov_pred`` from runs ``scene_id, parcel_id, y, a, b``.
+
+    Runs of both sides meet in cells of ``CELL`` columns of a row, and their
+    common parts are summed, so what is shuffled grows with the outlines of
+    parcels and not with their areas. ``valid(scene_id, y, a, b)`` restricts
+    both sides to valid pixels. A pixel that several rows of one parcel cover
+    counts once; parcels without a valid common pixel make no row.
     """
-    key = ["scene_id", "y", "x"]
-    none = F.lit(None).cast("long")
-    sides = [
-        gt_px.select(*key, F.col("parcel_id").cast("long").alias("gt_id"), none.alias("pred_id"), F.lit(False).alias("ok")),
-        pred_px.select(*key, none.alias("gt_id"), F.col("parcel_id").cast("long").alias("pred_id"), F.lit(False).alias("ok")),
-    ]
-    if valid_px is not None:
-        sides.append(valid_px.select(*key, none.alias("gt_id"), none.alias("pred_id"), F.lit(True).alias("ok")))
-    px = functools.reduce(DataFrame.unionAll, sides).groupBy(*key).agg(
-        F.collect_set("gt_id").alias("g"), F.collect_set("pred_id").alias("p"), F.max("ok").alias("ok")
-    )
-    if valid_px is not None:
-        px = px.where("ok")
-    alone = F.concat(
-        F.transform("g", lambda g: F.struct(g.alias("gt_id"), none.alias("pred_id"))), F.transform("p", lambda p: F.struct(none.alias("gt_id"), p.alias("pred_id")))
-    )
-    pairs = F.flatten(F.transform("g", lambda g: F.transform("p", lambda p: F.struct(g.alias("gt_id"), p.alias("pred_id")))))
-    n = shared_table(px.select("scene_id", F.inline(F.concat(alone, pairs))).groupBy("scene_id", "gt_id", "pred_id").agg(F.count("*").alias("n")))
-    inter = n.where("gt_id is not null and pred_id is not null").withColumnRenamed("n", "inter")
-    ga = n.where("pred_id is null").select("scene_id", "gt_id", F.col("n").alias("gt_area"))
-    pa = n.where("gt_id is null").select("scene_id", "pred_id", F.col("n").alias("pred_area"))
-    e = inter.join(ga, ["scene_id", "gt_id"]).join(pa, ["scene_id", "pred_id"])
-    i, a, b = F.col("inter"), F.col("gt_area"), F.col("pred_area")
-    return e.withColumns({"iou": B.ratio(i, a + b - i), "ov_gt": B.ratio(i, a), "ov_pred": B.ratio(i, b)})
+    g, p = _in_cells(gt, "g", "gt_id"), _in_cells(pred, "p", "pred_id")
+    if valid is not None:
+        v = _in_cells(valid, "v", None)
+        g, p = _met(g, v, "g", "v", "g"), _met(p, v, "p", "v", "p")
+
+    def area(runs, name, id_, to):
+        return runs.groupBy("scene_id", id_).agg(F.sum(F.col(f"{name}_b") - F.col(f"{name}_a") + 1).alias(to))
+
+    inter = _met(g, p, "g", "p", "i").groupBy("scene_id", "gt_id", "pred_id").agg(F.sum(F.col("i_b") - F.col("i_a") + 1).alias("inter"))
+    e = inter.join(area(g, "g", "gt_id", "gt_area"), ["scene_id", "gt_id"]).join(area(p, "p", "pred_id", "pred_area"), ["scene_id", "pred_id"])
+    i, x, y = F.col("inter"), F.col("gt_area"), F.col("pred_area")
+    return e.withColumns({"iou": B.ratio(i, x + y - i), "ov_gt": B.ratio(i, x), "ov_pred": B.ratio(i, y)})
+
+
+def overlaps(gt_px: DataFrame, pred_px: DataFrame, valid_px: DataFrame | None = None) -> DataFrame:
+    """As ``overlaps_of_runs``, from pixels ``scene_id, parcel_id, y, x`` and ``valid_px(scene_id, y, x)``."""
+    of = ["scene_id", "parcel_id"]
+    valid = None if valid_px is None else pixel_runs(valid_px, ["scene_id"])
+    return overlaps_of_runs(pixel_runs(gt_px, of), pixel_runs(pred_px, of), valid)
 
 
 def box_overlaps(gt: DataFrame, pred: DataFrame) -> DataFrame:

@@ -74,9 +74,12 @@ def bbox_join(spark, sf_dir):
     SELECT gt_id, pred_id, inter, gt_area, pred_area, ROUND(inter::DOUBLE / (gt_area + pred_area - inter), 6) AS iou FROM i JOIN ga USING (gt_id) JOIN pa USING (pred_id)"""
 )
 def parcel_overlap(spark, sf_dir):
-    g, p = (S.rasterize_boxes(_boxes(spark, sf_dir, n)) for n in ("gt_rect", "pred_rect"))
-    valid = g.select("scene_id", "y", "x").unionAll(p.select("scene_id", "y", "x")).where("(y * 7 + x * 3) % 11 <> 0")
-    return rounded(S.overlaps(g, p, valid).select("gt_id", "pred_id", "inter", "gt_area", "pred_area", "iou"))
+    g, p = (S.box_runs(_boxes(spark, sf_dir, n)) for n in ("gt_rect", "pred_rect"))
+    rows = g.select("scene_id", "y", "a", "b").unionAll(p.select("scene_id", "y", "a", "b")).groupBy("scene_id", "y").agg(F.min("a").alias("lo"), F.max("b").alias("hi"))
+    # 7 y + 3 x is a multiple of 11 where x - 5 y is.
+    valid = rows.withColumn("k", F.explode(F.expr("sequence((lo - 5 * y) div 11 - 1, (hi - 5 * y) div 11 + 1)")))
+    valid = valid.selectExpr("scene_id", "y", "greatest(lo, 5 * y + 11 * k + 1) AS a", "least(hi, 5 * y + 11 * k + 10) AS b").where("a <= b")
+    return rounded(S.overlaps_of_runs(g, p, valid).select("gt_id", "pred_id", "inter", "gt_area", "pred_area", "iou"))
 
 
 def _rule_query(name, rule):
