@@ -8,6 +8,23 @@ from pyspark.sql import functions as F
 from sparkraster.operators.tables import checkpointed as cut
 
 
+def least_of_component(i, j, n: int):
+    """numpy: the smallest member of the component of each of ``n`` nodes with the links i - j, for links that fit one task."""
+    import numpy as np
+
+    low = np.arange(n)
+    while len(i):
+        a, b = low[i], low[j]
+        if (a == b).all():
+            break
+        root = np.minimum(a, b)
+        np.minimum.at(low, a, root)
+        np.minimum.at(low, b, root)
+        while (low[low] != low).any():
+            low = low[low]
+    return low
+
+
 def components(links: DataFrame) -> DataFrame:
     """Components of ``links(a, b)`` as ``(node, component)``, the smallest id of each.
 

@@ -307,10 +307,9 @@ def nearest_squared(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx:
 
     Exact. Points look for targets in the grid cells around their own; those
     without one nearer than the cells guarantee go on with cells four times as
-    wide, for ``rounds`` rounds. What is left lies far from every target and is
-    solved in two passes: the nearest target in each column for each row with
-    such a point, then the best column. Points of a scene without a target have
-    d2 null from the start.
+    wide, for ``rounds`` rounds. What is left lies far from every target and
+    goes down a pyramid of occupied cells, see ``leaf_cells``. Points of a scene
+    without a target have d2 null from the start.
     """
     t = targets.select("scene_id", F.col("y").alias("ty"), F.col("x").alias("tx")).distinct()
     every = points.select("scene_id", "y", "x").distinct()
@@ -334,20 +333,59 @@ def nearest_squared(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx:
         if left.isEmpty():
             return functools.reduce(DataFrame.unionAll, done)
         reach *= 4
-    # Rows with points x columns with targets; in each column the targets above and below.
-    rows = left.select("scene_id", "y").distinct().join(t.select("scene_id", F.col("tx").alias("x")).distinct(), "scene_id")
-    column = rows.select("scene_id", "x", "y", F.lit(None).cast("long").alias("hit")).unionAll(
-        t.select("scene_id", F.col("tx").alias("x"), F.col("ty").alias("y"), F.col("ty").cast("long").alias("hit"))
-    )
-    w = W.partitionBy("scene_id", "x").orderBy("y")
-    above = F.last("hit", ignorenulls=True).over(w.rangeBetween(W.unboundedPreceding, 0))
-    below = F.first("hit", ignorenulls=True).over(w.rangeBetween(0, W.unboundedFollowing))
-    column = column.select("scene_id", "y", F.col("x").alias("tx"), "hit", F.least(F.col("y") - above, below - F.col("y")).alias("g")).where("hit is null")
-    dy, dx = F.col("g") * sy, (F.col("x") - F.col("tx")) * sx
-    last = left.join(column.drop("hit"), ["scene_id", "y"]).groupBy("scene_id", "y", "x").agg(F.min(dy * dy + dx * dx).cast("double").alias("d2"))
+    t = shared_table(t)
+    leaves = leaf_cells(left, t, sy, sx)
+    inside = t.select("scene_id", F.floor(F.col("ty") / LEAF).alias("cy"), F.floor(F.col("tx") / LEAF).alias("cx"), "ty", "tx")
+    dy, dx = (F.col("y") - F.col("ty")) * sy, (F.col("x") - F.col("tx")) * sx
+    last = leaves.join(inside, ["scene_id", "cy", "cx"]).groupBy("scene_id", "y", "x").agg(F.min(dy * dy + dx * dx).cast("double").alias("d2"))
     return functools.reduce(DataFrame.unionAll, [*done, last])
 
 
+#: Side of the smallest cells of the pyramid, and how many of them a cell of the next level spans.
+LEAF, SPAN = 8, 4
+
+
+def leaf_cells(points: DataFrame, targets: DataFrame, sy: float = 1.0, sx: float = 1.0) -> DataFrame:
+    """Cells ``cy, cx`` of ``LEAF`` pixels that may hold the nearest target of each of the points ``scene_id, y, x``.
+
+    ``targets(scene_id, ty, tx)`` are counted into cells of ``LEAF``, ``LEAF *
+    SPAN``, ... pixels up to at most 2 x 2 cells a scene; a cell keeps the bounds
+    of its targets. A point starts with the cells at the top and goes down to
+    their children. A cell's targets lie no nearer than its bounds, and one of
+    them no farther than the far end of a near side of the bounds, as each side
+    holds a target. Cells that lie farther than another one must reach are
+    dropped on every level, so a point keeps a few cells a level and never meets
+    the targets of a scene.
+    """
+    e = targets.agg(F.max("ty") - F.min("ty"), F.max("tx") - F.min("tx")).first()
+    sides = [LEAF]
+    while sides[-1] < max(e[0] or 0, e[1] or 0) + 1:
+        sides.append(sides[-1] * SPAN)
+    bounds = [f(c).alias(n) for n, f, c in (("y0", F.min, "y0"), ("y1", F.max, "y1"), ("x0", F.min, "x0"), ("x1", F.max, "x1"))]
+    cells = targets.select("scene_id", F.floor(F.col("ty") / LEAF).alias("cy"), F.floor(F.col("tx") / LEAF).alias("cx"), F.col("ty").alias("y0"), F.col("ty").alias("y1"), F.col("tx").alias("x0"), F.col("tx").alias("x1"))
+    levels = [shared_table(cells.groupBy("scene_id", "cy", "cx").agg(*bounds))]
+    for _ in sides[1:]:
+        up = levels[-1].withColumns({"cy": F.floor(F.col("cy") / SPAN), "cx": F.floor(F.col("cx") / SPAN)})
+        levels.append(shared_table(up.groupBy("scene_id", "cy", "cx").agg(*bounds)))
+    y, x = F.col("y"), F.col("x")
+    gap = lambda p, lo, hi: F.greatest(lo - p, p - hi, F.lit(0))
+    near = lambda p, lo, hi: F.least(F.abs(p - lo), F.abs(p - hi))
+    far = lambda p, lo, hi: F.greatest(F.abs(p - lo), F.abs(p - hi))
+    sq = lambda dy, dx: (dy * sy) * (dy * sy) + (dx * sx) * (dx * sx)
+    by, bx = (F.col("y0"), F.col("y1")), (F.col("x0"), F.col("x1"))
+    least = sq(gap(y, *by), gap(x, *bx))
+    most = F.least(sq(near(y, *by), far(x, *bx)), sq(far(y, *by), near(x, *bx)))
+    found = points.select("scene_id", "y", "x").join(levels[-1], "scene_id")
+    whole = W.partitionBy("scene_id", "y", "x")
+    for k in range(len(levels) - 1, -1, -1):
+        kept = found.withColumns({"low": least, "reach": F.min(most).over(whole)}).where("low <= reach")
+        found = kept.select("scene_id", "y", "x", "cy", "cx")
+        if k:
+            child = levels[k - 1].select("scene_id", F.floor(F.col("cy") / SPAN).alias("py"), F.floor(F.col("cx") / SPAN).alias("px"), "cy", "cx", "y0", "y1", "x0", "x1")
+            found = found.withColumnsRenamed({"cy": "py", "cx": "px"}).join(child, ["scene_id", "py", "px"]).drop("py", "px")
+    return found
+
+
 def boundary_displacement(gt: DataFrame, pred: DataFrame, sy: float = 1.0, sx: float = 1.0) -> DataFrame:
     """Per scene: half the sum of the mean nearest distances pred to gt and gt to pred; null where one side is empty."""
     a = nearest_squared(pred, gt, sy, sx).groupBy("scene_id").agg(F.avg(F.sqrt("d2")).alias("pred_to_gt"))

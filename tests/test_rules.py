@@ -103,8 +103,8 @@ def test_far_points_find_the_nearest(spark):
     assert got == want
 
 
-def test_long_runs_meet_in_cells(spark, monkeypatch):
-    monkeypatch.setattr(N, "RUN_CELL", 4)
+def test_components_meet_at_tile_borders(spark, monkeypatch):
+    monkeypatch.setattr(N, "TILE", 4)
     rnd = random.Random(7)
     on = {(y, x) for y in range(8) for x in range(30) if rnd.random() < 0.6}
     df = spark.createDataFrame([(0, y, x) for y, x in on], "scene_id long, y long, x long")
