@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructType
 
 from sparkraster.operators.tables import shared_table
 
@@ -56,36 +59,98 @@ def _ranked(df: DataFrame, order: list[Column]) -> DataFrame:
     return dealt.withColumn("rank", F.col("at") + by_part(starts) + 1).drop("part", "at")
 
 
+#: Steps of the quantiles that a sketch gives, values that one task sorts at most, and the size of a sketch.
+GRID, SORTED, SKETCH = 512, 1_000_000, 2048
+
+
+class _Rank:
+    """Where two neighbouring ranks of a group lie: between ``lo`` and ``hi``, with so many values below and inside."""
+
+    def __init__(self, low: int, high: int, size: int, cuts: list[float]):
+        self.low, self.high, self.below, self.size, self.cuts = low, high, 0, size, cuts
+        self.lo, self.hi, self.margin = -math.inf, math.inf, 2
+
+    def narrowed(self) -> tuple[float, float]:
+        """The bracket of the sketch's quantiles around the ranks, a margin wider than where they should be."""
+        at = lambda rank: (rank - self.below) * GRID / max(self.size, 1)
+        first, last = math.floor(at(self.low)) - self.margin, math.ceil(at(self.high + 1)) + self.margin
+        return (self.cuts[first] if first > 0 else self.lo), (self.cuts[last] if last < GRID else self.hi)
+
+    def holds(self, below: int, inside: int) -> bool:
+        return below <= self.low and self.high < below + inside
+
+
 def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFrame:
     """``group, n, q0, q1, ...``: exact quantiles of ``value`` in each group, linear between ranks; nulls do not count.
 
-    Rows are dealt in ranges of (group, value); a count for each range and group
-    in it tells in which range a rank lies, and only the values of those ranks
-    are read, so no task holds all values of a group. The groups are few.
+    A sketch of each group brackets the ranks that are wanted. A second scan
+    counts what lies below a bracket and keeps only the values inside, with
+    their numbers; a sketch that was wrong shows there, and its bracket is
+    widened. While a bracket would hold more than about ``SORTED`` values, it is
+    narrowed by a scan with a sketch of its inside. So no value is moved but those
+    near the ranks. NaN sorts last. The groups are few; rows without one are
+    left out.
     """
-    dealt = ranged(df.where(F.col(value).isNotNull()).select(group, value), [F.col(group), F.col(value)])
-    found = dealt.groupBy("part", group).agg(F.count("*").alias("n"), F.min("at").alias("first")).collect()
-    found.sort(key=lambda r: r["part"])
-    total = {}
-    for r in found:
-        total[r[group]] = total.get(r[group], 0) + r["n"]
-    spark = df.sparkSession
-    kind = dict(df.dtypes)[group]
-    wanted, done = [], dict.fromkeys(total, 0)
-    for r in found:
-        g, n = r[group], total[r[group]]
+    v = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+    cuts = "array(" + ", ".join(f"{k / GRID!r}D" for k in range(GRID + 1)) + ")"
+    sketch = F.expr(f"kll_sketch_agg_double(v, {SKETCH})")
+    real = v.where(~F.isnan("v"))
+    # A sketch leaves NaN out.
+    every = v.groupBy("g").agg(F.count("*").alias("n"), F.count_if(~F.isnan("v")).alias("m"), sketch.alias("s"))
+    every = every.select("g", "n", "m", F.expr(f"CASE WHEN m > 0 THEN kll_sketch_get_quantile_double(s, {cuts}) END").alias("cuts")).collect()
+    sizes, found = {r["g"]: r["n"] for r in every}, {r["g"]: r for r in every}
+    open_, got = {}, {}
+    for g, n in sizes.items():
+        m = found[g]["m"]
+        for i, q in enumerate(qs):
+            low = int(q * (n - 1))
+            high = min(low + 1, n - 1)
+            got[g, i] = [(m, n, math.nan)]  # places from, to, value
+            if low < m:
+                open_[g, i] = _Rank(low, min(high, m - 1), m, found[g]["cuts"])
+    kind = df.schema[group].dataType
+    schema = StructType().add("g", kind).add("i", IntegerType()).add("lo", DoubleType()).add("hi", DoubleType()).add("low", LongType()).add("high", LongType())
+    while open_:
+        rows = [(g, i, *r.narrowed(), r.low, r.high) for (g, i), r in open_.items()]
+        each = real.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "g")  # a row for each group and quantile
+        inside = F.col("v").between(F.col("lo"), F.col("hi"))
+        if any(r.size * (2 * r.margin + 2) > SORTED * GRID for r in open_.values() if r.margin < GRID):
+            step = each.groupBy("g", "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(inside).alias("n"), F.expr(f"kll_sketch_agg_double(CASE WHEN v BETWEEN lo AND hi THEN v END, {SKETCH})").alias("s"))
+            step = step.select("g", "i", "below", "n", F.expr(f"CASE WHEN n > 0 THEN kll_sketch_get_quantile_double(s, {cuts}) END").alias("cuts"))
+            for r in step.collect():
+                rank = open_[r["g"], r["i"]]
+                lo, hi = rank.narrowed()
+                if rank.holds(r["below"], r["n"]) and (lo == hi or r["n"] == rank.size):
+                    # Equal values, or nothing was gained: the last scan counts them by value.
+                    rank.lo, rank.hi, rank.below, rank.size, rank.cuts, rank.margin = lo, hi, r["below"], r["n"], r["cuts"], GRID
+                elif rank.holds(r["below"], r["n"]):
+                    rank.lo, rank.hi, rank.below, rank.size, rank.cuts, rank.margin = lo, hi, r["below"], r["n"], r["cuts"], 2
+                else:
+                    rank.margin *= 4
+            continue
+        near = each.where(F.col("v") <= F.col("hi")).groupBy("g", "i", "low", "high", F.when(inside, F.col("v")).alias("v")).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(W.partitionBy("g", "i").orderBy(F.col("v").asc_nulls_first()))
+        near = near.withColumn("upto", upto).where("v IS NOT NULL AND upto > low AND upto - n <= high")
+        for r in near.collect():
+            got[r["g"], r["i"]].append((r["upto"] - r["n"], r["upto"], r["v"]))
+        for k, rank in list(open_.items()):
+            if all(any(a <= p < b for a, b, _ in got[k]) for p in (rank.low, rank.high)):
+                del open_[k]
+            else:
+                got[k], rank.margin = got[k][:1], rank.margin * 4
+    out = []
+    for g, n in sizes.items():
+        values = []
         for i, q in enumerate(qs):
             place = q * (n - 1)
             low, share = int(place), place - int(place)
-            for rank, weight in ((low, 1.0 - share), (min(low + 1, n - 1), share)):
-                if done[g] <= rank < done[g] + r["n"]:
-                    wanted.append((r["part"], r["first"] + rank - done[g], i, weight))
-        done[g] += r["n"]
-    rows = spark.createDataFrame(wanted, "part int, at long, q int, weight double")
-    read = dealt.join(F.broadcast(rows), ["part", "at"])  # two rows for each group and quantile
-    sums = [F.sum(F.when(F.col("q") == i, F.col(value).cast("double") * F.col("weight"))).alias(f"q{i}") for i in range(len(qs))]
-    sizes = spark.createDataFrame(sorted(total.items()), f"{group} {kind}, n long")
-    return sizes.join(read.groupBy(group).agg(*sums), group)
+            pick = lambda p: next(x for a, b, x in got[g, i] if a <= p < b)  # noqa: B023, E731
+            values.append(pick(low) * (1.0 - share) + (pick(low + 1) * share if share else 0.0))
+        out.append((g, n, *values))
+    schema = StructType().add(group, kind).add("n", LongType())
+    for i in range(len(qs)):
+        schema = schema.add(f"q{i}", DoubleType())
+    return df.sparkSession.createDataFrame(out, schema)
 
 
 def _cut(df: DataFrame, order: list[Column], ratios: tuple[float, float]) -> DataFrame:
