@@ -163,6 +163,21 @@ def merge_sketches(sketches: DataFrame, columns: list[str]) -> DataFrame:
     return sketches.agg(*[F.expr(f"kll_merge_agg_double({c})").alias(c) for c in columns], F.sum("n_valid").alias("n_valid"))
 
 
+def keep_sketches(pixels: DataFrame, columns: list[str], batch: str, path: str) -> None:
+    """Keeps the state of a batch of pixels in the table at ``path``; a batch that comes again replaces what it left.
+
+    The table has a partition for each batch, which is overwritten as a whole,
+    so a batch that was sent twice, or whose job was repeated, counts once.
+    """
+    one = band_sketches(pixels, columns).withColumn("batch", F.lit(batch))
+    one.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def kept_sketch(spark, path: str, columns: list[str]) -> DataFrame:
+    """The merged state of all batches kept at ``path``, one row; batches without a valid pixel add nothing."""
+    return merge_sketches(spark.read.parquet(path).where("n_valid > 0"), columns)
+
+
 def sketch_percentiles(sketch: DataFrame, columns: list[str], lo: float = 0.005, hi: float = 0.995) -> DataFrame:
     """``band_idx, p_lo, p_hi, n_valid`` of one merged sketch row; the rank error is that of the sketch, about 1 %."""
     rows = [

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkraster.functions import bands as B
+from sparkraster.operators.tables import shared_table
 
 KEY = ["scene_id", "y", "x"]
 
@@ -28,6 +29,20 @@ def bounds_to_window(gt: list[float], width: int, height: int, bounds: tuple[flo
     return y0, y1, x0, x1
 
 
+#: Rows of a table with one row a scene that are broadcast to the pixels; they hold a few numbers each.
+SCENES = 100_000
+
+
+def with_scene(pixels: DataFrame, scenes: DataFrame) -> DataFrame:
+    """``pixels`` joined with one row a scene.
+
+    Pixels of a giant scene are one key, so the rows are counted, and up to
+    ``SCENES`` of them (some MB) go to the pixels; more meet by a shuffle, where
+    no scene is a large part of all.
+    """
+    return pixels.join(F.broadcast(scenes) if scenes.limit(SCENES + 1).count() <= SCENES else scenes, "scene_id")
+
+
 def scan_window(pixels: DataFrame, window: tuple[int, int, int, int]) -> DataFrame:
     """Pixels of a half-open window; plain ranges, so Parquet can prune them."""
     y0, y1, x0, x1 = window
@@ -37,7 +52,7 @@ def scan_window(pixels: DataFrame, window: tuple[int, int, int, int]) -> DataFra
 def aoi_window(pixels: DataFrame, extents: DataFrame) -> DataFrame:
     """Pixels within the extent of their scene: ``extents(scene_id, y0, y1, x0, x1)``, one row per scene."""
     inside = (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1")) & (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1"))
-    return pixels.join(extents, "scene_id").where(inside).drop("y0", "y1", "x0", "x1")
+    return with_scene(pixels, extents).where(inside).drop("y0", "y1", "x0", "x1")
 
 
 def world_bounds_to_pixels(rects: DataFrame, gt: list[float], width: int, height: int) -> DataFrame:
@@ -179,12 +194,12 @@ def relief_surface(
     d = B.ratio(F.col("distance_pred") - F.col("d_lo"), F.col("d_hi") - F.col("d_lo"))
     raw = F.lit(w_boundary) * pres + F.lit(w_extent) * (1 - F.col("extent_prob")) + F.lit(w_distance) * (1 - d)
     inside = (F.col("extent_prob") >= extent) & ok & (pres <= barrier)
-    df = pixels.join(one, "scene_id").withColumns({"raw": raw, "inside": inside})
+    df = with_scene(pixels, shared_table(one)).withColumns({"raw": raw, "inside": inside})
     two = df.groupBy("scene_id").agg(
         F.max(F.when(F.col("inside"), F.col("raw"))).alias("r_in"), F.min(F.when(F.col("inside"), F.col("raw"))).alias("r_lo"),
         F.count_if(~F.col("inside")).alias("n_out"),
     )
-    df = df.join(two, "scene_id")
+    df = with_scene(df, shared_table(two))
     v = F.when(F.col("inside"), F.col("raw")).otherwise(F.coalesce("r_in", F.lit(0.0)) + 1)
     low = F.coalesce("r_lo", F.coalesce("r_in", F.lit(0.0)) + 1)
     top = F.when(F.col("n_out") > 0, F.coalesce("r_in", F.lit(0.0)) + 1).otherwise(F.col("r_in"))
@@ -218,6 +233,32 @@ def overview(pixels: DataFrame, factor: int, average: list[str], nearest: list[s
     )
 
 
+#: Pixels of a preview at most (a fixed value).
+PREVIEW_PIXELS = 4_000_000
+
+
+def preview(pixels: DataFrame, scenes: DataFrame, average: list[str], nearest: list[str], budget: int = PREVIEW_PIXELS) -> DataFrame:
+    """A preview of each scene of at most ``budget`` pixels: ``scene_id, oy, ox``, ``average``, ``nearest`` and ``n``.
+
+    ``scenes`` has ``scene_id, height, width``. A scene within the budget keeps
+    its shape; a larger one is scaled by sqrt(budget / (height width)), each side
+    rounded down, 1 at least (which a narrow scene may exceed). A pixel falls into the cell of the preview that
+    holds its centre: ``average`` columns are means over a cell, of ``nearest``
+    ones it has the pixel nearest its centre, above and left of others as near.
+    ``n`` counts its pixels.
+    """
+    total = F.col("height").cast("double") * F.col("width")
+    scale = F.when(total <= budget, F.lit(1.0)).otherwise(F.sqrt(F.lit(float(budget)) / total))
+    shape = {out: F.greatest(F.lit(1), F.floor(F.col(side) * scale)).cast("long") for out, side in (("out_h", "height"), ("out_w", "width"))}
+    px = with_scene(pixels, scenes.select("scene_id", "height", "width").withColumns(shape))
+    # Twice the centre of pixel y, in cells: (2 y + 1) out / height.
+    cell = lambda c, out, side: F.expr(f"((2 * {c} + 1) * {out}) div (2 * {side})")
+    px = px.withColumns({"oy": cell("y", "out_h", "height"), "ox": cell("x", "out_w", "width")})
+    off = lambda c, o, out, side: F.abs((2 * F.col(c) + 1) * F.col(out) - (2 * F.col(o) + 1) * F.col(side)) / (2.0 * F.col(out))
+    rank = F.struct(off("y", "oy", "out_h", "height") + off("x", "ox", "out_w", "width"), "y", "x")
+    return px.groupBy("scene_id", "oy", "ox").agg(*[F.avg(c).alias(c) for c in average], *[F.min_by(c, rank).alias(c) for c in nearest], F.count("*").alias("n"))
+
+
 def augment(patches: DataFrame, size: int, seed: int = 42) -> DataFrame:
     """Remaps ``y, x`` of the pixels of each patch by a flip and quarter turns chosen by md5(seed, patch_id).
 

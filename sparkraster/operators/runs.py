@@ -208,8 +208,12 @@ def error_taxonomy(counts: DataFrame, key: str) -> DataFrame:
 
 
 def experiment_summary(wanted: DataFrame, runs: DataFrame, baseline_id, metrics: list[str]) -> DataFrame:
-    """A row for each wanted ``run_id``: its metrics, their difference to the baseline, and status missing without a run."""
-    base = runs.where(F.col("run_id") == baseline_id).select(*[F.col(m).alias(f"base_{m}") for m in metrics]).limit(1)
+    """A row for each wanted ``run_id``: its metrics, their difference to the baseline, and status missing without a run.
+
+    Of several rows with the baseline's id the first by status and metrics counts.
+    """
+    found = F.struct("status", *metrics)
+    base = runs.where(F.col("run_id") == baseline_id).agg(F.min(found).alias("base")).select(*[F.col(f"base.{m}").alias(f"base_{m}") for m in metrics])
     j = wanted.join(runs.select("run_id", "status", *metrics), "run_id", "left").join(F.broadcast(base), how="left")  # one row
     return j.select(
         "run_id", F.coalesce("status", F.lit("missing")).alias("status"), *metrics, *[(F.col(m) - F.col(f"base_{m}")).alias(f"d_{m}") for m in metrics]

@@ -80,18 +80,21 @@ class _Rank:
         return below <= self.low and self.high < below + inside
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFrame:
-    """``group, n, q0, q1, ...``: exact quantiles of ``value`` in each group, linear between ranks; nulls do not count.
-
-    A sketch of each group brackets the ranks that are wanted. A second scan
-    counts what lies below a bracket and keeps only the values inside, with
-    their numbers; a sketch that was wrong shows there, and its bracket is
-    widened. While a bracket would hold more than about ``SORTED`` values, it is
-    narrowed by a scan with a sketch of its inside. So no value is moved but those
-    near the ranks. NaN sorts last. The groups are few; rows without one are
-    left out.
+def order_statistics(v: DataFrame, wanted) -> tuple[dict, dict]:
+    """Values of given ranks in groups, as driver data: ``(sizes, found)`` of ``v(g, v)`` with doubles that are not null.
+
+    ``wanted(n)`` lists pairs of ranks (low, high), equal or neighbours, for a
+    group of n values. ``sizes`` has n by group, ``found[g, i]`` the places
+    (from, to, value) that hold the ranks of pair i, so ``from`` is how many
+    values are less. NaN sorts last.
+
+    A sketch of each group brackets the ranks. A second scan counts what lies
+    below a bracket and keeps only the values inside, with their numbers; a
+    sketch that was wrong shows there, and its bracket is widened. While a
+    bracket would hold more than about ``SORTED`` values, it is narrowed by a
+    scan with a sketch of its inside. So no value is moved but those near the
+    ranks. The groups are few.
     """
-    v = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
     cuts = "array(" + ", ".join(f"{k / GRID!r}D" for k in range(GRID + 1)) + ")"
     sketch = F.expr(f"kll_sketch_agg_double(v, {SKETCH})")
     real = v.where(~F.isnan("v"))
@@ -102,17 +105,15 @@ def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> D
     open_, got = {}, {}
     for g, n in sizes.items():
         m = found[g]["m"]
-        for i, q in enumerate(qs):
-            low = int(q * (n - 1))
-            high = min(low + 1, n - 1)
+        for i, (low, high) in enumerate(wanted(n)):
             got[g, i] = [(m, n, math.nan)]  # places from, to, value
             if low < m:
                 open_[g, i] = _Rank(low, min(high, m - 1), m, found[g]["cuts"])
-    kind = df.schema[group].dataType
+    kind = v.schema["g"].dataType
     schema = StructType().add("g", kind).add("i", IntegerType()).add("lo", DoubleType()).add("hi", DoubleType()).add("low", LongType()).add("high", LongType())
     while open_:
         rows = [(g, i, *r.narrowed(), r.low, r.high) for (g, i), r in open_.items()]
-        each = real.join(F.broadcast(df.sparkSession.createDataFrame(rows, schema)), "g")  # a row for each group and quantile
+        each = real.join(F.broadcast(v.sparkSession.createDataFrame(rows, schema)), "g")  # a row for each group and quantile
         inside = F.col("v").between(F.col("lo"), F.col("hi"))
         if any(r.size * (2 * r.margin + 2) > SORTED * GRID for r in open_.values() if r.margin < GRID):
             step = each.groupBy("g", "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(inside).alias("n"), F.expr(f"kll_sketch_agg_double(CASE WHEN v BETWEEN lo AND hi THEN v END, {SKETCH})").alias("s"))
@@ -138,6 +139,17 @@ def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> D
                 del open_[k]
             else:
                 got[k], rank.margin = got[k][:1], rank.margin * 4
+    return sizes, got
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, qs: list[float]) -> DataFrame:
+    """``group, n, q0, q1, ...``: exact quantiles of ``value`` in each group, linear between ranks; see ``order_statistics``.
+
+    Nulls do not count; rows without a group are left out. The groups are few.
+    """
+    v = df.where(F.col(value).isNotNull() & F.col(group).isNotNull()).select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
+    sizes, got = order_statistics(v, lambda n: [(int(q * (n - 1)), min(int(q * (n - 1)) + 1, n - 1)) for q in qs])
+    kind = df.schema[group].dataType
     out = []
     for g, n in sizes.items():
         values = []
@@ -176,13 +188,23 @@ def random_split(patches: DataFrame, keys: list[str], seed: int = 42, ratios: tu
 def weighted_sample(df: DataFrame, weight: str, keys: list[str], n: int, seed: int, replacement: bool = False) -> DataFrame:
     """``n`` rows drawn by weight.
 
-    Without replacement: the smallest -ln(u) / w (Efraimidis and Spirakis,
-    2006), a distributed top-n. With replacement: the n points (i + u) / n of
+    Without replacement: the n smallest -ln(u) / w (Efraimidis and Spirakis,
+    2006), equal ones in order of ``keys``. The n-th of them is found by counts,
+    see ``order_statistics``, and a filter takes the rows up to it, so a sample of
+    half of a table is no one's work. With replacement: the n points (i + u) / n of
     the cumulated weights, so a row comes as often as points fall on it.
     """
     if not replacement:
         rank = -F.log(uniform(seed, keys)) / F.col(weight)
-        return df.where(F.col(weight) > 0).withColumn("draw", rank).orderBy("draw", *keys).limit(n).drop("draw")
+        keyed = df.where(F.col(weight) > 0).withColumn("draw", rank)
+        sizes, found = order_statistics(keyed.select(F.lit(0).alias("g"), F.col("draw").alias("v")), lambda m: [(min(n, m) - 1,) * 2] if n else [])
+        if not n or sizes.get(0, 0) <= n:
+            return keyed.where(F.lit(bool(n))).drop("draw")
+        less, upto, last = next(f for f in found[0, 0] if f[0] <= n - 1 < f[1])
+        if upto == n:
+            return keyed.where(F.col("draw") <= last).drop("draw")
+        ties = _ranked(keyed.where(F.col("draw") == last), [F.col(k) for k in keys]).where(F.col("rank") <= n - less)
+        return keyed.where(F.col("draw") < last).unionByName(ties.drop("rank")).drop("draw")
     u = float(int.from_bytes(seed.to_bytes(8, "little"), "little") % 997 + 0.5) / 997
     # Cumulated weights: sums of the ranges before, and a window inside each range.
     dealt = ranged(df.where(F.col(weight) > 0), [F.col(k) for k in keys])

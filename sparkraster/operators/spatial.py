@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sparkraster.functions import bands as B
+from sparkraster.operators.pixels import with_scene
 from sparkraster.operators.tables import shared_table
 
 CELL = 256
@@ -283,7 +284,7 @@ def polygon_confidence(parcel_px: DataFrame, pixels: DataFrame, extent: float =
     """
     ok = F.col("valid") == 1
     span = pixels.where(ok).groupBy("scene_id").agg(F.min("distance_pred").alias("lo"), F.max("distance_pred").alias("hi"))
-    px = parcel_px.join(pixels, ["scene_id", "y", "x"]).join(span, "scene_id")
+    px = with_scene(parcel_px.join(pixels, ["scene_id", "y", "x"]), shared_table(span))
     d = B.ratio(F.col("distance_pred") - F.col("lo"), F.col("hi") - F.col("lo"))
     pres = B.presence(F.col("p_skel"), F.col("p_buf"))
     z = px.groupBy("scene_id", "parcel_id").agg(

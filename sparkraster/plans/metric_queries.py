@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkraster.operators import metrics as M
@@ -134,6 +136,21 @@ def valid_coverage(spark, sf_dir):
     return rounded(M.valid_coverage(view(spark, sf_dir, "px"), ["scene_id"]))
 
 
+@query(
+    sql("bands") + ", v AS (SELECT * FROM bands WHERE NOT COALESCE(label % 3 = 0, FALSE)) SELECT i AS band_idx, (SELECT COUNT(*) FROM v) AS n_valid, TRUE AS ordered FROM generate_series(0, 7) t(i)"
+)
+def norm_stats_kept(spark, sf_dir):
+    """Statistics of three batches, one of them sent twice, from the state kept between them."""
+    from sparkraster.operators.tables import shared_dir
+
+    path = f"{shared_dir(spark)}/state-{uuid.uuid4().hex[:12]}"
+    px = _valid_bands(spark, sf_dir)
+    for batch in (0, 1, 2, 1):
+        M.keep_sketches(px.where(F.col("vec_id") % 3 == batch), BANDS, f"batch-{batch}", path)
+    found = M.sketch_percentiles(M.kept_sketch(spark, path, BANDS), BANDS)
+    return found.select("band_idx", "n_valid", (F.col("p_lo") <= F.col("p_hi")).alias("ordered"))
+
+
 BROKEN = "CASE WHEN (yoff + xoff) % 5 = 0 AND p.y = yoff AND p.x = xoff THEN {bad} ELSE p.{c} END AS {c}"
 
 

@@ -69,6 +69,21 @@ def raster_overview_nearest(spark, sf_dir):
     return P.overview(view(spark, sf_dir, "px"), 5, [], ["gt_extent", "gt_boundary"]).drop("n")
 
 
+CELLS = "c AS (SELECT *, ((2 * y + 1) * 22) // 100 AS oy, ((2 * x + 1) * 44) // 200 AS ox FROM px)"
+OFF = "ABS((2 * y + 1) * 22 - (2 * oy + 1) * 50) / 44.0 + ABS((2 * x + 1) * 44 - (2 * ox + 1) * 100) / 88.0"
+
+
+@query(
+    sql("px") + f""", {CELLS}, n AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY scene_id, oy, ox ORDER BY {OFF}, y, x) AS r FROM c)
+    SELECT scene_id, oy, ox, AVG(distance_pred) AS distance_pred, MAX(CASE WHEN r = 1 THEN gt_boundary END) AS gt_boundary, COUNT(*) AS n FROM n GROUP BY ALL"""
+)
+def raster_preview(spark, sf_dir):
+    """Scenes of 50 x 100 pixels in previews of at most 1000, which are 22 x 44."""
+    px = view(spark, sf_dir, "px")
+    scenes = px.select("scene_id").distinct().withColumns({"height": F.lit(50), "width": F.lit(100)})
+    return P.preview(px, scenes, ["distance_pred"], ["gt_boundary"], budget=1000)
+
+
 @query(sql("bands") + " SELECT vec_id, CASE WHEN label <> 0 THEN 1 ELSE 0 END AS by_mask, CASE WHEN b1 <> 1.0 THEN 1 ELSE 0 END AS by_nodata, CASE WHEN label % 3 <> 0 THEN 1 ELSE 0 END AS by_override FROM bands")
 def valid_mask_predict(spark, sf_dir):
     """The first of mask, nodata and override that there is decides alone."""

@@ -139,13 +139,13 @@ def track_readiness(spark, sf_dir):
     return J.track_readiness(c).select("run_id", "ready", "reason")
 
 
-SIDES = "g AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px WHERE valid = 1 AND gt_extent = 1 AND x < 6), p AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px WHERE valid = 1 AND extent_prob >= 0.9 AND x < 30), s AS (SELECT DISTINCT scene_id * 10 + y % 10 AS scene_id FROM px)"
+SIDES = "g AS (SELECT DISTINCT scene_id * 50 + y AS scene_id FROM px WHERE valid = 1 AND gt_extent = 1 AND x < 2), p AS (SELECT DISTINCT scene_id * 50 + y AS scene_id FROM px WHERE valid = 1 AND extent_prob >= 0.6 AND x < 4), s AS (SELECT DISTINCT scene_id * 50 + y AS scene_id FROM px)"
 
 
 def _selection(spark, sf_dir):
-    """Tenths of scenes, with the sides that have something in them."""
-    px = view(spark, sf_dir, "px").withColumn("scene_id", F.col("scene_id") * 10 + F.col("y") % 10)
-    sides = {"ground_truth": px.where("valid = 1 AND gt_extent = 1 AND x < 6"), "prediction": px.where("valid = 1 AND extent_prob >= 0.9 AND x < 30")}
+    """Rows of scenes, with the sides that have something at their beginning."""
+    px = view(spark, sf_dir, "px").withColumn("scene_id", F.col("scene_id") * 50 + F.col("y"))
+    sides = {"ground_truth": px.where("valid = 1 AND gt_extent = 1 AND x < 2"), "prediction": px.where("valid = 1 AND extent_prob >= 0.6 AND x < 4")}
     return J.scene_selection(px, sides, "both_sides")
 
 
