@@ -118,8 +118,8 @@ def outline_boxes(boxes: DataFrame) -> DataFrame:
     return across.unionByName(along).distinct()
 
 
-def box_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
-    """Pairs of boxes that meet: ``scene_id, left_id, right_id``.
+def box_join(left: DataFrame, right: DataFrame, cell: int = CELL, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs of boxes that meet: ``scene_id, left_id, right_id``, and the columns ``carry`` of both with these prefixes.
 
     The grid has levels of cells of ``cell`` times a power of two. A box belongs
     to the first level whose cells are as long as its longer side, where it
@@ -134,6 +134,7 @@ def box_join(left: DataFrame, right: DataFrame, cell: int = CELL) -> DataFrame:
         d = df.where("w > 0 AND h > 0").select(
             "scene_id", F.col("parcel_id").alias(f"{side}_id"), *[F.col(c).alias(f"{side}_{c}") for c in ("x0", "y0")],
             (F.col("x0") + F.col("w")).alias(f"{side}_x1"), (F.col("y0") + F.col("h")).alias(f"{side}_y1"), F.greatest("w", "h").alias("longer"),
+            *[F.col(c).alias(f"{side}_{c}") for c in carry],
         )
         level = F.greatest(F.ceil(F.log2(F.col("longer") / cell)), F.lit(0)).cast("int")
         # Rounding of the logarithm must not make a box longer than its cells.

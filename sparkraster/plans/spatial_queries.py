@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkraster.operators import regions as R
+from sparkraster.operators import rings as rings_of
 from sparkraster.operators import spatial as S
 from sparkraster.plans.registry import query, rounded
 from sparkraster.sources.views import sql, view
@@ -213,3 +214,41 @@ def aoi_effective_extent(spark, sf_dir):
 @query(sql("gt_rect") + ", " + EXTENT.format(b=12, f="TRUE") + " " + CLAMP)
 def aoi_from_labels(spark, sf_dir):
     return S.effective_extent(_boxes(spark, sf_dir, "gt_rect"), 12, 500, 400).drop("scene_id")
+
+
+SHAPES = {  # by parcel_id % 7: a bow tie, a sliver, a line; boxes otherwise
+    0: (("x0", "y0"), ("x0 + w", "y0 + h"), ("x0 + w", "y0"), ("x0", "y0 + h")),
+    1: (("x0", "y0"), ("x0 + 0.25e0", "y0"), ("x0 + 0.25e0", "y0 + 1000"), ("x0", "y0 + 1000")),
+    2: (("x0", "y0"), ("x0 + w", "y0 + h")),
+}
+BOX = (("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h"))
+
+
+def _shape_sql(point):
+    lists = {k: "[" + ", ".join(point.format(x=x, y=y) for x, y in v) + "]" for k, v in (*SHAPES.items(), (None, BOX))}
+    return "CASE parcel_id % 7 " + " ".join(f"WHEN {k} THEN {v}" for k, v in lists.items() if k is not None) + f" ELSE {lists[None]} END"
+
+
+def _turn(a, b, c):
+    return f"sign((r[{b}].x - r[{a}].x) * (r[{c}].y - r[{a}].y) - (r[{b}].y - r[{a}].y) * (r[{c}].x - r[{a}].x))"
+
+
+def _cross(a, b, c, d):
+    return f"({_turn(a, b, c)} * {_turn(a, b, d)} < 0 AND {_turn(c, d, a)} * {_turn(c, d, b)} < 0)"
+
+
+@query(
+    sql("gt_rect") + f""", s AS (SELECT parcel_id, {_shape_sql("{{'x': ({x})::DOUBLE, 'y': ({y})::DOUBLE}}")} AS r FROM gt_rect),
+    f AS (SELECT *, CASE WHEN len(r) < 3 THEN 0 ELSE abs(list_sum(list_transform(generate_series(1, len(r)), lambda i: r[i].x * r[1 + i % len(r)].y - r[1 + i % len(r)].x * r[i].y))) / 2 END AS area,
+     len(r) = 4 AND ({_cross(1, 2, 3, 4)} OR {_cross(2, 3, 4, 1)}) AS crosses,
+     abs((r[3].x - r[1].x) * (r[2].y - r[1].y) - (r[3].y - r[1].y) * (r[2].x - r[1].x)) / sqrt(power(r[3].x - r[1].x, 2) + power(r[3].y - r[1].y, 2)) AS off FROM s)
+    SELECT parcel_id, area::DOUBLE AS area, CASE WHEN len(r) < 3 THEN 'empty' WHEN crosses THEN 'invalid' WHEN area <= 100 + 1e-9 THEN 'small_area' WHEN off <= 0.5 THEN 'simplified_away' END AS reason FROM f"""
+)
+def parcel_cleanup_reasons(spark, sf_dir):
+    """Each parcel with the reason to drop it; both other corners of a box lie equally far from its diagonal."""
+    corner = lambda x, y: F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y"))
+    ring = F.array(*[corner(*p) for p in BOX])
+    for k, points in SHAPES.items():
+        ring = F.when(F.col("parcel_id") % 7 == k, F.array(*[corner(*p) for p in points])).otherwise(ring)
+    rings = _boxes(spark, sf_dir, "gt_rect").select("scene_id", "parcel_id", F.lit(0).alias("ring_no"), ring.alias("ring"))
+    return rings_of.cleanup_rings(rings, 100.0, 0.5).select("parcel_id", "area", "reason")
