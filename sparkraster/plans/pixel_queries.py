@@ -246,3 +246,16 @@ def norm_stats_priority(spark, sf_dir):
             stats("b1", "label % 3 = 0", "explicit"), stats("b2", "label % 2 = 0", "embedded"), stats("b3", "true", "stats_source")
         )
     )
+
+
+@query(sql("px") + " SELECT scene_id, y, x, valid, distance_pred FROM px WHERE scene_id = 1 AND y >= 10 AND y < 30 AND x >= 40 AND x < 70")
+def clustered_window(spark, sf_dir):
+    """A window of one scene out of all pixels, written in the clustered layout and read through its row groups."""
+    import uuid
+
+    from sparkraster.operators.tables import shared_dir
+    from sparkraster.sources import layout
+
+    path = f"{shared_dir(spark)}/pixels-{uuid.uuid4().hex[:12]}"
+    layout.write_clustered(view(spark, sf_dir, "px").select("scene_id", "y", "x", "valid", "distance_pred"), path, cell=16)
+    return layout.scan_clustered(spark, path, 1, (10, 30, 40, 70), cell=16)
