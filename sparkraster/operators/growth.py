@@ -11,9 +11,11 @@ the regions so linked become one.
 Most of it happens inside tiles: a region that lies in one tile knows all its
 edges, so a task per tile contracts regions until each holds a marker or its
 least edge leaves the tile. What remains are regions at tile borders and the
-least edge between any two of them; they are contracted further in rounds of
-joins, which at least halve the regions without a marker, so the rounds follow
-the logarithm of the number of tiles.
+least edge between any two of them. They are contracted again in squares of 4 x 4
+tiles, 16 x 16 tiles and so on, a task each: a region belongs to the square of
+its representative, where all its edges are known. Edges between two regions with
+markers are dropped. Beyond squares of ``TOP`` pixels, rounds of joins go on,
+which at least halve the regions without a marker.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from sparkraster.operators.graph import components
 from sparkraster.operators.tables import shared_table
 
 TILE = 64
+#: Side of the largest squares that a task contracts; it holds the regions at the borders of those a quarter as wide.
+TOP = TILE * 4**4
 
 
 def contract_tile(u: np.ndarray, v: np.ndarray, marked: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -103,9 +107,7 @@ def _tiles(px: DataFrame, width: int) -> DataFrame:
         order = np.lexsort([node[v], node[u], w])
         u, v, w = u[order], v[order], w[order]
         # Pixels of one marker are one region from the start, also where they do not touch.
-        seeds, first = np.unique(seed, return_index=True)
-        marked = np.where(seed >= 0, first[np.searchsorted(seeds, seed)], -1)
-        marked[~own] = -1
+        marked = np.full(len(node), -1)
         if (seed[own] >= 0).any():
             mine = np.flatnonzero(own & (seed >= 0))
             seeds, first = np.unique(seed[mine], return_index=True)
@@ -123,6 +125,41 @@ def _tiles(px: DataFrame, width: int) -> DataFrame:
     return dealt.groupBy("scene_id", "ty", "tx").applyInPandas(solve, "node long, region long, other long, w double, a long, b long")
 
 
+def _square(e: DataFrame, side: int, height: int, width: int) -> DataFrame:
+    """``node, region``: regions that become part of another one within squares of ``side`` pixels.
+
+    ``e`` has the least edges ``u, v, rank, mu, mv`` between regions; the flags
+    tell which have a marker.
+    """
+
+    def square(c):
+        scene, y, x = F.expr(f"{c} div {height * width}"), F.expr(f"({c} % {height * width}) div {width}"), F.col(c) % width
+        return F.struct(scene.alias("scene"), F.floor(y / side).alias("ty"), F.floor(x / side).alias("tx"))
+
+    dealt = e.select("u", "v", "rank.w", "rank.a", "rank.b", "mu", "mv", square("u").alias("su"), square("v").alias("sv"))
+    dealt = dealt.withColumn("t", F.explode(F.array_distinct(F.array("su", "sv"))))
+    dealt = dealt.select("t", "u", "v", "w", "a", "b", "mu", "mv", (F.col("su") == F.col("t")).alias("ou"), (F.col("sv") == F.col("t")).alias("ov"))
+
+    def solve(pdf):
+        import pandas as pd
+
+        order = np.lexsort([pdf["b"].to_numpy(), pdf["a"].to_numpy(), pdf["w"].to_numpy()])
+        u, v = pdf["u"].to_numpy()[order], pdf["v"].to_numpy()[order]
+        node, where = np.unique(np.concatenate([u, v]), return_inverse=True)
+        i, j = where[: len(u)], where[len(u) :]
+        own, marked = np.zeros(len(node), bool), np.full(len(node), -1)
+        for ends, o, m in ((i, "ou", "mu"), (j, "ov", "mv")):
+            own[ends] = pdf[o].to_numpy(bool)[order]
+            has = ends[pdf[m].to_numpy(bool)[order]]
+            marked[has] = has
+        marked[~own] = -1
+        region = contract_tile(i, j, marked, own)
+        moved = np.flatnonzero(own & (region != np.arange(len(node))))
+        return pd.DataFrame({"node": node[moved], "region": node[region[moved]]})
+
+    return dealt.groupBy("t").applyInPandas(solve, "node long, region long")
+
+
 def grow(pixels: DataFrame, markers: DataFrame, height: int, width: int, invalid: int = -1) -> DataFrame:
     """``scene_id, y, x, label`` of every pixel.
 
@@ -149,27 +186,37 @@ def grow(pixels: DataFrame, markers: DataFrame, height: int, width: int, invalid
         b = to.select(F.col("node").alias("v"), F.col("region").alias("rv"))
         j = edges.join(a, "u", "left").join(b, "v", "left").select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"), "rank")
         j = j.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "rank")
-        return shared_table(j.groupBy("u", "v").agg(F.min("rank").alias("rank")))
+        j = j.groupBy("u", "v").agg(F.min("rank").alias("rank"))
+        for c, flag in (("u", "mu"), ("v", "mv")):
+            has = marked.select(F.col("seed").alias(c), F.lit(True).alias(flag))
+            j = j.join(has, c, "left").withColumn(flag, F.col(flag).isNotNull())
+        # Two regions with markers never meet.
+        return shared_table(j.where("not (mu and mv)"))
+
+    def after(steps, step):
+        """``steps(node, region)`` with ``step`` behind it."""
+        if steps is None:
+            return step
+        nxt = step.select(F.col("node").alias("region"), F.col("region").alias("next"))
+        moved = steps.join(nxt, "region", "left").select("node", F.coalesce("next", "region").alias("region"))
+        return shared_table(moved.unionAll(step.join(steps.select("node"), "node", "left_anti")))
 
     e = contract(edges, found)
-    steps = None
+    steps, side = None, TILE
+    while side < min(TOP, max(height, width)) and not e.isEmpty():
+        side *= 4
+        step = shared_table(_square(e, side, height, width))
+        steps, e = after(steps, step), contract(e, step)
     while True:
-        both = e.select(F.col("u").alias("c"), F.col("v").alias("o"), "rank").unionAll(e.select(F.col("v").alias("c"), F.col("u").alias("o"), "rank"))
-        free = both.join(marked.select(F.col("seed").alias("c")), "c", "left_anti")
-        picks = shared_table(free.groupBy("c").agg(F.min_by("o", "rank").alias("o")))
+        both = e.select(F.col("u").alias("c"), F.col("v").alias("o"), "rank", F.col("mu").alias("m")).unionAll(e.select(F.col("v").alias("c"), F.col("u").alias("o"), "rank", F.col("mv").alias("m")))
+        picks = shared_table(both.where("not m").groupBy("c").agg(F.min_by("o", "rank").alias("o")))
         if picks.isEmpty():
             break
         comp = components(picks.select(F.col("c").alias("a"), F.col("o").alias("b")))
         # A group of picks holds one marked region at most.
         owner = comp.join(marked, comp.node == marked.seed).select("component", "seed")
         step = shared_table(comp.join(owner, "component", "left").select("node", F.coalesce("seed", "component").alias("region")))
-        e = contract(e, step)
-        nxt = step.select(F.col("node").alias("region"), F.col("region").alias("next"))
-        if steps is None:
-            steps = step
-        else:
-            moved = steps.join(nxt, "region", "left").select("node", F.coalesce("next", "region").alias("region"))
-            steps = shared_table(moved.unionAll(step.join(steps.select("node"), "node", "left_anti")))
+        steps, e = after(steps, step), contract(e, step)
     if steps is not None:
         last = steps.select(F.col("node").alias("region"), F.col("region").alias("next"))
         found = found.join(last, "region", "left").select("node", F.coalesce("next", "region").alias("region"))

@@ -187,16 +187,16 @@ def test_patch_meta_files(spark, tmp_path):
     assert len(r) == 1 and r[0].xoff == 3 and r[0].feature_mode is None
 
 
-@pytest.mark.parametrize("tile", [3, 64])
-def test_growth_equals_kruskal(spark, tile, monkeypatch):
+@pytest.mark.parametrize(("tile", "top", "h", "w"), [(3, 3, 7, 9), (3, 12, 7, 9), (64, 64, 7, 9), (4, 1024, 37, 41)])
+def test_growth_equals_kruskal(spark, tile, top, h, w, monkeypatch):
     import random
 
     from sparkraster.operators import growth
 
     monkeypatch.setattr(growth, "TILE", tile)
+    monkeypatch.setattr(growth, "TOP", top)
 
     rnd = random.Random(3)
-    h, w = 7, 9
     relief = {(y, x): rnd.randrange(12) for y in range(h) for x in range(w)}
     seeds = {(0, 0): 1, (0, 1): 1, (6, 8): 2, (3, 4): 3, (6, 0): 3}
     n = {p: p[0] * w + p[1] for p in relief}
