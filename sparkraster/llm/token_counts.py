@@ -29,6 +29,8 @@ from sparkraster.llm.shared import for_worker, texts_of, trimmed, with_text
 MARK = "▁"
 #: Remembered pre-tokens of a worker; the memory is emptied when it is full.
 REMEMBERED = 300_000
+#: Characters of a remembered pre-token at most, so that a full memory holds tens of MB whatever the texts are.
+LONGEST = 64
 
 
 def model_path(model: str) -> str:
@@ -80,12 +82,13 @@ class Counter:
         if len(known) > self.remembered + 40_000:
             known.clear()
             known.update(self.whole_bare if bare else self.whole_marked)
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new, long = [w for w in dict.fromkeys(words) if w not in known], {}
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             got = self.sp.encode(["\n" + w for w in some] if bare else some, num_threads=1)
-            known.update((w, len(x) - (self.newline if bare else 0)) for w, x in zip(some, got))
-        return sum(map(known.__getitem__, words))
+            for w, x in zip(some, got):
+                (known if len(w) <= LONGEST else long)[w] = len(x) - (self.newline if bare else 0)
+        return sum(map(known.__getitem__, words)) if not long else sum(long[w] if w in long else known[w] for w in words)
 
     def count(self, text: str | None) -> int:
         """Tokens of ``text`` as the library counts them; null is empty."""

@@ -44,6 +44,17 @@ def test_token_counts_equal_the_library():
         assert c.count(t) == len(c.sp.encode(t)), repr(t)
 
 
+def test_long_pre_tokens_are_counted_and_not_kept():
+    c = token_counts.Counter("piece_bpe_32k.model")
+    before = sum(map(len, c.marked)) + sum(map(len, c.bare))
+    words = [chr(97 + i % 26) * (60 + i % 9) + str(i) for i in range(300)]
+    text = " ".join(words) + "\n" + "\n".join(words) + " " + words[0]
+    for _ in range(2):
+        assert c.count(text) == len(c.sp.encode(text))
+    assert max(map(len, c.marked)) <= token_counts.LONGEST and max(map(len, c.bare)) <= token_counts.LONGEST
+    assert sum(map(len, c.marked)) + sum(map(len, c.bare)) - before <= 2 * 300 * token_counts.LONGEST
+
+
 def test_token_counts_of_odd_rows(odd):
     got = token_counts.count_tokens(odd, limit=10).collect()
     assert len(got) == len(ODD)
