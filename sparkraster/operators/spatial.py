@@ -198,6 +198,8 @@ def overlaps_of_runs(gt: DataFrame, pred: DataFrame, valid: DataFrame | None = N
     if valid is not None:
         v = _in_cells(valid, "v", None)
         g, p = _met(g, v, "g", "v", "g"), _met(p, v, "p", "v", "p")
+    # Read for the areas and for the common parts.
+    g, p = shared_table(g), shared_table(p)
 
     def area(runs, name, id_, to):
         return runs.groupBy("scene_id", id_).agg(F.sum(F.col(f"{name}_b") - F.col(f"{name}_a") + 1).alias(to))
