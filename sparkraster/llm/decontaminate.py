@@ -1,23 +1,28 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts are compared lower-cased, with runs of white space as one blank. Items are
-cut into windows of ``WINDOW`` characters every ``STEP``, and of ``SHORT``
-characters every ``DENSE``, so a passage of ``SHORT + DENSE - 1`` characters of
-an item holds a whole window. Items under ``MIN_CHARS`` match whole and
-verbatim, those under ``Q`` characters as whole words. A window of length
-L matches a region of a text when their edit distance is at most
-``k = floor(edit_rate * L)``. By the q-gram lemma such a region shares at least
-``T = L - q + 1 - k * q`` of the window's q-grams, on diagonals within k of each
-other. The steps lose no match:
+cut into windows of ``WINDOW`` characters every ``STEP``, and of fewer
+characters at a step that together make any excerpt of ``shortest`` characters
+of an item hold a whole window, wherever it begins; shorter items are one
+window. Items under ``Q`` characters match as whole words. A window of length L
+matches a region of a text when their edit distance is at most
+``k = min(floor(edit_rate * L), L // q - 1)``, all lengths alike. By the q-gram
+lemma such a region shares at least ``T = L - q + 1 - k * q`` of the window's
+q-grams, on diagonals within k of each other. The steps lose no match:
 
 1. positions of a text whose q-gram occurs in the benchmark are counted in a
    sliding range of L + k; regions with fewer than the least T are done with;
-2. hits in the regions left are counted by window and diagonal band of width
-   k + 1, two neighbouring bands together, and need T;
-3. what is left is aligned inside its band.
+2. windows are a trie of blocks of characters, and hits in the regions left are
+   counted by node and diagonal band of width k + 1, two neighbouring bands
+   together; a way down the trie needs T in all;
+3. nodes left are aligned inside their band from the top, a bit for each
+   diagonal and number of edits. So a beginning that thousands of windows share
+   is aligned once, and a window is left as soon as its band is above k;
+4. windows that come through are aligned for their region and edits.
 
 Windows go to the tasks in blocks of at most ``BLOCK_WINDOWS``, so what is
-broadcast is bounded however large the benchmark; each block is a pass.
+broadcast is bounded however large the benchmark. Each block is a pass; where
+there are several, its result is written before the next block is broadcast.
 """
 
 from __future__ import annotations
@@ -29,18 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkraster.llm.shared import cut, small_batches, trimmed
+from sparkraster.llm.shared import cut, discard, small_batches, stored, trimmed
 
 Q = 8
 WINDOW = 120
 STEP = 60
 EDIT_RATE = 0.08
-SHORT = 60
-DENSE = 10
-#: Shorter items match without edits.
-MIN_CHARS = 40
+#: Shortest excerpt of an item that is found at every offset.
+SHORTEST = 69
 BLOCK_WINDOWS = 40_000
 BITS = 22
+#: Characters of a node of the trie of windows.
+STRIDE = 16
+#: What is held at a time: positions of a text, hits, and nodes that are aligned.
+SECTION, ENTRIES, ACTIVE = 1 << 16, 1 << 17, 1 << 14
 
 
 def normal(text: str | None) -> str:
@@ -66,7 +73,13 @@ def grams(c: np.ndarray, q: int) -> np.ndarray:
     return h * np.uint64(0x9E3779B97F4A7C15)
 
 
-def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least: int = 1) -> list[tuple[int, str]]:
+def window_sizes(shortest: int = SHORTEST) -> tuple:
+    """(length, step) of the windows; the dense ones have length + step - 1 = ``shortest``."""
+    step = max(1, (shortest + 1) // 7)
+    return (WINDOW, STEP), (shortest + 1 - step, step)
+
+
+def windows_of(text: str, shortest: int = SHORTEST, least: int = 1) -> list[tuple[int, str]]:
     """(position, window) of a normalised item; the last window of a size ends with the item.
 
     Items of fewer than ``least`` characters have none.
@@ -74,44 +87,90 @@ def windows_of(text: str, sizes: tuple = ((WINDOW, STEP), (SHORT, DENSE)), least
     if len(text) < least or not text:
         return []
     found = {}
-    for window, step in sizes:
+    for window, step in window_sizes(shortest):
         last = max(0, len(text) - window)
         found |= {(s, text[s : s + window]): None for s in [*range(0, last, step), last]}
     return list(found)
 
 
+def edits(length: int, q: int = Q, edit_rate: float = EDIT_RATE) -> int:
+    """Most edits of a window: no more than leave the lemma a shared q-gram."""
+    return max(0, min(int(edit_rate * length), length // q - 1))
+
+
 class Matcher:
-    """Finds the windows of a block in texts. ``windows``: (item_id, window id, text)."""
+    """Finds the windows of a block in texts. ``windows``: (item_id, window id, text).
+
+    Equal windows of several items are searched once. The windows are a trie of
+    blocks of ``STRIDE`` characters below their length, so a beginning that many
+    of them share is counted once and aligned once.
+    """
 
     def __init__(self, windows: list[tuple[int, int, str]], q: int = Q, edit_rate: float = EDIT_RATE):
         self.q = q
-        # Windows without a q-gram are looked up as words; they come last.
-        few = [w for w in windows if len(w[2]) < q]
-        windows = [w for w in windows if len(w[2]) >= q]
-        self.words: dict[str, list[int]] = {}
-        for i, w in enumerate(few, len(windows)):
-            self.words.setdefault(w[2], []).append(i)
-        self.most_words = max((w[2].count(" ") + 1 for w in few), default=0)
-        self.every = windows + few
-        self.chars = [code_points(w) for _, _, w in windows]
-        self.len = np.array([len(c) for c in self.chars], np.int64)
-        self.k = np.where(self.len < MIN_CHARS, 0, np.floor(edit_rate * self.len)).astype(np.int64)
-        self.need = np.maximum(1, self.len - q + 1 - self.k * q)
-        every = [grams(c, q) for c in self.chars]
-        flat = np.concatenate(every) if every else np.empty(0, np.uint64)
-        of = np.repeat(np.arange(len(every)), [len(g) for g in every])
-        pos = np.concatenate([np.arange(len(g)) for g in every]) if every else np.empty(0, np.int64)
+        self.every = windows
+        self.k = [edits(len(w[2]), q, edit_rate) for w in windows]
+        owners: dict[str, list[int]] = {}
+        for i, w in enumerate(windows):
+            owners.setdefault(w[2], []).append(i)
+        # Windows without a q-gram are looked up as words.
+        self.words = {w: of for w, of in owners.items() if len(w) < q}
+        self.most_words = max((w.count(" ") + 1 for w in self.words), default=0)
+        texts = sorted((w for w in owners if len(w) >= q), key=lambda w: (len(w), w))
+        self.owners = [owners[w] for w in texts]
+        self.len = np.array([len(w) for w in texts], np.int64)
+        self.most = np.array([edits(len(w), q, edit_rate) for w in texts], np.int64)
+        self.need = self.len - q + 1 - self.most * q
+        self.reach = int((self.len + self.most).max()) if texts else 0
+        self.least = int(self.need.min()) if texts else 1
+        if texts:
+            self._plant([code_points(w) for w in texts])
+
+    def _plant(self, chars: list[np.ndarray]) -> None:
+        """Makes the trie, and the index from q-grams to its nodes."""
+        n, levels = len(chars), -(-int(self.len[-1]) // STRIDE)
+        of = np.repeat(np.arange(n), self.len)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(self.len) - self.len, self.len)
+        self.alphabet, codes = np.unique(np.concatenate(chars), return_inverse=True)
+        self.code = np.full((n, levels * STRIDE), len(self.alphabet), np.int32)
+        self.code[of, at] = codes
+        self.starts, self.rep, self.parent = [0], [], []
+        node = np.full((levels, n), -1, np.int64)
+        for t in range(levels):
+            rows = np.flatnonzero(self.len > t * STRIDE)
+            block = np.ascontiguousarray(self.code[rows, t * STRIDE : (t + 1) * STRIDE])
+            block = np.unique(block.view(f"V{block.itemsize * STRIDE}").ravel(), return_inverse=True)[1].ravel()
+            above = node[t - 1, rows] if t else self.len[rows]
+            kind, first, mine = np.unique(above * (int(block.max()) + 1) + block, return_index=True, return_inverse=True)
+            node[t, rows] = self.starts[-1] + mine
+            self.rep.append(rows[first])
+            self.parent.append(above[first] if t else np.full(len(kind), -1, np.int64))
+            self.starts.append(self.starts[-1] + len(kind))
+        self.rep, self.parent = np.concatenate(self.rep), np.concatenate(self.parent)
+        # Children of a node follow each other.
+        self.child = np.searchsorted(self.parent, np.arange(len(self.parent)))
+        self.children = np.searchsorted(self.parent, np.arange(len(self.parent)), "right") - self.child
+        every = [grams(c, self.q) for c in chars]
+        many = self.len - self.q + 1
+        flat, of = np.concatenate(every), np.repeat(np.arange(n), many)
+        pos = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+        under = node[(pos + self.q - 1) // STRIDE, of]
+        once = self.rep[under] == of
+        flat, under, pos = flat[once], under[once], pos[once]
         order = np.argsort(flat, kind="stable")
         self.gram, self.first = np.unique(flat[order], return_index=True)
         self.many = np.diff(np.append(self.first, len(flat)))
-        self.of, self.pos = of[order], pos[order]
+        self.of, self.pos = under[order], pos[order]
         self.bitmap = np.zeros(1 << BITS, bool)
         self.bitmap[(self.gram >> np.uint64(64 - BITS)).astype(np.int64)] = True
-        self.reach = int((self.len + self.k).max()) if windows else 0
-        self.least = int(self.need.min()) if windows else 1
 
-    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, diagonal + window length) candidates as (window, band); bands of width k + 1."""
+    def hits(self, h: np.ndarray, begin: int, bands: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of node and band that share q-grams, for each level of the trie: (key, own, best).
+
+        ``h`` are the q-grams from position ``begin`` on, ``key`` is node * bands +
+        band + 1 in order, ``own`` the hits of the node's own block in this band
+        and the next, ``best`` these and the most that a way down adds.
+        """
         maybe = self.bitmap[(h >> np.uint64(64 - BITS)).astype(np.int64)]
         # Sliding count over the widest region a window can match.
         total = np.concatenate([[0], np.cumsum(maybe)])
@@ -128,24 +187,99 @@ class Matcher:
             dense = np.cumsum(edge[:n]) > 0
         at = np.flatnonzero(dense & maybe)
         if not len(at):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
+            return []
         g = np.searchsorted(self.gram, h[at])
         g[g == len(self.gram)] = 0
         right = self.gram[g] == h[at]
         at, g = at[right], g[right]
-        many = self.many[g]
-        if not many.sum():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        entry = np.repeat(self.first[g] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        w = self.of[entry]
-        diagonal = np.repeat(at, many) - self.pos[entry] + self.len[w]
-        bands = n + self.reach + 2
-        key, count = np.unique(w * bands + diagonal // (self.k[w] + 1), return_counts=True)
-        after = np.searchsorted(key, key + 1)
-        after[after == len(key)] = 0
-        both = count + np.where(key[after] == key + 1, count[after], 0)
-        ok = both >= self.need[key // bands]
-        return key[ok] // bands, key[ok] % bands
+        key, own = np.empty(0, np.int64), np.empty(0, np.int64)
+        upto = np.cumsum(self.many[g])
+        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, ENTRIES)))
+        for i, j in zip(cuts, [*cuts[1:], len(at)]):  # a bounded number of hits at a time
+            many = self.many[g[i:j]]
+            entry = np.repeat(self.first[g[i:j]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            node = self.of[entry]
+            w = self.rep[node]
+            diagonal = np.repeat(at[i:j], many) + begin - self.pos[entry] + self.len[w]
+            some = node * bands + diagonal // (self.most[w] + 1) + 1
+            key, own = _summed(np.concatenate([key, some]), np.concatenate([own, np.ones(len(some), np.int64)]))
+        if not len(key):
+            return []
+        key, own = _summed(np.concatenate([key, key - 1]), np.concatenate([own, own]))
+        cuts = np.searchsorted(key, np.array(self.starts) * bands)
+        levels = [[key[i:j], own[i:j], own[i:j].copy()] for i, j in zip(cuts, cuts[1:])]
+        for t in range(len(levels) - 1, 0, -1):
+            low, _, best = levels[t]
+            if not len(low):
+                continue
+            up = self.parent[low // bands] * bands + low % bands
+            order = np.lexsort((-best, up))
+            up, first = np.unique(up[order], return_index=True)
+            best = best[order][first]
+            key, own, _ = levels[t - 1]
+            both, own = _summed(np.concatenate([key, up]), np.concatenate([own, np.zeros(len(up), np.int64)]))
+            most = own.copy()
+            most[np.searchsorted(both, up)] += best
+            levels[t - 1] = [both, own, most]
+        return levels
+
+    def candidates(self, c: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, band) within k edits of which the hits lie between positions ``begin`` and ``end`` of ``c``."""
+        bands = len(c) + 2 * self.reach + 4
+        levels = self.hits(grams(c[begin:end], self.q), begin, bands)
+        out = []
+        if levels:
+            key, own, best = levels[0]
+            ok = best >= self.need[self.rep[key // bands]]
+            key, own = key[ok], own[ok]
+            if len(key):
+                page = _Page(c, begin, end, self)
+                size = self.len[self.rep[key // bands]]
+                for length in np.unique(size):
+                    mine = size == length
+                    self._descend(0, key[mine], own[mine], None, int(length), bands, levels, page, out)
+        w = np.concatenate([x // bands for x in out]) if out else np.empty(0, np.int64)
+        band = np.concatenate([x % bands - 1 for x in out]) if out else np.empty(0, np.int64)
+        w = self.rep[w]
+        order = np.lexsort((band, w))
+        return w[order], band[order]
+
+    def _descend(self, t, key, have, state, length, bands, levels, page, out) -> None:
+        """Aligns block ``t`` of the nodes in ``key``, and goes down where few edits and hits enough leave a match."""
+        w = self.rep[key // bands]
+        k, need = int(self.most[w[0]]), int(self.need[w[0]])
+        if 4 * k + 3 <= 64:  # a band in one machine word
+            low = (key % bands - 1) * (k + 1) - length - k
+            state = page.rows(state, self.code[w], low, range(t * STRIDE, min((t + 1) * STRIDE, length)), k)
+            alive = state[k] != 0
+            key, have, state = key[alive], have[alive], state[:, alive]
+        if (t + 1) * STRIDE >= length or not len(key):
+            out.append(key)
+            return
+        node, band = key // bands, key % bands
+        all_below = have >= need
+        # Children that have hits themselves.
+        low, own, best = levels[t + 1]
+        up = self.parent[low // bands] * bands + low % bands
+        order = np.argsort(key)
+        at = np.searchsorted(key[order], up)
+        at[at == len(key)] = 0
+        at = order[at]
+        ok = (key[at] == up) & ~all_below[at]
+        ok[ok] = have[at[ok]] + best[ok] >= need
+        kids, of, got = [low[ok]], [at[ok]], [have[at[ok]] + own[ok]]
+        # All children where the beginning has hits enough.
+        full = np.flatnonzero(all_below)
+        many = self.children[node[full]]
+        of.append(np.repeat(full, many))
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        kids.append((np.repeat(self.child[node[full]], many) + nth) * bands + np.repeat(band[full], many))
+        got.append(np.repeat(have[full], many))
+        kids, of, got = np.concatenate(kids), np.concatenate(of), np.concatenate(got)
+        for i in range(0, len(kids), ACTIVE):
+            part = of[i : i + ACTIVE]
+            below = None if state is None else state[:, part]
+            self._descend(t + 1, kids[i : i + ACTIVE], got[i : i + ACTIVE], below, length, bands, levels, page, out)
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(window, start, end, edits) of the windows that match ``text``, the best region of each."""
@@ -154,13 +288,15 @@ class Matcher:
         if self.words:
             self._words(text, found)
         c = code_points(text)
-        if len(c) < self.q or not len(self.len):
-            return [(x, *found[x]) for x in sorted(found)]
-        w, band = self.hits(grams(c, self.q))
-        for length in np.unique(self.len[w]) if len(w) else []:
-            mine = self.len[w] == length
-            for at in range(0, int(mine.sum()), 256):
-                self._align(c, w[mine][at : at + 256], band[mine][at : at + 256], int(length), found)
+        best: dict[int, tuple[int, int, int]] = {}
+        for begin in range(0, len(c), SECTION) if len(self.len) else ():
+            w, band = self.candidates(c, begin, begin + SECTION + self.reach)
+            for length in np.unique(self.len[w]) if len(w) else []:
+                mine = self.len[w] == length
+                for at in range(0, int(mine.sum()), 256):
+                    self._align(c, w[mine][at : at + 256], band[mine][at : at + 256], int(length), best)
+        for x, hit in best.items():
+            found |= dict.fromkeys(self.owners[x], hit)
         return [(x, *found[x]) for x in sorted(found)]
 
     def _words(self, text: str, found: dict) -> None:
@@ -174,13 +310,13 @@ class Matcher:
 
     def _align(self, c: np.ndarray, w: np.ndarray, band: np.ndarray, length: int, found: dict) -> None:
         """Banded edit distance of each window with its diagonals; adds those within k."""
-        k = int(self.k[w[0]])
+        k = int(self.most[w[0]])
         low = band * (k + 1) - length - k  # leftmost diagonal
         width = 2 * (k + 1) + 2 * k + 1
         pad = np.full(length + width + 2, 0xFFFFFFFF, np.uint32)
         text = np.concatenate([pad, c, pad])
         base = low + len(pad)
-        p = np.array([self.chars[x] for x in w])
+        p = self.alphabet[self.code[w, :length]]
         cols = np.arange(width)
         far = length + 1
         d = np.zeros((len(w), width), np.int64)
@@ -207,12 +343,71 @@ class Matcher:
                 found[int(w[j])] = hit
 
 
-def windows_table(bench: DataFrame, least: int = 1) -> DataFrame:
+def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order and the sum of each."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+    return key[first], np.add.reduceat(count[order], first) if len(key) else count
+
+
+class _Page:
+    """Where the characters of the benchmark stand in a section of a text, as bits."""
+
+    def __init__(self, c: np.ndarray, begin: int, end: int, m: Matcher):
+        margin = 2 * m.reach + 64
+        self.shift = margin - begin
+        first = max(0, begin - margin)
+        c = c[first : end + margin]
+        code = np.searchsorted(m.alphabet, c)
+        code[code == len(m.alphabet)] = 0
+        at = np.flatnonzero(m.alphabet[code] == c)
+        code = code[at]
+        used = np.unique(code)
+        # Row 0 is for characters that the section does not have.
+        self.row = np.zeros(len(m.alphabet) + 1, np.int64)
+        self.row[used] = np.arange(1, len(used) + 1)
+        self.words = (end - begin + 2 * margin) // 64 + 4
+        self.bits = np.zeros((len(used) + 1) * self.words, np.uint64)
+        at = at + first + self.shift
+        np.bitwise_or.at(self.bits, self.row[code] * self.words + (at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+
+    def rows(self, state: np.ndarray | None, code: np.ndarray, low: np.ndarray, rows: range, k: int) -> np.ndarray:
+        """The state after aligning these characters of windows; ``state[e]`` has a bit for each diagonal within e edits.
+
+        A window whose band has no diagonal left within k edits is out and goes no further.
+        """
+        one, full = np.uint64(1), np.uint64((1 << (4 * k + 3)) - 1)
+        if state is None:
+            state = np.full((k + 1, len(low)), full)
+        out, live = np.zeros_like(state), np.arange(len(low))
+        low = low + self.shift
+        for i in rows:
+            x = low + i
+            word = self.row[code[:, i]] * self.words + (x >> 6)
+            s = (x & 63).astype(np.uint64)
+            same = (self.bits[word] >> s) | ((self.bits[word + 1] << one) << (np.uint64(63) - s))
+            before = np.zeros(len(low), np.uint64)
+            for e in range(k + 1):
+                old = state[e]
+                new = old & same
+                if e:
+                    new |= before | (before >> one) | ((state[e - 1] << one) & full)
+                before, state[e] = old.copy(), new
+            if i % 4 == 3:
+                alive = state[k] != 0
+                if not alive.all():
+                    live, low, code, state = live[alive], low[alive], code[alive], state[:, alive]
+        out[:, live] = state
+        return out
+
+
+def windows_table(bench: DataFrame, least: int = 1, shortest: int = SHORTEST) -> DataFrame:
     """The distinct windows of the benchmark: ``item_id, window, w``; ``window`` is an id of the three."""
 
     def cut_up(batches):
         for b in batches:
-            rows = [(i, p, w) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p, w in windows_of(normal(t), least=least)]
+            rows = [(i, p, w) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for p, w in windows_of(normal(t), shortest, least)]
             cols = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["item_id", "pos", "w"]
@@ -223,18 +418,24 @@ def windows_table(bench: DataFrame, least: int = 1) -> DataFrame:
 
 
 def blocks(windows: DataFrame, size: int, q: int = Q, edit_rate: float = EDIT_RATE):
-    """Broadcast matchers of the windows of ``windows_table``, ``size`` windows or fewer each."""
+    """How many blocks the windows of ``windows_table`` make, and a function that broadcasts the matcher of the i-th.
+
+    A block has ``size`` windows or fewer.
+    """
     small_batches(windows.sparkSession)
     n = -(-windows.count() // size)
     # Hashed blocks are binomial around their mean; half the size keeps each below the bound.
     n = n if n <= 1 else 2 * n
-    for i in range(n):
+
+    def block(i: int):
         rows = windows.where(F.pmod(F.xxhash64("window", F.lit(11)), F.lit(n)) == i).collect()
         rows = sorted(((r["item_id"], r["window"], r["w"]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        yield windows.sparkSession.sparkContext.broadcast(Matcher(rows, q, edit_rate))
+        return windows.sparkSession.sparkContext.broadcast(Matcher(rows, q, edit_rate))
 
+    return n, block
 
-def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1) -> DataFrame:
+
+def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1, shortest: int = SHORTEST) -> DataFrame:
     """Passages of benchmark items in documents, one row for each document and item that meet.
 
     Columns: ``doc_id, item_id, windows`` (different windows of the item found),
@@ -242,18 +443,29 @@ def leaks(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: i
     ``first_char, last_char`` (region in the normalised text).
 
     Null and empty texts and null or empty items match nothing, nor do items of
-    fewer than ``least`` normalised characters. Rows that share a doc_id or an
-    item_id (a null one too) count as one document or item, so repeated rows
-    change nothing. Texts are searched whole. An empty table on either side
-    gives an empty result. Other columns are ignored. The result does not depend
-    on ``size``, the windows searched at a time.
+    fewer than ``least`` normalised characters. Excerpts of ``shortest``
+    characters and more are found whatever their offset. Rows that share a
+    doc_id or an item_id (a null one too) count as one document or item, so
+    repeated rows change nothing. Of equally near regions of a window the first
+    counts. Texts are searched whole. An empty table on either side gives an
+    empty result. Other columns are ignored. The result does not depend on
+    ``size``, the windows searched at a time; with more of them than one block
+    the hits of each are a table in the shared folder, which the caller owns.
     """
     kind = "doc_id long, item_id long, window long, edits long, first_char long, last_char long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = windows_table(bench, least)
-    parts = [rows.mapInArrow(_search(shared), kind) for shared in blocks(every, size)]
-    if not parts:
+    every = windows_table(bench, least, shortest)
+    n, block = blocks(every, size)
+    if not n:
         return rows.sparkSession.createDataFrame([], kind.replace("window long", "windows long, item_windows long"))
+    parts = []
+    for i in range(n):
+        shared = block(i)
+        part = rows.mapInArrow(_search(shared), kind)
+        if n > 1:
+            part = stored(part)
+            shared.destroy()
+        parts.append(part)
     found = functools.reduce(DataFrame.unionAll, parts)
     regions = [F.min("edits").alias("edits"), F.min("first_char").alias("first_char"), F.max("last_char").alias("last_char")]
     found = found.groupBy("doc_id", "item_id", "window").agg(*regions)
@@ -278,14 +490,25 @@ def _search(shared):
     return run
 
 
-def clean(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1) -> DataFrame:
+def clean(docs: DataFrame, bench: DataFrame, size: int = BLOCK_WINDOWS, least: int = 1, shortest: int = SHORTEST) -> DataFrame:
     """The rows of ``docs`` without a passage of ``bench``, columns as they are; no shuffle.
 
     Rows with a null or empty text stay, and all rows where ``bench`` is empty or
     has no text; repeated rows stay or go together; an empty table stays empty.
+    With several blocks what each leaves is a table in the shared folder; the
+    last one is the caller's.
     """
-    for shared in blocks(windows_table(bench, least), size):
-        docs = docs.mapInArrow(_without(shared, docs.columns.index("text")), docs.schema)
+    n, block = blocks(windows_table(bench, least, shortest), size)
+    text, before = docs.columns.index("text"), None
+    for i in range(n):
+        shared = block(i)
+        docs = docs.mapInArrow(_without(shared, text), docs.schema)
+        if n > 1:
+            docs = stored(docs)
+            shared.destroy()
+            if before is not None:
+                discard(before)
+            before = docs
     return docs
 
 
