@@ -48,6 +48,8 @@ BITS = 22
 STRIDE = 16
 #: What is held at a time: positions of a text, hits, and nodes that are aligned.
 SECTION, ENTRIES, ACTIVE = 1 << 16, 1 << 17, 1 << 14
+#: Nodes that are worth a step of their own.
+FEW = 64
 
 
 def normal(text: str | None) -> str:
@@ -147,6 +149,9 @@ class Matcher:
             self.parent.append(above[first] if t else np.full(len(kind), -1, np.int64))
             self.starts.append(self.starts[-1] + len(kind))
         self.rep, self.parent = np.concatenate(self.rep), np.concatenate(self.parent)
+        self.root = np.arange(len(self.parent))
+        for _ in range(levels - 1):
+            self.root = np.where(self.parent[self.root] < 0, self.root, self.parent[self.root])
         # Children of a node follow each other.
         self.child = np.searchsorted(self.parent, np.arange(len(self.parent)))
         self.children = np.searchsorted(self.parent, np.arange(len(self.parent)), "right") - self.child
@@ -192,19 +197,26 @@ class Matcher:
         g[g == len(self.gram)] = 0
         right = self.gram[g] == h[at]
         at, g = at[right], g[right]
+        # A way down has at most the hits below its root; most texts are done with here.
+        root, below = np.empty(0, np.int64), np.empty(0, np.int64)
+        for node, band in self._pairs(at, g, begin):
+            some = self.root[node] * bands + band
+            root, below = _summed(np.concatenate([root, some]), np.concatenate([below, np.ones(len(some), np.int64)]))
+        if not len(root):
+            return []
+        after = np.searchsorted(root, root + 1)
+        after[after == len(root)] = 0
+        ok = below + np.where(root[after] == root + 1, below[after], 0) >= self.need[self.rep[root // bands]]
+        if not ok.any():
+            return []
+        root = np.unique(np.concatenate([root[ok], root[ok] + 1]))
         key, own = np.empty(0, np.int64), np.empty(0, np.int64)
-        upto = np.cumsum(self.many[g])
-        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, ENTRIES)))
-        for i, j in zip(cuts, [*cuts[1:], len(at)]):  # a bounded number of hits at a time
-            many = self.many[g[i:j]]
-            entry = np.repeat(self.first[g[i:j]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            node = self.of[entry]
-            w = self.rep[node]
-            diagonal = np.repeat(at[i:j], many) + begin - self.pos[entry] + self.len[w]
-            some = node * bands + diagonal // (self.most[w] + 1) + 1
+        for node, band in self._pairs(at, g, begin):
+            some = self.root[node] * bands + band
+            there = np.searchsorted(root, some)
+            there[there == len(root)] = 0
+            some = (node * bands + band)[root[there] == some]
             key, own = _summed(np.concatenate([key, some]), np.concatenate([own, np.ones(len(some), np.int64)]))
-        if not len(key):
-            return []
         key, own = _summed(np.concatenate([key, key - 1]), np.concatenate([own, own]))
         cuts = np.searchsorted(key, np.array(self.starts) * bands)
         levels = [[key[i:j], own[i:j], own[i:j].copy()] for i, j in zip(cuts, cuts[1:])]
@@ -223,6 +235,18 @@ class Matcher:
             levels[t - 1] = [both, own, most]
         return levels
 
+    def _pairs(self, at: np.ndarray, g: np.ndarray, begin: int):
+        """Node and band + 1 of each hit of q-grams ``g`` at ``at``, a bounded number at a time."""
+        upto = np.cumsum(self.many[g])
+        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] if len(upto) else 0, ENTRIES)))
+        for i, j in zip(cuts, [*cuts[1:], len(at)]):
+            many = self.many[g[i:j]]
+            entry = np.repeat(self.first[g[i:j]] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            node = self.of[entry]
+            w = self.rep[node]
+            diagonal = np.repeat(at[i:j], many) + begin - self.pos[entry] + self.len[w]
+            yield node, diagonal // (self.most[w] + 1) + 1
+
     def candidates(self, c: np.ndarray, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, band) within k edits of which the hits lie between positions ``begin`` and ``end`` of ``c``."""
         bands = len(c) + 2 * self.reach + 4
@@ -237,23 +261,28 @@ class Matcher:
                 size = self.len[self.rep[key // bands]]
                 for length in np.unique(size):
                     mine = size == length
-                    self._descend(0, key[mine], own[mine], None, int(length), bands, levels, page, out)
+                    self._descend(0, 0, key[mine], own[mine], None, int(length), bands, levels, page, out)
         w = np.concatenate([x // bands for x in out]) if out else np.empty(0, np.int64)
         band = np.concatenate([x % bands - 1 for x in out]) if out else np.empty(0, np.int64)
         w = self.rep[w]
         order = np.lexsort((band, w))
         return w[order], band[order]
 
-    def _descend(self, t, key, have, state, length, bands, levels, page, out) -> None:
-        """Aligns block ``t`` of the nodes in ``key``, and goes down where few edits and hits enough leave a match."""
+    def _descend(self, t, done, key, have, state, length, bands, levels, page, out) -> None:
+        """Goes down from the nodes of block ``t`` in ``key`` where few edits and hits enough leave a match.
+
+        The first ``done`` characters are aligned; a few nodes are left to the alignment of whole windows.
+        """
         w = self.rep[key // bands]
         k, need = int(self.most[w[0]]), int(self.need[w[0]])
-        if 4 * k + 3 <= 64:  # a band in one machine word
+        upto = min((t + 1) * STRIDE, length)
+        if len(key) >= FEW and 4 * k + 3 <= 64:  # a band in one machine word
             low = (key % bands - 1) * (k + 1) - length - k
-            state = page.rows(state, self.code[w], low, range(t * STRIDE, min((t + 1) * STRIDE, length)), k)
+            state = page.rows(state, self.code[w], low, range(done, upto), k)
+            done = upto
             alive = state[k] != 0
             key, have, state = key[alive], have[alive], state[:, alive]
-        if (t + 1) * STRIDE >= length or not len(key):
+        if upto == length or not len(key):
             out.append(key)
             return
         node, band = key // bands, key % bands
@@ -279,7 +308,7 @@ class Matcher:
         for i in range(0, len(kids), ACTIVE):
             part = of[i : i + ACTIVE]
             below = None if state is None else state[:, part]
-            self._descend(t + 1, kids[i : i + ACTIVE], got[i : i + ACTIVE], below, length, bands, levels, page, out)
+            self._descend(t + 1, done, kids[i : i + ACTIVE], got[i : i + ACTIVE], below, length, bands, levels, page, out)
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(window, start, end, edits) of the windows that match ``text``, the best region of each."""

@@ -42,9 +42,9 @@ def test_an_opening_of_thousands_of_items_is_cheap():
     assert {m.every[w][0] for w, *_ in hit} == {77} and {cost for *_, cost in hit} == {0}
 
 
-@pytest.mark.parametrize("held", [(1 << 16, 1 << 17, 1 << 14), (53, 5, 3)])
+@pytest.mark.parametrize("held", [(1 << 16, 1 << 17, 1 << 14, 64), (1 << 16, 1 << 17, 1 << 14, 1), (53, 5, 3, 2)])
 def test_shared_beginnings_equal_full_alignment(monkeypatch, held):
-    for name, n in zip(("SECTION", "ENTRIES", "ACTIVE"), held):
+    for name, n in zip(("SECTION", "ENTRIES", "ACTIVE", "FEW"), held):
         monkeypatch.setattr(decontaminate, name, n)
     rnd = random.Random(7)
     for alphabet in ("ab ", "abcde ", "abcdefghijklmnop "):
