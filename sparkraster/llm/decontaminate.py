@@ -199,7 +199,8 @@ class Matcher:
         at, g = at[right], g[right]
         # A way down has at most the hits below its root; most texts are done with here.
         root, below = np.empty(0, np.int64), np.empty(0, np.int64)
-        for node, band in self._pairs(at, g, begin):
+        pairs = list(self._pairs(at, g, begin)) if self.many[g].sum() <= ENTRIES else None
+        for node, band in pairs or self._pairs(at, g, begin):
             some = self.root[node] * bands + band
             root, below = _summed(np.concatenate([root, some]), np.concatenate([below, np.ones(len(some), np.int64)]))
         if not len(root):
@@ -211,7 +212,7 @@ class Matcher:
             return []
         root = np.unique(np.concatenate([root[ok], root[ok] + 1]))
         key, own = np.empty(0, np.int64), np.empty(0, np.int64)
-        for node, band in self._pairs(at, g, begin):
+        for node, band in pairs or self._pairs(at, g, begin):
             some = self.root[node] * bands + band
             there = np.searchsorted(root, some)
             there[there == len(root)] = 0
@@ -266,7 +267,12 @@ class Matcher:
         band = np.concatenate([x % bands - 1 for x in out]) if out else np.empty(0, np.int64)
         w = self.rep[w]
         order = np.lexsort((band, w))
-        return w[order], band[order]
+        w, band = w[order], band[order]
+        # Of bands in a row every second is enough: a path of k edits with hits in band b lies inside what is aligned for b - 1.
+        n = np.arange(len(w))
+        first = np.append(True, (w[1:] != w[:-1]) | (band[1:] != band[:-1] + 1))[: len(w)]
+        keep = (n - np.maximum.accumulate(np.where(first, n, 0))) % 2 == 0
+        return w[keep], band[keep]
 
     def _descend(self, t, done, key, have, state, length, bands, levels, page, out) -> None:
         """Goes down from the nodes of block ``t`` in ``key`` where few edits and hits enough leave a match.
