@@ -202,7 +202,7 @@ class Matcher:
         pairs = list(self._pairs(at, g, begin)) if self.many[g].sum() <= ENTRIES else None
         for node, band in pairs or self._pairs(at, g, begin):
             some = self.root[node] * bands + band
-            root, below = _summed(np.concatenate([root, some]), np.concatenate([below, np.ones(len(some), np.int64)]))
+            root, below = _counted(root, below, some)
         if not len(root):
             return []
         after = np.searchsorted(root, root + 1)
@@ -217,7 +217,7 @@ class Matcher:
             there = np.searchsorted(root, some)
             there[there == len(root)] = 0
             some = (node * bands + band)[root[there] == some]
-            key, own = _summed(np.concatenate([key, some]), np.concatenate([own, np.ones(len(some), np.int64)]))
+            key, own = _counted(key, own, some)
         key, own = _summed(np.concatenate([key, key - 1]), np.concatenate([own, own]))
         cuts = np.searchsorted(key, np.array(self.starts) * bands)
         levels = [[key[i:j], own[i:j], own[i:j].copy()] for i, j in zip(cuts, cuts[1:])]
@@ -352,15 +352,15 @@ class Matcher:
         text = np.concatenate([pad, c, pad])
         base = low + len(pad)
         p = self.alphabet[self.code[w, :length]]
-        cols = np.arange(width)
+        cols = np.arange(width, dtype=np.int16)
         far = length + 1
-        d = np.zeros((len(w), width), np.int64)
+        d = np.zeros((len(w), width), np.int16)
         start = low[:, None] + cols  # where the alignment of each cell began
         for i in range(length):
             there = text[np.clip(base[:, None] + i + cols, 0, len(text) - 1)]
             best = d + (there != p[:, i : i + 1])
             from_ = start
-            up = np.concatenate([d[:, 1:] + 1, np.full((len(w), 1), far)], 1)
+            up = np.concatenate([d[:, 1:] + 1, np.full((len(w), 1), far, np.int16)], 1)
             up_start = np.concatenate([start[:, 1:], start[:, -1:]], 1)
             from_ = np.where(up < best, up_start, from_)
             best = np.minimum(best, up)
@@ -386,6 +386,12 @@ def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return key[first], np.add.reduceat(count[order], first) if len(key) else count
 
 
+def _counted(key: np.ndarray, count: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of keys with those of ``more`` added."""
+    new, many = np.unique(more, return_counts=True)
+    return _summed(np.concatenate([key, new]), np.concatenate([count, many])) if len(key) else (new, many)
+
+
 class _Page:
     """Where the characters of the benchmark stand in a section of a text, as bits."""
 
