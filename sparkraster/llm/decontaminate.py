@@ -344,7 +344,14 @@ class Matcher:
             at += len(word) + 1
 
     def _align(self, c: np.ndarray, w: np.ndarray, band: np.ndarray, length: int, found: dict) -> None:
-        """Banded edit distance of each window with its diagonals; adds those within k."""
+        """Banded edit distance of each window with its diagonals; adds those within k.
+
+        Verbatim windows are told by comparing characters, as only a straight path has no edits.
+        """
+        better = np.array([found.get(x, (0, 0, 1))[2] > 0 for x in w.tolist()])
+        w, band = w[better], band[better]
+        if not len(w):
+            return
         k = int(self.most[w[0]])
         low = band * (k + 1) - length - k  # leftmost diagonal
         width = 2 * (k + 1) + 2 * k + 1
@@ -353,6 +360,20 @@ class Matcher:
         base = low + len(pad)
         p = self.alphabet[self.code[w, :length]]
         cols = np.arange(width, dtype=np.int16)
+        row, at, upto = np.repeat(np.arange(len(w)), width), (base[:, None] + cols).ravel(), 0
+        while upto < length and len(row):
+            some = np.arange(upto, min(length, 4 * upto + 1))
+            same = (text[np.clip(at[:, None] + some, 0, len(text) - 1)] == p[row[:, None], some]).all(1)
+            row, at, upto = row[same], at[same], int(some[-1]) + 1
+        row, first = np.unique(row, return_index=True)
+        for j, s in zip(row, at[first] - len(pad)):
+            if found.get(int(w[j]), (0, 0, 1))[2] > 0:
+                found[int(w[j])] = (int(s), int(s) + length, 0)
+        left = np.ones(len(w), bool)
+        left[row] = False
+        if not left.any():
+            return
+        w, low, base, p = w[left], low[left], base[left], p[left]
         far = length + 1
         d = np.zeros((len(w), width), np.int16)
         start = low[:, None] + cols  # where the alignment of each cell began
