@@ -10,8 +10,9 @@ matches a region of a text when their edit distance is at most
 lemma such a region shares at least ``T = L - q + 1 - k * q`` of the window's
 q-grams, on diagonals within k of each other. The steps lose no match:
 
-1. positions of a text whose q-gram occurs in the benchmark are counted in a
-   sliding range of L + k; regions with fewer than the least T are done with;
+1. positions of a text whose q-gram occurs in the benchmark are counted in
+   sliding ranges of L + k, one for windows of about one length; regions with
+   fewer than the least T of these are done with;
 2. windows are a trie of blocks of characters, and hits in the regions left are
    counted by node and diagonal band of width k + 1, two neighbouring bands
    together; a way down the trie needs T in all;
@@ -124,7 +125,10 @@ class Matcher:
         self.most = np.array([edits(len(w), q, edit_rate) for w in texts], np.int64)
         self.need = self.len - q + 1 - self.most * q
         self.reach = int((self.len + self.most).max()) if texts else 0
-        self.least = int(self.need.min()) if texts else 1
+        # (q-grams of the widest region, fewest shared) of windows of about one length.
+        about = self.len // STRIDE
+        spans = [(self.len + self.most)[about == a].max() - q + 1 for a in np.unique(about)]
+        self.spans = [(int(s), int(self.need[about == a].min())) for s, a in zip(spans, np.unique(about))]
         if texts:
             self._plant([code_points(w) for w in texts])
 
@@ -177,19 +181,18 @@ class Matcher:
         and the next, ``best`` these and the most that a way down adds.
         """
         maybe = self.bitmap[(h >> np.uint64(64 - BITS)).astype(np.int64)]
-        # Sliding count over the widest region a window can match.
+        # Sliding counts over the widest region that windows of about one length can match.
         total = np.concatenate([[0], np.cumsum(maybe)])
-        span = self.reach - self.q + 1
         n = len(h)
-        if n <= span:
-            dense = np.full(n, total[-1] >= self.least)
-        else:
-            ok = total[span:] - total[:-span] >= self.least
-            edge = np.zeros(n + 1, np.int64)
-            at = np.flatnonzero(ok)
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + span, -1)
-            dense = np.cumsum(edge[:n]) > 0
+        edge = np.zeros(n + 1, np.int64)
+        for span, least in self.spans:
+            span = min(span, n)
+            ok = np.flatnonzero(total[span:] - total[: n + 1 - span] >= least)
+            edge[ok] += 1
+            edge[ok + span] -= 1
+        if not edge.any():
+            return []
+        dense = np.cumsum(edge[:n]) > 0
         at = np.flatnonzero(dense & maybe)
         if not len(at):
             return []
