@@ -105,6 +105,44 @@ def test_quality_held_out(docs, labels):
     assert np.mean([r.predicted == r.quality for r in got]) > 0.9
 
 
+def test_quality_statistics():
+    x = dict(zip(quality.FEATURES, quality.statistics("an internationally a an a an")))
+    assert x["top_word"] == 3 / 6
+    assert not quality.statistics(None).any() and not quality.statistics("").any()
+
+
+def test_quality_trees_equal_search_of_all_splits():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((200, 4))
+    x[:, 3] = x[:, 2]  # a tie: the first feature counts
+    y = (x[:, 0] + np.abs(x[:, 2]) + 0.3 * rng.standard_normal(200) > 0.5).astype(float)
+    m = quality.grow(x, y, trees=3, depth=3, bins=16, rate=0.5)
+    assert 3 not in m.feature
+    f_x = np.full(200, m.base)
+
+    def split(rows, depth, g, h):
+        """Adds the value of the leaf of each row, trying every feature and cut."""
+        value = lambda r: g[r].sum() ** 2 / (h[r].sum() + 1)
+        best = (1e-6, None)
+        for f in range(4) if depth else ():
+            for c in m.edges[f]:
+                left, right = rows[x[rows, f] <= c], rows[x[rows, f] > c]
+                if min(len(left), len(right)) >= 12:
+                    gain = value(left) + value(right) - value(rows)
+                    if gain > best[0] + 1e-9:
+                        best = (gain, (left, right))
+        if best[1]:
+            for side in best[1]:
+                split(side, depth - 1, g, h)
+        else:
+            f_x[rows] -= 0.5 * g[rows].sum() / (h[rows].sum() + 1)
+
+    for _ in range(3):
+        p = 1 / (1 + np.exp(-f_x))
+        split(np.arange(200), 3, p - y, p * (1 - p))
+    assert np.allclose(m.score(x), 1 / (1 + np.exp(-f_x)))
+
+
 def test_quality_held_out_by_label(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = quality.classify(docs, labels).join(labels, "doc_id").where("held_out").collect()
