@@ -16,14 +16,17 @@ from pyspark.sql import Window as W
 
 from sparkraster.functions import bands as B
 from sparkraster.operators.pixels import with_scene
-from sparkraster.operators.tables import shared_table
+from sparkraster.operators.tables import shared_table, tasks
 
 CELL = 256
 
 
 def box_runs(boxes: DataFrame) -> DataFrame:
     """``scene_id, parcel_id, y, a, b``: the pixels of integer boxes as runs, a row of pixels each, from ``a`` to ``b``."""
-    rows = boxes.where("w > 0 AND h > 0").withColumn("y", F.explode(F.expr("sequence(y0, y0 + h - 1)")))
+    some = boxes.where("w > 0 AND h > 0")
+    # A small file is one task's, whatever its boxes make.
+    some = some.repartition(tasks(boxes.sparkSession, some.agg(F.sum("h")).first()[0]), "scene_id", "parcel_id")
+    rows = some.withColumn("y", F.explode(F.expr("sequence(y0, y0 + h - 1)")))
     return rows.select("scene_id", "parcel_id", "y", F.col("x0").alias("a"), F.expr("x0 + w - 1").alias("b"))
 
 
@@ -152,15 +155,16 @@ def box_join(left: DataFrame, right: DataFrame, cell: int = CELL, carry: tuple[s
     sides = {"left": sized(left, "left"), "right": sized(right, "right")}
     # At most a row for each doubling of a side's length.
     levels = {k: sorted(r.own for r in d.select("own").distinct().collect()) for k, d in sides.items()}
-    joined = dealt(sides["left"], "left", levels["right"]).join(dealt(sides["right"], "right", levels["left"]), ["scene_id", "level", "cx", "cy"])
+    # Estimated by the size of the boxes, either side would be broadcast.
+    joined = dealt(sides["left"], "left", levels["right"]).hint("merge").join(dealt(sides["right"], "right", levels["left"]), ["scene_id", "level", "cx", "cy"])
     meet = "level = greatest(left_own, right_own) AND left_x0 < right_x1 AND right_x0 < left_x1 AND left_y0 < right_y1 AND right_y0 < left_y1"
     size = F.lit(cell) * F.pow(2, F.col("level"))
     corner = (F.floor(F.greatest("left_x0", "right_x0") / size) == F.col("cx")) & (F.floor(F.greatest("left_y0", "right_y0") / size) == F.col("cy"))
     return joined.where(meet).where(corner).drop("level", "left_own", "right_own")
 
 
-def _in_cells(runs: DataFrame, name: str, id_: str | None) -> DataFrame:
-    """Runs cut at the borders of cells of ``CELL`` columns, dealt by row and cell; those of one id made disjoint.
+def _in_cells(runs: DataFrame, name: str, id_: str | None, parts: int | None = None) -> DataFrame:
+    """Runs cut at the borders of cells of ``CELL`` columns, dealt to ``parts`` by row and cell; those of one id made disjoint.
 
     All that meet in ``overlaps_of_runs`` are dealt alike, so its joins move nothing again.
     """
@@ -171,7 +175,7 @@ def _in_cells(runs: DataFrame, name: str, id_: str | None) -> DataFrame:
     # Two parcel rows of one id may cover a pixel twice.
     w = W.partitionBy(*key).orderBy("a")
     reach = F.max("b").over(w.rowsBetween(W.unboundedPreceding, -1))
-    r = r.repartition(*ROW).withColumn("new", F.when(F.col("a") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
+    r = (r.repartition(parts, *ROW) if parts else r.repartition(*ROW)).withColumn("new", F.when(F.col("a") <= reach, 0).otherwise(1)).withColumn("run", F.sum("new").over(w))
     return r.groupBy(*key, "run").agg(F.min("a").alias(f"{name}_a"), F.max("b").alias(f"{name}_b")).drop("run")
 
 
@@ -179,8 +183,11 @@ ROW = ["scene_id", "y", "cell"]
 
 
 def _met(left: DataFrame, right: DataFrame, a: str, b: str, made: str) -> DataFrame:
-    """Common parts of the runs ``a`` of left and ``b`` of right in their rows and cells, as runs ``made``."""
-    j = left.join(right, ROW).where((F.col(f"{a}_a") <= F.col(f"{b}_b")) & (F.col(f"{b}_a") <= F.col(f"{a}_b")))
+    """Common parts of the runs ``a`` of left and ``b`` of right in their rows and cells, as runs ``made``.
+
+    Runs are estimated by the size of the boxes they were made from, so they would be broadcast unless a merge is asked for.
+    """
+    j = left.hint("merge").join(right, ROW).where((F.col(f"{a}_a") <= F.col(f"{b}_b")) & (F.col(f"{b}_a") <= F.col(f"{a}_b")))
     j = j.withColumns({"lo": F.greatest(f"{a}_a", f"{b}_a"), "hi": F.least(f"{a}_b", f"{b}_b")})
     return j.drop(f"{a}_a", f"{a}_b", f"{b}_a", f"{b}_b").withColumnsRenamed({"lo": f"{made}_a", "hi": f"{made}_b"})
 
@@ -194,9 +201,10 @@ def overlaps_of_runs(gt: DataFrame, pred: DataFrame, valid: DataFrame | None = N
     both sides to valid pixels. A pixel that several rows of one parcel cover
     counts once; parcels without a valid common pixel make no row.
     """
-    g, p = _in_cells(gt, "g", "gt_id"), _in_cells(pred, "p", "pred_id")
+    parts = tasks(gt.sparkSession, sum(d.count() for d in (gt, pred, valid) if d is not None))
+    g, p = _in_cells(gt, "g", "gt_id", parts), _in_cells(pred, "p", "pred_id", parts)
     if valid is not None:
-        v = _in_cells(valid, "v", None)
+        v = _in_cells(valid, "v", None, parts)
         g, p = _met(g, v, "g", "v", "g"), _met(p, v, "p", "v", "p")
     # Read for the areas and for the common parts.
     g, p = shared_table(g), shared_table(p)
@@ -204,7 +212,7 @@ def overlaps_of_runs(gt: DataFrame, pred: DataFrame, valid: DataFrame | None = N
     def area(runs, name, id_, to):
         return runs.groupBy("scene_id", id_).agg(F.sum(F.col(f"{name}_b") - F.col(f"{name}_a") + 1).alias(to))
 
-    inter = _met(g, p, "g", "p", "i").groupBy("scene_id", "gt_id", "pred_id").agg(F.sum(F.col("i_b") - F.col("i_a") + 1).alias("inter"))
+    inter = _met(g.repartition(parts, *ROW), p.repartition(parts, *ROW), "g", "p", "i").groupBy("scene_id", "gt_id", "pred_id").agg(F.sum(F.col("i_b") - F.col("i_a") + 1).alias("inter"))
     e = inter.join(area(g, "g", "gt_id", "gt_area"), ["scene_id", "gt_id"]).join(area(p, "p", "pred_id", "pred_area"), ["scene_id", "pred_id"])
     i, x, y = F.col("inter"), F.col("gt_area"), F.col("pred_area")
     return e.withColumns({"iou": B.ratio(i, x + y - i), "ov_gt": B.ratio(i, x), "ov_pred": B.ratio(i, y)})

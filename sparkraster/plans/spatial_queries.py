@@ -24,7 +24,8 @@ MATCH = BOTH + f", m AS (SELECT * FROM r WHERE {RULE['iou_or_overlap']})"
 
 
 def _boxes(spark, sf_dir, name):
-    return view(spark, sf_dir, name).withColumn("scene_id", F.lit(0).cast("long"))
+    """One scene. Its id is no literal: Spark drops those from keys, and what is dealt by scene would be moved again."""
+    return view(spark, sf_dir, name).withColumn("scene_id", F.expr("parcel_id * 0L"))
 
 
 def _edges(spark, sf_dir):
