@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkraster.operators.spatial import _edges, box_join
+from sparkraster.operators.spatial import _edges, box_join, once
+from sparkraster.operators.tables import shared_table, tasks
 
 PARCEL = ["scene_id", "parcel_id"]
 #: Added to the least area in comparisons (a fixed value).
@@ -18,9 +19,11 @@ EPSILON = 1e-9
 
 def _distinct_points(ring: Column) -> Column:
     """The ring without vertices equal to the one before; a null ring is empty."""
-    n = F.size(ring)
-    some = F.filter(ring, lambda p, i: (n == 1) | (p != F.element_at(ring, F.when(i > 0, i).otherwise(n))))
-    return F.coalesce(some, F.array().cast("array<struct<x:double,y:double>>"))
+    def some(r):
+        n = F.size(r)
+        return F.filter(r, lambda p, i: (n == 1) | (p != F.element_at(r, F.when(i > 0, i).otherwise(n))))
+
+    return F.coalesce(once(ring, some), F.array().cast("array<struct<x:double,y:double>>"))
 
 
 def signed_area(ring: Column) -> Column:
@@ -136,7 +139,9 @@ def cleanup_rings(rings: DataFrame, least_area: float = 0.0, tolerance: float =
     less holes are not larger than ``least_area``; simplified_away: they are not
     after ``simplify_rings``. ``area`` is that before simplification.
     """
-    clean = rings.select(*PARCEL, "ring_no", _distinct_points(F.col("ring")).alias("ring"))
+    # Written once, as it is read five times, and dealt, as a small file of rings is one task's.
+    dealt = rings.repartition(tasks(rings.sparkSession, 16 * rings.count()), *PARCEL)
+    clean = shared_table(dealt.select(*PARCEL, "ring_no", _distinct_points(F.col("ring")).alias("ring")))
     made = clean.groupBy(*PARCEL).agg(
         F.max(F.size("ring")).alias("vertices"), F.abs(F.sum(signed_area(F.col("ring")))).alias("area")
     )

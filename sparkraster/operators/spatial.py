@@ -39,13 +39,19 @@ def rasterize_boxes(boxes: DataFrame) -> DataFrame:
     return _pixels_of(box_runs(boxes))
 
 
+def once(value: Column, made) -> Column:
+    """``made(value)`` with ``value`` computed once a row, however often ``made`` names it; lambdas in it would compute it for each element."""
+    return F.element_at(F.transform(F.array(value), made), 1)
+
+
 def _edges(ring: Column) -> Column:
     """Segments of a ring: each vertex with the next, the last with the first."""
-    n = F.size(ring)
-    return F.transform(
-        ring, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), F.element_at(ring, F.when(i + 1 < n, i + 2).otherwise(F.lit(1)))["x"].alias("bx"),
-                                    F.element_at(ring, F.when(i + 1 < n, i + 2).otherwise(F.lit(1)))["y"].alias("by"))
-    )
+
+    def of(r):
+        after = lambda i: F.element_at(r, F.when(i + 1 < F.size(r), i + 2).otherwise(F.lit(1)))
+        return F.transform(r, lambda p, i: F.struct(p["x"].alias("ax"), p["y"].alias("ay"), after(i)["x"].alias("bx"), after(i)["y"].alias("by")))
+
+    return once(ring, of)
 
 
 def ring_runs(parcels: DataFrame) -> DataFrame:

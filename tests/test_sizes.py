@@ -28,3 +28,14 @@ def test_runs_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr("sparkraster.operators.tables.TASK_ROWS", 100)
     runs = S.box_runs(boxes(spark, 200, 3, 10))
     assert runs.rdd.getNumPartitions() == 20 and runs.count() == 2000
+
+
+def test_the_expression_of_a_ring_is_computed_once(spark):
+    from sparkraster.operators import rings as R
+
+    df = boxes(spark, 5, 9, 8)
+    ring = F.array(*[F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y")) for x, y in (
+        ("x0 + 4321", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h"))])
+    made = df.select("parcel_id", S._edges(R._distinct_points(ring)).alias("e"))
+    assert first_plan(made).count("4321") == 1
+    assert made.select(F.size("e")).distinct().collect() == [(4,)]
