@@ -97,24 +97,27 @@ def outline_rings(parcels: DataFrame) -> DataFrame:
     A pixel is touched when a point of an edge lies in it; its left and top
     edges belong to it, its right and bottom ones to its neighbours. Each edge is
     cut into rows of pixels, and the part in a row touches a run of them; nothing
-    inside a parcel is ever made.
+    inside a parcel is ever made. Edges are dealt by bands of rows first, see
+    ``_banded``, so pixels are made and told apart where they stay.
     """
     e = parcels.select("scene_id", F.inline(_edges(F.col("ring"))))
     down = F.col("ay") <= F.col("by")
     e = e.select("scene_id", *[F.when(down, F.col(p)).otherwise(F.col(q)).alias(n) for n, p, q in (
         ("px", "ax", "bx"), ("py", "ay", "by"), ("qx", "bx", "ax"), ("qy", "by", "ay"))])
-    e = e.withColumn("y", F.explode(F.sequence(F.floor("py").cast("long"), F.floor("qy").cast("long"))))
+    e = e.withColumns({"y0": F.floor("py").cast("long"), "y1": F.floor("qy").cast("long")})
+    e = _banded(e, F.abs(F.col("qx") - F.col("px")) + F.col("qy") - F.col("py") + 2)
+    e = e.withColumn("y", F.explode(F.sequence("y0", "y1")))
     flat = F.col("py") == F.col("qy")
     at = lambda v: F.col("px") + (v - F.col("py")) * (F.col("qx") - F.col("px")) / (F.col("qy") - F.col("py"))
     first = F.when(flat, F.col("px")).otherwise(at(F.greatest(F.col("py"), F.col("y").cast("double"))))
     last = F.when(flat | (F.col("qy") < F.col("y") + 1), F.col("qx")).otherwise(at(F.col("y") + 1.0))
     # The point where an edge goes on in the next row belongs to that row.
     goes_on = ~flat & (F.col("qy") >= F.col("y") + 1)
-    e = e.select("scene_id", "y", first.alias("f"), last.alias("l"), goes_on.alias("on"))
+    e = e.select("scene_id", "band", "y", first.alias("f"), last.alias("l"), goes_on.alias("on"))
     low = F.floor(F.least("f", "l"))
     high = F.when(F.col("on") & (F.col("l") >= F.col("f")), F.ceil("l") - 1).otherwise(F.floor(F.greatest("f", "l")))
-    e = e.select("scene_id", "y", F.explode(F.sequence(low.cast("long"), F.greatest(low, high).cast("long"))).alias("x"))
-    return e.distinct()
+    e = e.select("scene_id", "band", "y", F.explode(F.sequence(low.cast("long"), F.greatest(low, high).cast("long"))).alias("x"))
+    return e.distinct().select("scene_id", "y", "x")
 
 
 def outline_boxes(boxes: DataFrame) -> DataFrame:
@@ -127,6 +130,23 @@ def outline_boxes(boxes: DataFrame) -> DataFrame:
     return across.unionByName(along).distinct()
 
 
+#: Rows of pixels of a band.
+BAND = 64
+
+
+def _banded(lines: DataFrame, pixels: Column) -> DataFrame:
+    """Lines with rows ``y0`` to ``y1`` cut at bands of ``BAND`` rows and dealt by scene and ``band``.
+
+    There are as many tasks as the sum of ``pixels``, the pixels a line makes,
+    asks for. A pixel's scene, band and place are then told apart in its task,
+    so what moves are lines and not pixels, and no task makes those of a file.
+    """
+    parts = tasks(lines.sparkSession, lines.agg(F.sum(pixels)).first()[0])
+    at = lambda c: F.floor(F.col(c) / BAND).cast("long")
+    b = lines.withColumn("band", F.explode(F.sequence(at("y0"), at("y1")))).repartition(parts, "scene_id", "band")
+    return b.withColumns({"y0": F.greatest(F.col("y0"), F.col("band") * BAND), "y1": F.least(F.col("y1"), F.col("band") * BAND + BAND - 1)})
+
+
 def box_join(left: DataFrame, right: DataFrame, cell: int = CELL, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pairs of boxes that meet: ``scene_id, left_id, right_id``, and the columns ``carry`` of both with these prefixes.
 

@@ -1,5 +1,7 @@
 """What a task or the driver holds does not grow with rows that are made from a small file."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from sparkraster.operators import spatial as S
@@ -39,3 +41,19 @@ def test_the_expression_of_a_ring_is_computed_once(spark):
     made = df.select("parcel_id", S._edges(R._distinct_points(ring)).alias("e"))
     assert first_plan(made).count("4321") == 1
     assert made.select(F.size("e")).distinct().collect() == [(4,)]
+
+
+def tallest(df):
+    """Most rows of a task, and the number of tasks."""
+    made = df.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    return tuple(made)
+
+
+def test_touched_pixels_are_made_and_told_apart_where_their_edges_are(spark, monkeypatch):
+    monkeypatch.setattr("sparkraster.operators.tables.TASK_ROWS", 2000)
+    corner = lambda x, y: F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y"))
+    ring = F.array(corner("x0", "y0"), corner("x0 + w", "y0 + 1.5"), corner("x0 + w", "y0 + h"), corner("x0", "y0 + h"))
+    made = S.outline_rings(boxes(spark, 3000, 150, 130).withColumn("ring", ring))
+    assert len(re.findall(r"Exchange hashpartitioning", first_plan(made))) == 1  # of edges, none of pixels
+    most, tasks = tallest(made)
+    assert tasks > 20 and most < made.count() / 5
