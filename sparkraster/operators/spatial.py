@@ -123,11 +123,15 @@ def outline_rings(parcels: DataFrame) -> DataFrame:
 def outline_boxes(boxes: DataFrame) -> DataFrame:
     """Distinct ``scene_id, y, x`` of the border pixels of integer boxes, of all parcels together."""
     b = boxes.where("w > 0 AND h > 0")
-    rows = b.select("scene_id", "x0", "w", F.explode(F.expr("array_distinct(array(y0, y0 + h - 1))")).alias("y"))
-    across = rows.select("scene_id", "y", F.explode(F.expr("sequence(x0, x0 + w - 1)")).alias("x"))
-    cols = b.select("scene_id", "y0", "h", F.explode(F.expr("array_distinct(array(x0, x0 + w - 1))")).alias("x"))
-    along = cols.select("scene_id", F.explode(F.expr("sequence(y0, y0 + h - 1)")).alias("y"), "x")
-    return across.unionByName(along).distinct()
+    # Top and bottom are whole rows, left and right what is between them.
+    side = "struct({} AS x0, {} AS x1, {} AS y0, {} AS y1)"
+    top, bottom = (side.format("x0", "x0 + w - 1", y, y) for y in ("y0", "y0 + h - 1"))
+    left, right = (side.format(x, x, "y0 + 1", "y0 + h - 2") for x in ("x0", "x0 + w - 1"))
+    sides = f"array_distinct(concat(array({top}, {bottom}), IF(h > 2, array({left}, {right}), array())))"
+    e = b.select("scene_id", F.expr(f"inline({sides})")).selectExpr("scene_id", *[f"CAST({c} AS LONG) AS {c}" for c in ("x0", "x1", "y0", "y1")])
+    e = _banded(e, F.expr("(x1 - x0 + 1) * (y1 - y0 + 1)"))
+    e = e.withColumn("y", F.explode(F.sequence("y0", "y1"))).select("scene_id", "band", "y", F.explode(F.sequence("x0", "x1")).alias("x"))
+    return e.distinct().select("scene_id", "y", "x")
 
 
 #: Rows of pixels of a band.

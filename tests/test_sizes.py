@@ -57,3 +57,15 @@ def test_touched_pixels_are_made_and_told_apart_where_their_edges_are(spark, mon
     assert len(re.findall(r"Exchange hashpartitioning", first_plan(made))) == 1  # of edges, none of pixels
     most, tasks = tallest(made)
     assert tasks > 20 and most < made.count() / 5
+
+
+def test_border_pixels_are_made_and_told_apart_where_their_sides_are(spark, monkeypatch):
+    monkeypatch.setattr("sparkraster.operators.tables.TASK_ROWS", 2000)
+    made = S.outline_boxes(boxes(spark, 3000, 15, 130))
+    assert len(re.findall(r"Exchange hashpartitioning", first_plan(made))) == 1
+    most, tasks = tallest(made)
+    assert tasks > 20 and most < made.count() / 5
+    thin = [(0, 1, 5, -2, 1, 1), (0, 2, 0, 62, 2, 2), (0, 3, 4, 60, 3, 9), (1, 3, 4, 60, 3, 1), (1, 4, 0, 0, 0, 5)]
+    got = sorted(tuple(r) for r in S.outline_boxes(spark.createDataFrame(thin, "scene_id long, parcel_id long, x0 long, y0 long, w long, h long")).collect())
+    want = {(s, y, x) for s, _, x0, y0, w, h in thin for y in range(y0, y0 + h) for x in range(x0, x0 + w) if y in (y0, y0 + h - 1) or x in (x0, x0 + w - 1)}
+    assert got == sorted(want)
