@@ -308,16 +308,30 @@ def size_bucket(area: Column, small: float = 200, large: float = 2000) -> Column
     return F.when(area < small, "small").when(area < large, "medium").otherwise("large")
 
 
-def valid_area(parcel_px: DataFrame, pixels: DataFrame) -> DataFrame:
-    """Valid pixels of each parcel that covers a known pixel; 0 excludes it downstream."""
+def _covered(parcels: DataFrame, pixels: DataFrame) -> DataFrame:
+    """Pixels with the parcels that cover them. ``parcels`` are runs ``scene_id, parcel_id, y, a, b``, or pixels ``y, x`` of parcels.
+
+    Runs meet pixels in cells of ``CELL`` columns of a row. They are few and are
+    hashed, so the pixels of parcels are never made and those of scenes, read
+    once, are neither sorted nor kept.
+    """
+    if "a" not in parcels.columns:
+        return parcels.join(pixels, ["scene_id", "y", "x"])
+    runs = parcels.withColumn("cell", F.explode(F.sequence(F.floor(F.col("a") / CELL), F.floor(F.col("b") / CELL))))
+    met = runs.hint("shuffle_hash").join(pixels.withColumn("cell", F.floor(F.col("x") / CELL)), ROW)
+    return met.where(F.col("x").between(F.col("a"), F.col("b"))).drop("a", "b", "cell")
+
+
+def valid_area(parcels: DataFrame, pixels: DataFrame) -> DataFrame:
+    """Valid pixels of each parcel that covers a known pixel; 0 excludes it downstream. Parcels as ``_covered`` takes them."""
     px = pixels.select("scene_id", "y", "x", "valid")
-    return parcel_px.join(px, ["scene_id", "y", "x"]).groupBy("scene_id", "parcel_id").agg(
+    return _covered(parcels, px).groupBy("scene_id", "parcel_id").agg(
         F.count_if(F.col("valid") == 1).alias("area"), F.count("*").alias("covered")
     )
 
 
-def polygon_confidence(parcel_px: DataFrame, pixels: DataFrame, extent: float = 0.5) -> DataFrame:
-    """Zonal means of each parcel and its confidence in [0, 1]; 0 without a valid pixel.
+def polygon_confidence(parcels: DataFrame, pixels: DataFrame, extent: float = 0.5) -> DataFrame:
+    """Zonal means of each parcel and its confidence in [0, 1]; 0 without a valid pixel. Parcels as ``_covered`` takes them.
 
     0.50 mean extent + 0.20 (1 - mean presence) + 0.15 mean scaled distance +
     0.15 share of extent >= ``extent`` - 0.25 (1 - valid share). The distance is
@@ -325,7 +339,7 @@ def polygon_confidence(parcel_px: DataFrame, pixels: DataFrame, extent: float =
     """
     ok = F.col("valid") == 1
     span = pixels.where(ok).groupBy("scene_id").agg(F.min("distance_pred").alias("lo"), F.max("distance_pred").alias("hi"))
-    px = with_scene(parcel_px.join(pixels, ["scene_id", "y", "x"]), shared_table(span))
+    px = _covered(with_scene(parcels, shared_table(span)), pixels)
     d = B.ratio(F.col("distance_pred") - F.col("lo"), F.col("hi") - F.col("lo"))
     pres = B.presence(F.col("p_skel"), F.col("p_buf"))
     z = px.groupBy("scene_id", "parcel_id").agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkraster.operators import regions as R
 from sparkraster.operators import rings as rings_of
 from sparkraster.operators import spatial as S
+from sparkraster.operators.tables import shared_table
 from sparkraster.plans.registry import query, rounded
 from sparkraster.sources.views import sql, view
 
@@ -140,12 +141,12 @@ PX_RECT = "pr AS (SELECT k AS parcel_id, s AS scene_id, y, x FROM (SELECT DISTIN
 
 
 def _scene_parcels(spark, sf_dir):
-    """Twelve boxes in every scene of the pixel table."""
-    scenes = view(spark, sf_dir, "px").select("scene_id").distinct()
+    """Runs of pixels of twelve boxes in every scene of the pixel table."""
+    scenes = shared_table(view(spark, sf_dir, "px").select("scene_id").distinct())
     boxes = scenes.withColumn("parcel_id", F.explode(F.expr("sequence(0L, 11L)"))).selectExpr(
         "scene_id", "parcel_id", "(parcel_id % 4) * 24 AS x0", "(parcel_id div 4) * 15 AS y0", "18 AS w", "12 AS h"
     )
-    return S.rasterize_boxes(boxes)
+    return S.box_runs(boxes)
 
 
 @query(sql("px") + f", {PX_RECT} SELECT scene_id, parcel_id, COUNT(*) FILTER (valid = 1) AS area, COUNT(*) AS covered FROM pr JOIN px USING (scene_id, y, x) GROUP BY ALL")

@@ -69,3 +69,16 @@ def test_border_pixels_are_made_and_told_apart_where_their_sides_are(spark, monk
     got = sorted(tuple(r) for r in S.outline_boxes(spark.createDataFrame(thin, "scene_id long, parcel_id long, x0 long, y0 long, w long, h long")).collect())
     want = {(s, y, x) for s, _, x0, y0, w, h in thin for y in range(y0, y0 + h) for x in range(x0, x0 + w) if y in (y0, y0 + h - 1) or x in (x0, x0 + w - 1)}
     assert got == sorted(want)
+
+
+def scene(spark):
+    return spark.range(60 * 700).selectExpr(
+        "id div 1000000 AS scene_id", "id div 700 AS y", "id % 700 AS x", "IF(id % 3 = 0, 0, 1) AS valid", "(id % 10) / 10.0D AS extent_prob",
+        "0.25D AS p_skel", "(id % 4) / 8.0D AS p_buf", "CAST(id % 64 AS double) AS distance_pred")
+
+
+def test_pixels_of_parcels_are_not_made_for_their_areas(spark):
+    some = boxes(spark, 40, 300, 31)
+    by_run, by_pixel = (S.valid_area(p, scene(spark)) for p in (S.box_runs(some), S.rasterize_boxes(some)))
+    assert "Sort" not in first_plan(by_run) and "Generate explode(sequence(a" not in first_plan(by_run)
+    assert sorted(map(tuple, by_run.collect())) == sorted(map(tuple, by_pixel.collect())) != []
