@@ -82,3 +82,11 @@ def test_pixels_of_parcels_are_not_made_for_their_areas(spark):
     by_run, by_pixel = (S.valid_area(p, scene(spark)) for p in (S.box_runs(some), S.rasterize_boxes(some)))
     assert "Sort" not in first_plan(by_run) and "Generate explode(sequence(a" not in first_plan(by_run)
     assert sorted(map(tuple, by_run.collect())) == sorted(map(tuple, by_pixel.collect())) != []
+
+
+def test_pixels_of_parcels_are_not_made_for_their_confidence(spark):
+    some = boxes(spark, 40, 300, 31)
+    by_run, by_pixel = (S.polygon_confidence(p, scene(spark)) for p in (S.box_runs(some), S.rasterize_boxes(some)))
+    assert "Sort" not in first_plan(S.confidence_summary(by_run))
+    rows = lambda df: sorted((r.parcel_id, round(r.confidence, 9), round(r.mean_distance, 9)) for r in df.collect())
+    assert rows(by_run) == rows(by_pixel) != []
