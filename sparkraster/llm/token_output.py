@@ -193,13 +193,14 @@ class _Blank(Exception):
     """A word holds white space of another kind."""
 
 
-def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> DataFrame:
+def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID, bound: int = 64 << 20) -> DataFrame:
     """Encode ``docs(doc_id, text)`` into shard files below ``path``; returns the manifest.
 
     The manifest has ``shard, file, documents, tokens, start`` (ids of all
     shards before it). Null texts are empty and hold the end id alone. Rows
     that share a doc_id all stay, ordered by their ids; rows without doc_id
-    come first. An empty table writes no shard.
+    come first. An empty table writes no shard. A worker remembers words up to
+    ``bound`` bytes.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -212,7 +213,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_
             return
         part = TaskContext.get().partitionId()
         name = f"shard-{part:06d}.srt"
-        encoder = for_worker(("token ids", tokenizer), lambda: Encoder(tokenizer))
+        encoder = for_worker(("token ids", tokenizer, bound), lambda: Encoder(tokenizer, bound))
         end = np.array([end_id], "<u4").tobytes()
         index, waiting, held, total = [], [], 0, 0
         with AtomicFile(f"{path}/{name}") as out:
@@ -302,7 +303,7 @@ def read(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
     )
 
 
-def round_trip(docs: DataFrame, path: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID) -> DataFrame:
+def round_trip(docs: DataFrame, path: str | None = None, tokenizer: str = "byte_bpe_50k.json", end_id: int = END_ID, bound: int = 64 << 20) -> DataFrame:
     """Write the token files of ``docs`` and read them back: ``doc_id, start, n_tokens, ids_crc32``."""
     path = path or fresh_dir(docs.sparkSession, "tokens")
-    return read(docs.sparkSession, path, write(docs, path, tokenizer, end_id))
+    return read(docs.sparkSession, path, write(docs, path, tokenizer, end_id, bound))
