@@ -337,6 +337,42 @@ def test_directory_loses_no_pair_and_tells_unlike_sets_apart():
     assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
 
 
+def test_directory_loses_no_pair_whatever_is_common():
+    rng, sizes = np.random.default_rng(8), ngram_join.Sizes(80, 100)
+    common = rng.integers(0, 1 << 63, (1 << ngram_join.COMMON_BITS) // 64).astype(np.uint64)
+    for n in [4, 9, 21, 60, 300]:
+        for _ in range(60):
+            every = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
+            gone = max(0, n // 9 - 1)
+            a, b = np.sort(every[gone:]), np.sort(np.delete(every, rng.choice(n, gone, False)))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert np.intersect1d(ngram_join.signatures(a, sizes, common), ngram_join.signatures(b, sizes, common)).size
+
+
+def test_common_lines_do_not_make_a_family(spark):
+    rnd = random.Random(11)
+    lines = [" ".join(f"line{i}word{j}" for j in range(16)) for i in range(3)]
+    rows = [(i, " ".join([*(f"w{rnd.randrange(10**6)}" for _ in range(rnd.randrange(60, 240))), rnd.choice(lines)])) for i in range(400)]
+    met = ngram_join._meetings(ngram_join.describe(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).select("doc_id", "sigs"))
+    assert met.count() <= 5  # more than 200 when keys were entered in order of their segments
+
+
+def test_joined_sets_are_not_compared_again(monkeypatch):
+    rng, compared = np.random.default_rng(12), []
+    base = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    pages = [(np.arange(9) + 9 * p, [np.delete(base, rng.integers(0, 400, 9)) for _ in range(9)]) for p in range(6)]
+    pages[5][1][4] = np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64))
+    inner = ngram_join.linked
+    monkeypatch.setattr(ngram_join, "linked", lambda *a: (compared.append(1), inner(*a))[1])
+    joined, edges = ngram_join.Joined(), []
+    for q in range(6):
+        for p in range(q):
+            edges += zip(*(x.tolist() for x in joined.meet(*pages[p], *pages[q], 80, 100)))
+    assert group(range(54), edges) == {i: i if i == 49 else 0 for i in range(54)} and len(edges) == 52
+    assert len(compared) == 5 + 4  # a page that comes meets one that is joined; the odd set meets all
+
+
 def test_excerpts_at_all_offsets_are_found():
     rnd = random.Random(2)
     item = decontaminate.normal("".join(rnd.choice("abcdefghijkl mnop") for _ in range(240)))
